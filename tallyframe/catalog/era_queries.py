@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.metrics import minutes_per_game
-from ..functions.numeric import caption, round_even
+from ..functions.numeric import caption, in_years, round_even
 from ..operators import order, relate
 from ..operators.frame import keep_values
 from ..plans import era
+from ..session import durable
 from .registry import CAREER_SQL, ERAS, MIN_GAMES, SEASON_SQL, query, rates_sql, rounded, stints, table
 
 
@@ -18,7 +19,7 @@ from .registry import CAREER_SQL, ERAS, MIN_GAMES, SEASON_SQL, query, rates_sql,
 WHERE year(l_shipdate) BETWEEN 1995 AND 1998 AND l_returnflag = 'R'""",
 )
 def era_filter(spark, folder):
-    line = table(spark, folder, "lineitem").withColumn("year", F.year("l_shipdate"))
+    line = table(spark, folder, "lineitem").where(in_years("l_shipdate", 1995, 1998)).withColumn("year", F.year("l_shipdate"))
     kept = keep_values(line, "year", list(range(1995, 1999))).where(F.col("l_returnflag") == "R")
     return kept.select("l_suppkey", "year", "l_returnflag", "l_quantity")
 
@@ -65,7 +66,8 @@ SELECT era, stat, {_TREND_COLS} FROM long GROUP BY era, stat""",
 )
 def trend_by_stat(spark, folder):
     players = era.era_players(stints(spark, folder), ERAS, MIN_GAMES, "season")
-    return rounded(rounded(era.run_trends(players), 2, "slope", "intercept"), 6, "r")
+    trends = era.trend_by_stat(players, era.RATES, "R", ["era"]).drop("n", "mean")
+    return rounded(rounded(trends, 2, "slope", "intercept"), 6, "r")
 
 
 @query(
@@ -87,7 +89,12 @@ FROM long GROUP BY era, stat""",
 def stat_captions(spark, folder):
     players = era.era_players(stints(spark, folder), ERAS, MIN_GAMES, "season")
     text = caption("The correlation between average %s and R is %.3f", "stat", "r")
-    return era.run_trends(players).select("era", "stat", text.alias("caption"))
+    return era.era_compare(players).select("era", "stat", text.alias("caption"))
+
+
+@query("era_fit")
+def era_fit(spark, folder):
+    return era.fit_runs(era.era_players(stints(spark, folder), ERAS, MIN_GAMES))
 
 
 @query(
@@ -125,7 +132,7 @@ def preview(spark, folder):
     f"SELECT *, row_number() OVER (ORDER BY revenue DESC, l_suppkey) AS position FROM ({_REVENUE})",
 )
 def rank_position(spark, folder):
-    return order.with_position(_revenue(spark, folder), order.descending("revenue", tie=["l_suppkey"]))
+    return order.with_position(durable(_revenue(spark, folder)), order.descending("revenue", tie=["l_suppkey"]))
 
 
 @query(

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.numeric import round_even
+from ..functions.numeric import in_years, round_even
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,5 +103,7 @@ players AS (SELECT * REPLACE (coalesce("OBP", round_even(avg("OBP") OVER e, 3))
 
 
 def stints(spark: SparkSession, folder: str) -> DataFrame:
-    line = table(spark, folder, "lineitem")
+    """Lines of the eras' years; the limits on the date reach the scan, those on the derived year would not."""
+    first, last = min(a for a, _ in ERAS.values()), max(b for _, b in ERAS.values())
+    line = table(spark, folder, "lineitem").where(in_years("l_shipdate", first, last))
     return line.select(*[F.expr(v).alias(k) for k, v in STINT.items()])

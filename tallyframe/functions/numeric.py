@@ -54,6 +54,11 @@ def intercept(x: Column | str, y: Column | str) -> Column:
     return F.regr_avgy(yd, xd) - slope(x, y) * F.regr_avgx(yd, xd)
 
 
+def in_years(c: Column | str, first: int, last: int) -> Column:
+    """Date or timestamp within years, both included, as a range that a file scan can skip by."""
+    return (col(c) >= F.lit(f"{first}-01-01")) & (col(c) < F.lit(f"{last + 1}-01-01"))
+
+
 def total(*cols: Column | str) -> Column:
     """Row-wise sum; NULL if any part is NULL."""
     return reduce(add, [col(c) for c in cols])
@@ -66,7 +71,7 @@ def sum_or_zero(c: Column | str) -> Column:
 
 def hash_percent(key: Column | str, seed: int | str = "") -> Column:
     """A number 0..99 fixed by the key alone, so a split never depends on partitioning."""
-    text = F.concat(col(key).cast("string"), F.lit(str(seed)))
+    text = F.concat(F.coalesce(col(key).cast("string"), F.lit("")), F.lit(str(seed)))
     return F.conv(F.substring(F.md5(text), 1, 7), 16, 10).cast("bigint") % 100
 
 

@@ -6,8 +6,7 @@ from pyspark.ml import Estimator, Model
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_CLASSES = 1000
-
+from .moments import class_labels
 
 class OnClassNumber(Estimator):
     """Fit an estimator on the rank of each label and give its predictions as labels."""
@@ -17,10 +16,7 @@ class OnClassNumber(Estimator):
         self.estimator, self.label = estimator, label
 
     def _fit(self, dataset: DataFrame) -> Model:
-        values = dataset.select(F.col(self.label).cast("double")).distinct().limit(MAX_CLASSES + 1).collect()
-        if len(values) > MAX_CLASSES:
-            raise ValueError(f"{self.label} has more than {MAX_CLASSES} classes")
-        labels = sorted(r[0] for r in values)
+        labels = class_labels(dataset, self.label)
         number = F.array_position(F.lit(labels), F.col(self.label).cast("double")) - 1
         return OnClassNumberModel(self.estimator.fit(dataset.withColumn(self.label, number.cast("double"))), labels)
 

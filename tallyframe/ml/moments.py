@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_WIDTH = 4096
+MAX_CLASSES = 1000
 
 
 def feature_array(df: DataFrame, name: str) -> Column:
@@ -60,9 +61,17 @@ def width(df: DataFrame, features: str) -> int:
     return row["d"]
 
 
+def class_labels(df: DataFrame, label: str) -> list[float]:
+    """All label values in order; a column with more than MAX_CLASSES is not a class label."""
+    found = df.select(F.col(label).cast("double")).distinct().limit(MAX_CLASSES + 1).collect()
+    if len(found) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    return sorted(r[0] for r in found)
+
+
 def class_means(df: DataFrame, features: str, label: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Classes in order, rows per class, and the class means (one row of a small matrix each)."""
-    labels = sorted(float(r[0]) for r in df.select(F.col(label).cast("double")).distinct().limit(MAX_WIDTH).collect())
+    labels = class_labels(df, label)
     d = width(df, features)
     index = {v: i for i, v in enumerate(labels)}
 

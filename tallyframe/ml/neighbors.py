@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import col
+from ..session import durable
 from .moments import feature_array, matrix
 
 LOCAL_ROWS = 20_000
@@ -93,7 +94,8 @@ def _pivot_join(known: DataFrame, asked: DataFrame, k: int, pivots: int, block_r
         cell = d.argmin(axis=1)
         return pd.DataFrame({"cell": cell, "away": np.sqrt(d[np.arange(len(d)), cell])})
 
-    placed = useful.withColumn("p", place("t_x")).select("t_key", "t_x", "t_y", "p.cell", "p.away")
+    # Read several times below, so neither is worked out twice.
+    placed = durable(useful.withColumn("p", place("t_x")).select("t_key", "t_x", "t_y", "p.cell", "p.away"))
     by_away = Window.partitionBy("cell").orderBy("away", "t_key")
     closest = (
         placed.select("cell", "away", "t_key").withColumn("_rank", F.row_number().over(by_away)).where(F.col("_rank") <= k)
@@ -112,7 +114,7 @@ def _pivot_join(known: DataFrame, asked: DataFrame, k: int, pivots: int, block_r
         reach = d - radius <= kth[:, None] * (1 + 1e-9)
         return pd.Series([numbers[row] for row in reach])
 
-    visits = asked.withColumn("cell", F.explode(reachable("q_x")))
+    visits = durable(asked.withColumn("cell", F.explode(reachable("q_x"))))
     visitors = {r["cell"]: r["n"] for r in visits.groupBy("cell").agg(F.count("*").alias("n")).collect()}
     train_cuts = {int(c): -(-int(n) // block_rows) for c, n in zip(cells["cell"], cells["n"])}
     query_cuts = {int(c): -(-visitors.get(c, 0) // block_rows) or 1 for c in train_cuts}

@@ -29,9 +29,10 @@ def stratified_folds(df: DataFrame, label: str, key: str, k: int, out: str = "fo
 
     Rows of a class are numbered in the order of md5(key).  The numbering runs inside 4096 ranges of
     the digest and is shifted by the sizes of the ranges before, so no task sees a whole class.
+    Missing labels form a class of their own.
     """
     digest = F.md5(col(key).cast("string"))
-    placed = df.withColumn("_digest", digest).withColumn("_range", F.substring("_digest", 1, 3)).withColumn("_label", col(label))
+    placed = df.withColumn("_digest", digest).withColumn("_range", F.substring("_digest", 1, 3)).withColumn("_label", F.struct(col(label)))
     before = Window.partitionBy("_label").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
         placed.groupBy("_label", "_range").agg(F.count("*").alias("_n"))

@@ -16,15 +16,32 @@ from .labels import OnClassNumber, OnClassNumberModel
 from .moments import feature_array, width
 
 
+NODE_CACHE = 100_000_000  # rows x trees
+AGGREGATION_MB = 1024  # per task: more nodes are split in one pass over the data
+
+
 def _forest(trees: int, depth: int, seed: int, features: str, label: str) -> RandomForestClassifier:
     return RandomForestClassifier(
-        numTrees=trees, maxDepth=depth, seed=seed, featuresCol=features, labelCol=label, featureSubsetStrategy="sqrt"
+        numTrees=trees, maxDepth=depth, seed=seed, featuresCol=features, labelCol=label, featureSubsetStrategy="sqrt",
+        maxMemoryInMB=AGGREGATION_MB,
     )
 
 
+class ForestOnClassNumber(OnClassNumber):
+    """A forest that remembers the node of every row in every tree while that is small.
+
+    It saves walking deep trees on each pass, but takes rows x trees numbers, so the rows are counted.
+    """
+
+    def _fit(self, dataset: DataFrame) -> Model:
+        forest = self.estimator.getStages()[-1] if isinstance(self.estimator, Pipeline) else self.estimator
+        forest.setCacheNodeIds(dataset.count() * forest.getNumTrees() <= NODE_CACHE)
+        return super()._fit(dataset)
+
+
 def random_forest(trees: int = 150, depth: int = 30, seed: int = 15, features: str = "features", label: str = "label") -> OnClassNumber:
     """Random forest; 30 is the greatest depth Spark grows and stands in for 'no limit'."""
-    return OnClassNumber(_forest(trees, depth, seed, features, label), label)
+    return ForestOnClassNumber(_forest(trees, depth, seed, features, label), label)
 
 
 class RandomCuts(Estimator, HasFeaturesCol, HasOutputCol, HasSeed, DefaultParamsReadable, DefaultParamsWritable):
@@ -71,7 +88,7 @@ def extra_trees(trees: int = 100, depth: int = 30, seed: int = 10, features: str
     """Trees on all rows with random thresholds: random cut points, then a forest without bootstrap."""
     forest = _forest(trees, depth, seed, "cut_features", label).setBootstrap(False)
     cuts = RandomCuts(featuresCol=features, outputCol="cut_features", seed=seed)
-    return OnClassNumber(Pipeline(stages=[cuts, forest]), label)
+    return ForestOnClassNumber(Pipeline(stages=[cuts, forest]), label)
 
 
 def importances(spark: SparkSession, model: Model, names: list[str]) -> DataFrame:

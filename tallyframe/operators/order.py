@@ -33,7 +33,8 @@ def with_position(
 ) -> DataFrame:
     """Add ``position`` (1-based) and, if asked, ``running_total`` of a column, in a total order.
 
-    A small table, checked, is numbered by one window.  A larger one is range-partitioned on the full
+    The table is counted first: hand in a checkpointed one if it is costly to compute.  A small table is
+    numbered by one window.  A larger one is range-partitioned on the full
     order (so ties of one value split by the next key), numbered inside each range, and shifted by the
     totals of the ranges before it.  The partitioned rows are checkpointed because range limits are
     sampled and must not be drawn twice.
@@ -71,9 +72,13 @@ def with_position(
 def cumulative_share(
     df: DataFrame, name: str, value: str, one_task_rows: int = ONE_TASK_ROWS
 ) -> DataFrame:
-    """Rows by descending value with ``share`` of the column total and its running sum ``cumulative``."""
-    whole = df.agg(F.sum(col(value).cast("double"))).scalar()
-    shared = df.withColumn("share", ratio(value, whole))
+    """Rows by descending value with ``share`` of the column total and its running sum ``cumulative``.
+
+    The table is read for its size, its total and its rows, so it is checkpointed first.
+    """
+    rows = durable(df)
+    whole = rows.agg(F.sum(col(value).cast("double"))).scalar()
+    shared = rows.withColumn("share", ratio(value, whole))
     order = descending(value, tie=[name])
     return with_position(shared, order, "share", one_task_rows).withColumnRenamed("running_total", "cumulative")
 

@@ -40,10 +40,10 @@ def _range_number(v: Column, edges: Column) -> Column:
 
 
 def _by_counting(rows: DataFrame, by: list[str], probs: list[float]) -> DataFrame:
-    keys = [f"_g{i}" for i in range(len(by))]
-    renamed = rows.withColumnsRenamed(dict(zip(by, keys))).withColumn("_all", F.lit(0))
-    keys = keys or ["_all"]
-    counts = renamed.groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
+    # One struct as the key, so that a NULL group meets itself in the joins.
+    keyed = rows.select(F.struct(*[col(k) for k in by], F.lit(0).alias("_all")).alias("_k"), "_v")
+    keys = ["_k"]
+    counts = keyed.groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
 
     fractions = [(i + 1) / (FANOUT * FANOUT + 1) for i in range(FANOUT * FANOUT)]
     edges = counts.groupBy(*keys).agg(
@@ -90,7 +90,7 @@ def _by_counting(rows: DataFrame, by: list[str], probs: list[float]) -> DataFram
             for i in range(len(probs))
         ]
     )
-    return found.select(*[F.col(k).alias(b) for k, b in zip(keys, by)], q.alias("q"))
+    return found.select(*[F.col("_k").getField(b).alias(b) for b in by], q.alias("q"))
 
 
 def column_quantiles(

@@ -86,16 +86,18 @@ def with_trend(df: DataFrame, x: str, y: str, out: str = "trend") -> DataFrame:
 
 
 def trend_by_stat(df: DataFrame, stats: Sequence[str], target: str, by: Sequence[str] = ()) -> DataFrame:
-    """Slope, intercept and r of each statistic against one target, per group, in one pass."""
+    """Rows (by, stat, n, mean, slope, intercept, r): each statistic against one target, all in one pass."""
     aggs = [
         F.struct(
             F.lit(s).alias("stat"),
+            F.count("*").alias("n"),
+            F.avg(col(s)).alias("mean"),
             slope(s, target).alias("slope"),
             intercept(s, target).alias("intercept"),
             pearson(s, target).alias("r"),
-        ).alias(f"s{i}")
-        for i, s in enumerate(stats)
+        )
+        for s in stats
     ]
-    row = df.groupBy(*[col(b) for b in by]).agg(*aggs)
-    rows = row.select(*[col(b) for b in by], F.explode(F.array(*[F.col(f"s{i}") for i in range(len(stats))])).alias("t"))
-    return rows.select(*[col(b) for b in by], "t.*")
+    keys = [col(b) for b in by]
+    row = df.groupBy(*keys).agg(F.array(*aggs).alias("t"))
+    return row.select(*keys, F.inline("t"))

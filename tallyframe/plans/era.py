@@ -12,6 +12,8 @@ from ..functions.numeric import col, round_even
 from ..operators.order import top_k_by
 from ..operators.relate import trend_by_stat
 from ..operators.rollup import resum, sum_by
+from ..session import durable
+from .forecast import evaluate
 
 COUNTS = ["G", "AB", "R", "H", "HR", "RBI", "BB", "2B", "3B", "HBP", "SF"]
 RATES = ["AVG", "OPS", "OBP", "SLG"]
@@ -62,9 +64,12 @@ def era_players(
     min_games: int = 100,
     grain: str = "career",
 ) -> DataFrame:
-    """The analysis table: totals and rates per player ('career') or per player and year ('season')."""
+    """The analysis table: totals and rates per player ('career') or per player and year ('season').
+
+    The totals are checkpointed: filling, ranking and fitting then read them, not the batting lines.
+    """
     seasons = season_totals(batting, eras, min_games)
-    return fill_rates(with_rates(career_totals(seasons) if grain == "career" else seasons))
+    return fill_rates(with_rates(durable(career_totals(seasons) if grain == "career" else seasons)))
 
 
 def top_scorers(players: DataFrame, k: int = 100) -> DataFrame:
@@ -73,16 +78,17 @@ def top_scorers(players: DataFrame, k: int = 100) -> DataFrame:
     return top_k_by(players, ["era"], "R", k, tie)
 
 
-def run_trends(players: DataFrame, stats: Sequence[str] = RATES) -> DataFrame:
-    """Slope, intercept and r of runs against each rate, per era."""
+def era_compare(players: DataFrame, stats: Sequence[str] = RATES) -> DataFrame:
+    """Per era and rate: number of rows, mean rate, and slope, intercept and r of runs against it."""
     return trend_by_stat(players, stats, "R", by=["era"])
 
 
-def era_compare(players: DataFrame, stats: Sequence[str] = RATES) -> DataFrame:
-    """Per era and rate: number of rows, mean rate, and its relation to runs."""
-    means = players.groupBy("era").agg(
-        F.count("*").alias("n"),
-        *[F.avg(col(s)).alias(s) for s in stats],
-    )
-    long = means.unpivot(["era", "n"], [col(s) for s in stats], "stat", "mean")
-    return long.join(run_trends(players, stats), ["era", "stat"])
+def fit_runs(players: DataFrame, test_percent: int = 20, seed: int = 0) -> DataFrame:
+    """R2 of runs predicted from the other totals on held-out players, per era."""
+    out = None
+    for era in sorted(r["era"] for r in players.select("era").distinct().collect()):  # one row per era
+        rows = players.where(col("era") == era)
+        scores = evaluate(rows, ["linear"], PREDICTORS, "playerID", "R", test_percent, seed)
+        scores = scores.select(F.lit(era).alias("era"), "n", "train_r2", "r2")
+        out = scores if out is None else out.unionByName(scores)
+    return out

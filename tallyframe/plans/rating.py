@@ -8,7 +8,7 @@ from pyspark.ml import Estimator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.binning import ELA_CUTS, MATH_CUTS, cut_code, share_code
+from ..functions.binning import ELA_CUTS, MATH_CUTS, count_code, cut_code, share_code
 from ..functions.metrics import tests_taken
 from ..functions.numeric import col
 from ..functions.parse import indicator, merge_category, money_to_number, ordinal, percent_to_fraction
@@ -18,7 +18,7 @@ from ..ml.prep import hash_split, preprocessing
 from ..ml.select import cross_validate, leaderboard
 from ..ml.trees import extra_trees, random_forest
 from ..operators.clean import fill_mean, fill_mode
-from ..operators.frame import drop_missing, map_columns
+from ..operators.frame import columns_between, drop_missing, map_columns
 from ..session import durable
 from ..sources.csvfiles import PERCENT_COLUMNS, RATING_COLUMNS
 
@@ -69,6 +69,11 @@ def coded(schools: DataFrame, codes: Mapping[str, int] = CODES) -> DataFrame:
     return map_columns(rows, RATING_COLUMNS, lambda c: ordinal(merge_category(c, RARE, INTO), codes))
 
 
+def binned_counts(schools: DataFrame, first: str) -> DataFrame:
+    """Count codes for every column from ``first`` to the last one."""
+    return map_columns(schools, columns_between(schools, first, schools.columns[-1]).columns, count_code)
+
+
 def final_table(schools: DataFrame, key: str = "SED Code") -> DataFrame:
     """From raw school rows to key, name, target and features."""
     rows = coded(filled(parsed(schools)))

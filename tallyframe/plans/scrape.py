@@ -12,6 +12,7 @@ from ..operators.clean import fill_zero, infer_numeric
 from ..operators.frame import drop_missing
 from ..operators.joins import merge
 from ..operators.order import keep_first
+from ..session import durable
 from ..sources.html import header_names, table_rows, to_columns
 
 
@@ -30,8 +31,11 @@ def season_table(
 
 
 def clean_season(table: DataFrame, key: str, player: str = "Player") -> DataFrame:
-    """Drop header rows, make numbers numeric, fill gaps with 0, keep each player's first row."""
-    named = drop_missing(table, [player])
+    """Drop header rows, make numbers numeric, fill gaps with 0, keep each player's first row.
+
+    The cells are checkpointed: the pass that decides the types must not parse the pages a second time.
+    """
+    named = durable(drop_missing(table, [player]))
     typed = fill_zero(infer_numeric(named, [c for c in table.columns if c not in (key, "row")]))
     return keep_first(typed, [player], [col(key), F.col("row")]).drop(key, "row")
 

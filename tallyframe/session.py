@@ -26,17 +26,18 @@ def local_session(cores: int | str = "*", memory: str = "8g", partitions: int =
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Cut lineage through a reliable checkpoint.
+    """Cut lineage through a reliable checkpoint, so that later passes and lost executors do not redo the work.
 
-    The directory is the shared folder the cluster names in ``spark.checkpoint.dir``.  Only where
-    that is unset and the master is local does a temporary folder stand in for it.
+    The folder is the shared one the session names in ``spark.checkpoint.dir``.  Only where that is
+    unset and the master is local does a temporary folder stand in for it.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir")
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = os.path.join(tempfile.gettempdir(), "tallyframe-checkpoints")
+    session = df.sparkSession
+    context = session.sparkContext
+    folder = session.conf.get("spark.checkpoint.dir", None)
+    if folder is None and context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = os.path.join(tempfile.gettempdir(), "tallyframe-checkpoints")
+    if folder is not None and folder not in (context.getCheckpointDir() or ""):
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)

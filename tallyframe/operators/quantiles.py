@@ -2,60 +2,64 @@
 
 Spark's ``percentile`` keeps a value -> count map of a whole group in one task, so it is used only
 below a checked row count.  Beyond it the quantile is found by counting: rows are first reduced to
-distinct values with counts, cut into ~1000 value ranges of about equal size, and only the ranges that
-hold a wanted rank are sorted.
+distinct values with counts, cut into value ranges of about equal size, and only the ranges that hold a
+wanted rank are sorted.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import col
+from ..session import durable
 from .bounded import join_lookup
 
 MAP_ROWS = 1_000_000
-FANOUT = 32  # ranges are found in two steps of FANOUT comparisons each
+RANGE_ROWS = 250_000  # values per range aimed at
+MOST_STEPS = 64
 
 
 def quantiles(
-    df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float], map_rows: int = MAP_ROWS
+    df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float], map_rows: int = MAP_ROWS, range_rows: int = RANGE_ROWS
 ) -> DataFrame:
     """One row per group: the group columns and ``q``, an array with one quantile per probability."""
     rows = df.where(col(value).isNotNull()).select(*[col(k) for k in by], col(value).cast("double").alias("_v"))
-    if rows.limit(map_rows + 1).count() <= map_rows:
+    size = rows.count()
+    if size <= map_rows:
         wanted = F.percentile(F.col("_v"), F.array(*[F.lit(float(p)) for p in probs]))
         return rows.groupBy(*[col(k) for k in by]).agg(wanted.alias("q"))
-    return _by_counting(rows, list(by), [float(p) for p in probs])
+    steps = min(MOST_STEPS, max(2, math.ceil(math.sqrt(size / range_rows))))
+    return _by_counting(rows, list(by), [float(p) for p in probs], steps)
 
 
-def _range_number(v: Column, edges: Column) -> Column:
-    """How many of the sorted edges lie below v, with 2 * FANOUT comparisons."""
-    coarse = F.transform(F.sequence(F.lit(1), F.lit(FANOUT)), lambda i: F.get(edges, i * FANOUT - 1))
-    step = F.size(F.filter(coarse, lambda e: e < v))
-    fine = F.slice(edges, step * FANOUT + 1, F.lit(FANOUT))
-    return F.least(step, F.lit(FANOUT)) * FANOUT + F.size(F.filter(fine, lambda e: e < v))
+def _range_number(v: Column, edges: Column, coarse: Column, steps: int) -> Column:
+    """How many of the steps^2 sorted edges lie below v, with 2 * steps comparisons."""
+    whole = F.size(F.filter(coarse, lambda e: e < v))
+    fine = F.slice(edges, whole * steps + 1, F.lit(steps))
+    return whole * steps + F.size(F.filter(fine, lambda e: e < v))
 
 
-def _by_counting(rows: DataFrame, by: list[str], probs: list[float]) -> DataFrame:
+def _by_counting(rows: DataFrame, by: list[str], probs: list[float], steps: int) -> DataFrame:
     # One struct as the key, so that a NULL group meets itself in the joins.
     keyed = rows.select(F.struct(*[col(k) for k in by], F.lit(0).alias("_all")).alias("_k"), "_v")
-    keys = ["_k"]
-    counts = keyed.groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
+    counts = durable(keyed.groupBy("_k", "_v").agg(F.count("*").alias("_n")))
 
-    fractions = [(i + 1) / (FANOUT * FANOUT + 1) for i in range(FANOUT * FANOUT)]
-    edges = counts.groupBy(*keys).agg(
-        F.percentile_approx("_v", fractions, 10 * FANOUT * FANOUT).alias("_edges")
+    cuts = steps * steps
+    fractions = [(i + 1) / (cuts + 1) for i in range(cuts)]
+    edges = counts.groupBy("_k").agg(F.percentile_approx("_v", fractions, 4 * cuts).alias("_edges")).withColumn(
+        "_coarse", F.transform(F.sequence(F.lit(1), F.lit(steps)), lambda i: F.get("_edges", i * steps - 1))
     )
-    placed = join_lookup(counts, edges, keys).withColumn("_r", _range_number(F.col("_v"), F.col("_edges"))).drop("_edges")
+    number = _range_number(F.col("_v"), F.col("_edges"), F.col("_coarse"), steps)
 
-    # At most FANOUT^2 + FANOUT rows per group from here on.
-    in_order = Window.partitionBy(*keys).orderBy("_r")
-    whole = Window.partitionBy(*keys)
+    # At most cuts + 1 rows per group, of which those that hold a wanted rank are kept.
+    in_order, whole = Window.partitionBy("_k").orderBy("_r"), Window.partitionBy("_k")
     ranges = (
-        placed.groupBy(*keys, "_r").agg(F.sum("_n").alias("_in"))
+        join_lookup(counts, edges, ["_k"]).groupBy("_k", number.alias("_r"))
+        .agg(F.sum("_n").alias("_in"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
         .withColumn("_before", F.sum("_in").over(in_order) - F.col("_in"))
         .withColumn("_total", F.sum("_in").over(whole))
     )
@@ -69,21 +73,25 @@ def _by_counting(rows: DataFrame, by: list[str], probs: list[float]) -> DataFram
 
     needed = F.lit(False)
     for p in probs:
-        _, low, high = ranks(p)
-        for rank in (low, high):
+        for rank in ranks(p)[1:]:
             needed = needed | holds(rank, F.col("_before"), F.col("_in"))
-    wanted = ranges.where(needed).drop("_in")
-
-    inside = Window.partitionBy(*keys, "_r").orderBy("_v")
-    ranked = join_lookup(placed, wanted, [*keys, "_r"]).withColumn(
-        "_start", F.col("_before") + F.sum("_n").over(inside) - F.col("_n")
+    wanted = ranges.where(needed).groupBy("_k").agg(F.collect_list(F.struct("_r", "_low", "_high", "_before", "_total")).alias("_w"))
+
+    v = F.col("_v")
+    inside = Window.partitionBy("_k", "_r").orderBy("_v")
+    ranked = (
+        join_lookup(counts, wanted, ["_k"])
+        .withColumn("_w", F.get(F.filter("_w", lambda w: (w["_low"] <= v) & (v <= w["_high"])), F.lit(0)))
+        .where("_w is not null")
+        .select("_k", "_v", "_n", "_w.*")
+        .withColumn("_start", F.col("_before") + F.sum("_n").over(inside) - F.col("_n"))
     )
     picks = []
     for i, p in enumerate(probs):
         position, low, high = ranks(p)
-        at = [F.max(F.when(holds(r, F.col("_start"), F.col("_n")), F.col("_v"))) for r in (low, high)]
+        at = [F.max(F.when(holds(r, F.col("_start"), F.col("_n")), v)) for r in (low, high)]
         picks += [at[0].alias(f"_lo{i}"), at[1].alias(f"_hi{i}"), F.max(position - low).alias(f"_f{i}")]
-    found = ranked.groupBy(*keys).agg(*picks)
+    found = ranked.groupBy("_k").agg(*picks)
     q = F.array(
         *[
             F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")

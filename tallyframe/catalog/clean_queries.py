@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import binning, parse
-from ..functions.numeric import col
 from ..operators import clean, distribution, frame
 from .registry import PART_SQL, part_with_gaps, query, rounded, table
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.numeric import col, ratio, total
-from ..operators import frame, joins, profile, rollup
+from ..operators import frame, joins, order, profile, rollup
 from ..plans import cohort
 from .registry import PART_SQL, part_with_gaps, query, rounded, table
 
@@ -152,6 +152,18 @@ def join_nullsafe(spark, folder):
     return joins.merge(part, brands, ["p_brand"], null_safe=True)
 
 
+@query(
+    "join_salted",
+    """SELECT l.l_returnflag, l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_quantity AS l_quantity_x, f.l_quantity AS l_quantity_y
+FROM lineitem l JOIN (SELECT l_returnflag, sum(l_quantity) AS l_quantity FROM lineitem GROUP BY 1) f USING (l_returnflag)""",
+)
+def join_salted(spark, folder):
+    """Three keys, each with about a third of the lines."""
+    line = table(spark, folder, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    flags = line.groupBy("l_returnflag").agg(F.sum("l_quantity").alias("l_quantity"))
+    return joins.merge(line, flags, ["l_returnflag"], salts=8)
+
+
 # Orders as seasons and customers as players: rookie year = year of the first order.
 _COHORT = """seasons AS (SELECT CAST(year(o_orderdate) AS INT) AS "Year", 'c' || o_custkey || '*' AS "Player", o_orderstatus AS "Tm",
   CAST(o_orderkey % 82 + 1 AS DOUBLE) AS "G", o_totalprice / 100 AS "MP", o_totalprice / 1000 AS "PER" FROM orders),
@@ -198,9 +210,9 @@ def sorted_cohorts(spark, folder):
 
 @query(
     "dedup_first",
-    "SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1",
+    """SELECT event_id, user_id, event_type, value, props FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1""",
 )
 def dedup_first(spark, folder):
-    from ..operators.order import keep_first
-
-    return keep_first(table(spark, folder, "events"), ["user_id"], [F.col("event_id")])
+    events = table(spark, folder, "events").select("event_id", "user_id", "event_type", "value", "props")
+    return order.keep_first(events, ["user_id"], [F.col("event_id")])

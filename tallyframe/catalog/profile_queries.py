@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.numeric import col, round_even
-from ..operators import clean, distribution, order, profile, relate
+from ..operators import distribution, order, profile, relate
 from .registry import PART_SQL, part_with_gaps, query, rounded, table
 
 _PART_COLUMNS = {

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions.metrics import draft_class, minutes_per_game
 from ..functions.numeric import col

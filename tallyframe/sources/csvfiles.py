@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.metrics import GRADES
+from ..functions.numeric import quote
 
 
 def schema_of(**groups: Sequence[str]) -> T.StructType:
@@ -53,15 +55,27 @@ SCHOOLS = schema_of(
 )
 
 
+# Field texts that mean "missing" besides an empty field.
+MISSING = (
+    "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "N/A", "NA", "NULL", "NaN",
+    "n/a", "nan", "null",
+)
+
+
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType, whole: bool = False) -> DataFrame:
-    """Read CSV with a header; empty fields are NULL, a field that does not fit its type is an error.
+    """Read CSV with a header; empty and missing-marked fields are NULL, any other misfit is an error.
 
-    By default the schema names the wanted columns, in any order: the header of the file is matched by
-    name, all columns are read as text, and only the wanted ones are cast.  With ``whole`` the schema
-    must list every column in file order, which lets the parser skip unused columns.
+    By default the schema names the wanted columns, in any order, and they are matched with the header of
+    the file.  With ``whole`` the schema lists all columns in file order and gives them its own names.
+    Fields come in as text and are cast, because a typed reader would stop at a missing marker.
     """
     reader = spark.read.option("header", True).option("nullValue", "").option("mode", "FAILFAST")
     if whole:
-        return reader.schema(schema).csv(path)
+        reader = reader.option("enforceSchema", True).schema(T.StructType([T.StructField(n, T.StringType()) for n in schema.names]))
     text = reader.csv(path)
-    return text.select(*[text[f"`{f.name}`"].cast(f.dataType).alias(f.name) for f in schema.fields])
+
+    def typed(field: T.StructField) -> Column:
+        value = text[quote(field.name)]
+        return F.when(~value.isin(*MISSING), value).cast(field.dataType).alias(field.name)
+
+    return text.select(*[typed(f) for f in schema.fields])

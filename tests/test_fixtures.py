@@ -268,6 +268,12 @@ def test_csv_by_name_and_whole(spark, tmp_path):
     people.write_text("name,from,to,pos,h,w,born,college\nAl*,1990,1995,G,6-1,190,x,\n")
     player = read_csv(spark, str(people), PLAYERS, whole=True).first()
     assert player["Rookie Year"] == 1990 and player["College"] is None
+    marked = tmp_path / "marked.csv"
+    marked.write_text("playerID," + ",".join(c for c in columns if c != "playerID") + "\nx," + ",".join(["N/A"] * (len(columns) - 1)) + "\n")
+    assert [v for v in read_csv(spark, str(marked), BATTING).first() if v is not None] == ["x"]
+    marked.write_text("playerID," + ",".join(c for c in columns if c != "playerID") + "\nx," + ",".join(["7q"] * (len(columns) - 1)) + "\n")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        read_csv(spark, str(marked), BATTING).collect()
 
 
 def test_metrics(frame):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.ml.neighbors import knn_regress, nearest
 from tallyframe.ml.prep import hash_split, stratified_folds
-from tallyframe.operators import bounded, order
+from tallyframe.operators import bounded, clean, distribution, joins, order, profile
 from tallyframe.operators.quantiles import quantiles
 
 PROBS = [0.0, 0.2, 0.25, 0.5, 0.777, 0.99, 1.0]
@@ -107,3 +107,29 @@ def test_split_does_not_depend_on_partitioning(spark):
     train, test = hash_split(df, "id", 25, 99)
     assert rows_of(train) == rows_of(hash_split(df.repartition(9), "id", 25, 99)[0])
     assert train.count() + test.count() == 1000 and 200 < test.count() < 300
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_salted_join(spark, null_safe):
+    left = skewed(spark, 3000).select("g", F.monotonically_increasing_id().alias("id"), F.col("x").alias("v"))
+    right = skewed(spark, 40).select("g", F.monotonically_increasing_id().alias("id"))
+    plain = joins.merge(left, right, ["g"], null_safe=null_safe)
+    salted = joins.merge(left, right, ["g"], null_safe=null_safe, salts=5)
+    assert plain.columns == salted.columns == ["g", "id_x", "v", "id_y"]
+    assert rows_of(plain) == rows_of(salted)
+    assert joins.hot_keys(left, ["g"], 0.3).collect() == [(0,)]
+
+
+def test_results_do_not_depend_on_partitioning(spark):
+    df = skewed(spark, 2000).withColumn("id", F.monotonically_increasing_id()).persist()
+    one, many = df.repartition(1), df.repartition(16)
+    for fn in (
+        lambda d: order.keep_first(d, ["g"], [F.col("id")]),
+        lambda d: order.top_k(d, "x", 25, ["id"]),
+        lambda d: order.top_k_by(d, ["g"], "x", 3, ["id"]),
+        lambda d: clean.column_modes(d, ["x"]),
+        lambda d: profile.value_counts(d, "g"),
+        lambda d: distribution.histogram(d, "x", 7),
+        lambda d: distribution.quantile_bin_counts(d.where("x != 7.5"), "x", 4),
+    ):
+        assert rows_of(fn(one)) == rows_of(fn(many))

@@ -70,18 +70,15 @@ def class_labels(df: DataFrame, label: str) -> list[float]:
 
 
 def class_means(df: DataFrame, features: str, label: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Classes in order, rows per class, and the class means (one row of a small matrix each)."""
-    labels = class_labels(df, label)
-    d = width(df, features)
-    index = {v: i for i, v in enumerate(labels)}
-
-    def partial(batch: pd.DataFrame) -> dict[str, np.ndarray]:
-        x, hot = matrix(batch["x"]), one_hot(batch["y"], index)
-        return {"n": hot.sum(axis=0), "s": hot.T @ x}
-
-    rows = df.select(feature_array(df, features).alias("x"), F.col(label).cast("double").alias("y"))
-    sums = summed_matrices(rows, partial, {"n": (len(labels),), "s": (len(labels), d)})
-    return np.array(labels), sums["n"], sums["s"] / sums["n"][:, None]
+    """Classes in order, rows per class, and class means: one grouped pass, one row per class comes back."""
+    rows = df.select(F.col(label).cast("double").alias("y"), array_to_vector(feature_array(df, features)).alias("x"))
+    sums = rows.groupBy("y").agg(F.count("*").alias("n"), Summarizer.mean(F.col("x")).alias("mean"))
+    found = sorted(sums.limit(MAX_CLASSES + 1).collect())
+    if len(found) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    if not found:
+        raise ValueError("cannot fit on an empty table")
+    return np.array([r["y"] for r in found]), np.array([r["n"] for r in found], float), np.array([r["mean"].toArray() for r in found])
 
 
 def one_hot(y: pd.Series, index: dict[float, int]) -> np.ndarray:

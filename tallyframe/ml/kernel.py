@@ -32,7 +32,8 @@ class KernelRegression(Estimator, _Kernel, DefaultParamsReadable, DefaultParamsW
     """Minimise |w|^2 / 2 + C * sum of losses beyond the tube.
 
     Each iteration is one distributed pass that sums a weighted Gram matrix (iteratively reweighted least
-    squares, Perez-Cruz et al. 2000); the best iterate by the objective is kept.
+    squares, Perez-Cruz et al. 2000); the best iterate by the objective is kept.  Hand in a checkpointed
+    table if its rows are costly to compute.
     """
 
     @keyword_only
@@ -50,7 +51,7 @@ class KernelRegression(Estimator, _Kernel, DefaultParamsReadable, DefaultParamsW
         freq, phase = random_features(width(dataset, self.getFeaturesCol()), m, get("gamma"), get("seed"))
         rows = dataset.select(
             feature_array(dataset, self.getFeaturesCol()).alias("x"), F.col(self.getLabelCol()).cast("double").alias("y")
-        ).cache()
+        )
         mean = rows.agg(F.avg("y")).first()[0]
 
         def expand(batch: pd.DataFrame) -> np.ndarray:
@@ -81,7 +82,6 @@ class KernelRegression(Estimator, _Kernel, DefaultParamsReadable, DefaultParamsW
             if value < best_value:
                 best, best_value = w, value
             w = np.linalg.solve(sums["zz"] + penalty, sums["zy"])
-        rows.unpersist()
         return KernelRegressionModel()._set(
             featuresCol=self.getFeaturesCol(), labelCol=self.getLabelCol(), predictionCol=self.getPredictionCol(),
             frequencies=freq.T.tolist(), phases=phase.tolist(), weights=best.tolist(),

@@ -128,7 +128,7 @@ class LinearSvc(Estimator, LinearScores, DefaultParamsReadable, DefaultParamsWri
         c = self.getOrDefault(self.C)
         rows = dataset.select(
             feature_array(dataset, self.getFeaturesCol()).alias("x"), F.col(self.getLabelCol()).cast("double").alias("y")
-        ).persist()
+        )
         labels, counts, means = class_means(rows, "x", "y")
         k, d = len(labels), means.shape[1] + 1
         index = {v: i for i, v in enumerate(labels)}
@@ -155,5 +155,4 @@ class LinearSvc(Estimator, LinearScores, DefaultParamsReadable, DefaultParamsWri
                 break
             move = np.linalg.solve(hessian, gradient[:, :, None])[:, :, 0]
             w = np.where(good[:, None], w - move, 0.5 * (w + best))
-        rows.unpersist()
         return score_model(self, labels, best[:, :-1], best[:, -1])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators.order import descending
 from ..operators.profile import score_summary
+from ..session import durable
 from .metrics import classification_metrics
 from .prep import stratified_folds
 
@@ -19,10 +20,10 @@ def cross_validate(
 ) -> DataFrame:
     """Score of every model on every fold: rows (model, fold, score).
 
-    Folds are fixed by the key, kept in the executors' storage while the models are fitted, and the
-    scores, one number per model and fold, are all that comes back.
+    Folds are fixed by the key and checkpointed, because every fit reads them many times; the scores, one
+    number per model and fold, are all that comes back.
     """
-    folded = stratified_folds(df, label, key, k).persist()
+    folded = durable(stratified_folds(df, label, key, k))
     scores = []
     for fold in range(k):
         train, held = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
@@ -30,7 +31,6 @@ def cross_validate(
             predicted = estimator.fit(train).transform(held)
             score = classification_metrics(predicted, label, "prediction").first()[metric]
             scores.append((name, fold, score))
-    folded.unpersist()
     return df.sparkSession.createDataFrame(scores, "model string, fold int, score double")
 
 

@@ -15,6 +15,7 @@ from ..ml.neighbors import knn_regress
 from ..ml.prep import assembler, hash_split
 from ..ml.score import forecast_top, with_actuals
 from ..operators.frame import rename_all
+from ..session import durable
 
 COLUMNS = ["Player", "Pos_x", "G_x", "MP_x", "PS/G", "AST", "TRB", "3P%", "FG%", "FT%", "eFG%", "VORP", "TS%", "BPM", "PER", "WS"]
 NAMES = ["Player", "Pos", "G", "MP", *COLUMNS[4:]]
@@ -42,7 +43,7 @@ def fit(
     model: str, train: DataFrame, features: Sequence[str] = FEATURES, key: str = "Player", target: str = TARGET
 ) -> Callable[[DataFrame], DataFrame]:
     """Fit a model ('linear', 'kernel' or 'neighbors') and return how it scores a season: (key, label, prediction)."""
-    known = _vectors(train, features, key, target)
+    known = durable(_vectors(train, features, key, target))  # models read it many times
     if model == "neighbors":
         def apply(rows: DataFrame) -> DataFrame:
             return knn_regress(known, rows, "features", "label", key)

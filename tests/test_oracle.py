@@ -6,6 +6,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import compare, connect
+from tallyframe.catalog import QUERIES
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 SLOW = {"cv_leaderboard", "random_forest", "extra_trees", "rf_importance", "rating_classifier", "regression_comparison", "top10_kernel"}
@@ -16,7 +17,7 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", [n for n in queries() if n not in SLOW])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in SLOW])
 def test_query(spark, con, name):
     assert compare(spark, con, name, FOLDER) is None
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, linededup, mixing, sharding
+from . import decontam, linededup, mixing, quality, sharding
 from .registry import ORACLES, QUERIES, query, table
 from .store import stored
 
@@ -114,3 +114,11 @@ def mixed_sources(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(docs.withColumn("sources", F.array("source")), "doc_id", "size", "sources", weights, seed=0, most=3)
     joined = mixed.join(F.broadcast(goals), F.col("source").eqNullSafe(F.col("goal_source")))  # at most MAX_SOURCES rows
     return joined.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op4_quality_classifier")
+def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, folder, "labels").select("doc_id", "quality"))
+    scored = quality.score(docs, model)
+    return scored.select("doc_id", quality.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, linededup, mixing, quality, sharding
+from . import decontam, jaccard, linededup, mixing, quality, sharding
 from .registry import ORACLES, QUERIES, query, table
 from .store import stored
 
@@ -122,3 +122,20 @@ def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     model = quality.fit(docs, table(spark, folder, "labels").select("doc_id", "quality"))
     scored = quality.score(docs, model)
     return scored.select("doc_id", quality.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query(
+    "op9_jaccard_join",
+    r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x20\x09-\x0D]+') AS w FROM documents),
+    s AS (SELECT DISTINCT doc_id, hash(array_to_string(w[pos + 1 : pos + 5], ' ')) AS h, array_to_string(w[pos + 1 : pos + 5], ' ') AS run
+          FROM (SELECT doc_id, w, unnest(range(greatest(len(w) - 4, 1))) AS pos FROM w WHERE len(w) > 0)),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    meet AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.run = b.run AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+    links AS (SELECT a, b FROM meet JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 80 * (x.n + y.n - i)),
+    reach AS (SELECT doc_id AS a, doc_id AS b FROM w UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+    SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id
+    FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)""",
+)
+def jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, folder, "documents"), "doc_id", "text", n=5, percent=80)

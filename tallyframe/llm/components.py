@@ -23,18 +23,20 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """
     high, low = F.greatest(a, b), F.least(a, b)
     now = stored(edges.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(high.alias("u"), low.alias("v")).distinct())
-    mark = None
-    while True:
+    def mark(df: DataFrame) -> tuple:
+        return tuple(df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
+
+    before = mark(now)
+    while before[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _smallest(both).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
         small = _smallest(large)
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
         now = stored(small.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-        seen = tuple(now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
-        if seen == mark:
+        before, last = mark(now), before
+        if before == last:
             break
-        mark = seen
     members = now.select(F.col("u").alias("id"), F.col("v").alias("component"))
     loops = edges.where(F.col(a) == F.col(b)).select(F.col(a).alias("id")).distinct().join(members.select("id"), "id", "left_anti")
     roots = now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()

@@ -14,6 +14,7 @@ from .components import components
 from .store import stored
 from .text import WordHasher, by_spaces, mixed, utf8, windows
 
+HUBS = (1, 8, 16)  # members of a group that are compared with the others in a turn; the last number goes on
 LARGE = 64  # members of a group that is split by further signatures rather than compared hub by hub
 
 
@@ -189,31 +190,26 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", n: i
     rows = stored(_shared(_signatures(docs, n, percent)))
     copies = rows.where("n = -1").select(F.col("key").alias("a"), F.col("id").alias("b"))
     groups = stored(_once(rows.where("n is null").select("key", "id")))
-    links = [copies]
-    ids = groups.select("id").distinct()
-    sets = stored(_sets(docs, ids, n)) if not groups.isEmpty() else None
-    tested = None
-    turn = 0
+    linked, classes = copies, stored(components(copies, "a", "b"))
+    sets = None if groups.isEmpty() else stored(_sets(docs, groups.select("id").distinct(), n))
+    tested, turn = None, 0
     while sets is not None:
-        linked = links[0]
-        for more in links[1:]:
-            linked = linked.unionByName(more)
-        classes = stored(components(linked, "a", "b"))
         sizes = classes.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
         known = classes.join(sizes, "component").select("id", "component", "members")
         now = groups.join(known, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"), F.coalesce("members", F.lit(1)).alias("members"))
-        hubs = [F.min(F.struct(F.log2("members").cast("int").alias("s"), F.xxhash64("id", F.lit(turn * 64 + i)).alias("r"), "id", "c")) for i in range(min(16, 2**turn))]
-        chosen = now.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("m"), F.array(*hubs).alias("hubs")).where("lo < hi")
+        order = [F.struct(F.log2("members").cast("int").alias("s"), F.xxhash64("id", F.lit(turn * 64 + i)).alias("r"), "id", "c") for i in range(HUBS[min(turn, len(HUBS) - 1)])]
+        chosen = now.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("m"), F.array(*map(F.min, order)).alias("hubs")).where("lo < hi")
         chosen = stored(chosen.select("key", "m", F.array_distinct(F.transform("hubs", lambda h: F.struct(h["id"].alias("id"), h["c"].alias("c")))).alias("hubs")))
         if chosen.isEmpty():
             break
         meet = now.join(chosen, "key").select("id", "c", F.explode("hubs").alias("hub")).where(F.col("c") != F.col("hub.c"))
         pairs = meet.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs)
+        pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
         tested = pairs if tested is None else tested.unionByName(pairs)
-        links.append(stored(_links(pairs, sets, percent)))
+        found = stored(_links(pairs, sets, percent))
+        if not found.isEmpty():
+            linked = linked.unionByName(found)
+            classes = stored(components(linked, "a", "b"))
         done = chosen.select("key", F.explode("hubs.id").alias("id"))
         rest = groups.join(chosen.select("key"), "key", "left_semi").join(done, ["key", "id"], "left_anti").select("key", "id")
         turn += 1
@@ -223,10 +219,6 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", n: i
                 split = _refined(rest.join(large, "key", "left_semi"), sets, percent, turn)
                 rest = rest.join(large, "key", "left_anti").unionByName(split)
         groups = stored(_once(rest))
-    linked = links[0]
-    for more in links[1:]:
-        linked = linked.unionByName(more)
-    classes = components(linked, "a", "b")
     named = rows.where("n >= 0").select("id", "n").join(classes, "id", "left")
     out = named.select(F.col("id").alias(key), F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
     return out.unionByName(_nameless(nameless, key, n))

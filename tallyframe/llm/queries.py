@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontam, jaccard, linededup, mixing, quality, sharding
@@ -81,8 +81,8 @@ def source_weights(names: list[str | None]) -> dict[str | None, float]:
     return {n: i % 3 + 1 for i, n in enumerate(ordered)}
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("size", F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long"))
+def n_words(text: str) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
 @query(
@@ -104,7 +104,7 @@ def sized(docs: DataFrame) -> DataFrame:
            CAST(CASE WHEN size = 0 THEN 0 ELSE (flow // source_size) * size + least(greatest(flow % source_size - before, 0), size) END AS BIGINT) AS taken FROM p""",
 )
 def mixed_sources(spark: SparkSession, folder: str) -> DataFrame:
-    docs = stored(sized(table(spark, folder, "documents").select("doc_id", "source", "text")).drop("text"))
+    docs = stored(table(spark, folder, "documents").select("doc_id", "source", n_words("text").alias("size")))
     held = docs.groupBy("source").agg(F.sum("size").alias("n")).limit(MAX_SOURCES + 1).collect()
     if len(held) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, jaccard, linededup, mixing, quality, sharding
+from . import decontam, jaccard, linededup, mixing, quality, rules, sharding
 from .registry import ORACLES, QUERIES, query, table
 from .store import stored
 
@@ -139,3 +139,9 @@ def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 )
 def jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, folder, "documents"), "doc_id", "text", n=5, percent=80)
+
+
+@query("op2_quality_rules")
+def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = rules.quality_rules(table(spark, folder, "documents").select("doc_id", "text"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, jaccard, linededup, mixing, quality, rules, sharding
+from . import decontam, jaccard, licenses, linededup, mixing, privacy, quality, rules, sharding
 from .registry import ORACLES, QUERIES, query, table
 from .store import stored
 
@@ -145,3 +145,27 @@ def jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = rules.quality_rules(table(spark, folder, "documents").select("doc_id", "text"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op7_pii_surrogates")
+def pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    replaced = privacy.replace_personal(docs, key="tallyframe")
+    return replaced.select("doc_id", "text", "n_entities", F.array_join("entities", ",").alias("entities"))
+
+
+@query(
+    "op8_license_scan",
+    f"""WITH known AS (SELECT sha256({licenses.sql_canonical("t")}) AS digest, min(id) AS id
+                   FROM (VALUES {", ".join("('%s', '%s')" % (k, v.replace("'", "''")) for k, v in licenses.KNOWN.items())}) v(id, t) GROUP BY 1),
+    lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents),
+    found AS (SELECT doc_id, count(*) AS n, string_agg(DISTINCT id, ',' ORDER BY id) AS ids
+              FROM lines JOIN known ON digest = sha256({licenses.sql_canonical("line")}) GROUP BY doc_id),
+    d AS (SELECT doc_id, {licenses.sql_canonical("text")} AS kept FROM documents)
+    SELECT doc_id, CASE WHEN kept <> '' THEN sha256(kept) END AS canonical_sha256, known.id AS license_id,
+           coalesce(ids, '') AS line_licenses, coalesce(n, 0) AS n_license_lines
+    FROM d LEFT JOIN known ON kept <> '' AND digest = sha256(kept) LEFT JOIN found USING (doc_id)""",
+)
+def license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan(table(spark, folder, "documents").select("doc_id", "text"), licenses.known_licenses(spark))
+    return found.select("doc_id", "canonical_sha256", "license_id", F.array_join("line_licenses", ",").alias("line_licenses"), "n_license_lines")

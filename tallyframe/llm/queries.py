@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, jaccard, licenses, linededup, mixing, privacy, quality, rules, sharding
+from . import decontam, jaccard, licenses, linededup, mixing, privacy, quality, rules, sharding, suffixdedup
 from .registry import ORACLES, QUERIES, query, table
 from .store import stored
 
@@ -169,3 +169,9 @@ def pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
 def license_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = licenses.scan(table(spark, folder, "documents").select("doc_id", "text"), licenses.known_licenses(spark))
     return found.select("doc_id", "canonical_sha256", "license_id", F.array_join("line_licenses", ",").alias("line_licenses"), "n_license_lines")
+
+
+@query("op6_suffix_dedup")
+def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = suffixdedup.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"), width=200)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

@@ -105,6 +105,7 @@ def surrogate(kind: Column, core: Column, attempt: Column, key: str) -> Column:
         F.when(kind == "card", F.concat(payload, check.cast("string"))).when(kind == "phone", F.concat(F.substring(core, F.lit(1), F.lit(1)), F.substring(digits, F.lit(2), F.length(core))))
         .when(kind == "address", octets).when(kind == "email", mail)
         .when(kind == "cloud_key", F.concat(F.substring(core, 1, 4), F.substring(shaped(core, digest), F.lit(5), F.length(core))))
+        .when((kind == "secret") & core.rlike("^[0-9a-f]+$"), F.rpad(digest, F.length(core), digest))
         .when(kind.startswith("given_") | kind.startswith("family"), invented(kind, digest, attempt)).otherwise(digits)
     )
 

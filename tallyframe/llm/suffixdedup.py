@@ -170,7 +170,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", width: int = 200, gram:
     16 bytes, spans the covered (start, stop), not yet merged.
 
     Regions whose anchor occurs once hold nothing that is repeated.  A region that occurs twice, byte for byte, is
-    repeated as a whole.  Where an anchor has several different regions, these meet in a shard, whose suffixes are
+    repeated as a whole.  Where an anchor has several different regions, one of them met once, these meet in a shard, whose suffixes are
     sorted by induction; a window is repeated when it is a common prefix of neighbours.
     """
     own = docs.select(F.col(text).cast("string").alias("text"))
@@ -180,7 +180,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", width: int = 200, gram:
     kinds = stored(shared.groupBy("h", "d").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("t", "at", "size")).alias("one")))
     twice = kinds.where("n > 1").select("h", "d")
     whole = shared.join(twice, ["h", "d"]).select("t", F.col("at").alias("start"), (F.col("at") + F.col("size")).alias("stop"))
-    several = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+    several = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).where("kinds > 1 and least = 1").select("h", "kinds")
     wanted = kinds.join(several, "h").select("h", "d", "one.t", "one.at", "one.size", "kinds")
     regions = stored(_bytes(own, wanted.drop("kinds")).join(several, "h"))
     common = regions.where(F.col("kinds") <= hot_regions).drop("kinds")

@@ -125,9 +125,9 @@ def prefix_sums(s: np.ndarray) -> np.ndarray:
     return total
 
 
-def permuted_common_prefixes(s: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def permuted_common_prefixes(s: np.ndarray, order: np.ndarray, least: int = 1) -> tuple[np.ndarray, np.ndarray]:
     """Of each suffix, by place in the string: the suffix before it in ``order`` (-1: none) and the length of their
-    common prefix.
+    common prefix; one shorter than ``least`` may be told as 0.
 
     Only where the symbols left of both differ is a prefix compared, by hashes of halving length; everywhere else it is
     one shorter than that of the place to the left.
@@ -143,15 +143,20 @@ def permuted_common_prefixes(s: np.ndarray, order: np.ndarray) -> tuple[np.ndarr
     some = y >= 0
     x, y = x[some], y[some]
     total, down = prefix_sums(s), powers(pow(BASE, -1, 1 << 64), n + 1)
-    length, step = np.zeros(len(x), np.int64), 1
-    while step * 2 <= n:
-        step *= 2
+
+    def equal(a: np.ndarray, b: np.ndarray, m: int) -> np.ndarray:
+        return (total[a + m] - total[a]) * down[a] == (total[b + m] - total[b]) * down[b]
+
+    long = np.flatnonzero(n - np.maximum(x, y) >= least)
+    long = long[equal(x[long], y[long], least)]
+    some = np.flatnonzero(some)[long]
+    x, y = x[long], y[long]
+    length, step = np.full(len(x), least, np.int64), 1 << n.bit_length()
     limit = n - np.maximum(x, y)
-    while step:
+    while step and len(x):
         fits = np.flatnonzero(length + step <= limit)
-        a, b = x[fits] + length[fits], y[fits] + length[fits]
-        same = (total[a + step] - total[a]) * down[a] == (total[b + step] - total[b]) * down[b]
-        length[fits[same]] += step
+        same = fits[equal(x[fits] + length[fits], y[fits] + length[fits], step)]
+        length[same] += step
         step //= 2
     at_heads = np.zeros(len(heads), np.int64)
     at_heads[some] = length
@@ -166,7 +171,7 @@ def repeated_windows(texts: list[bytes], width: int) -> list[np.ndarray]:
     ends = np.cumsum(lengths + 1) - 1
     s[ends] = 1  # no window runs over the end of a text
     s[-1] = 0
-    before, common = permuted_common_prefixes(s, suffix_array(s, 258))
+    before, common = permuted_common_prefixes(s, suffix_array(s, 258), width)
     hit = np.zeros(len(s), bool)
     same = np.flatnonzero((common >= width) & (before >= 0))
     hit[same] = hit[before[same]] = True

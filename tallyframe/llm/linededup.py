@@ -14,6 +14,7 @@ from .store import schema_with, stored
 from .text import mixed, utf8
 
 SLOTS = 4
+FILTERS = "shard int, filter binary"
 
 
 class Cuckoo:
@@ -118,6 +119,16 @@ def shard_of(key, n_shards: int):
     return F.pmod(F.xxhash64(key), F.lit(n_shards)).cast("int")
 
 
+def built(frequent: DataFrame) -> DataFrame:
+    """A new filter for every shard of (shard, key)."""
+
+    def build(shard: tuple, table: pa.Table) -> pa.Table:
+        keys = np.sort(low64(table.column("key").to_pylist()))
+        return pa.table({"shard": pa.array([shard[0].as_py()], pa.int32()), "filter": pa.array([Cuckoo.of(keys).dump()], pa.binary())})
+
+    return frequent.select("shard", "key").groupBy("shard").applyInArrow(build, FILTERS)
+
+
 class LineIndex:
     """How many documents hold each line, and which lines are frequent.
 
@@ -134,10 +145,10 @@ class LineIndex:
     def of(cls, docs: DataFrame, text: str = "text", least: int = 10, n_shards: int = 64) -> LineIndex:
         """The index of the documents; ``n_shards`` should grow with the data so that a shard's filter (4.8 bytes a
         frequent line) and its keys fit in a task."""
-        spark = docs.sparkSession
-        counts = spark.createDataFrame([], "shard int, key binary, n long")
-        filters = spark.createDataFrame([], "shard int, filter binary")
-        return cls(counts, filters, least, n_shards).insert(docs, text)
+        held = line_keys(docs, text).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+        counts = stored(held.select(shard_of(F.col("key"), n_shards).alias("shard"), "key", "n"))
+        filters = stored(built(counts.where(F.col("n") >= least)))
+        return cls(counts, filters, least, n_shards)
 
     def insert(self, docs: DataFrame, text: str = "text") -> LineIndex:
         return self._changed(docs, text, 1)
@@ -176,14 +187,9 @@ class LineIndex:
                         return pa.table({"shard": pa.array([shard[0].as_py()], pa.int32()), "filter": pa.array([None], pa.binary())})
             return pa.table({"shard": pa.array([shard[0].as_py()], pa.int32()), "filter": pa.array([made.dump()], pa.binary())})
 
-        def rebuild(shard: tuple, table: pa.Table) -> pa.Table:
-            keys = np.sort(low64(table.column("key").to_pylist()))
-            return pa.table({"shard": pa.array([shard[0].as_py()], pa.int32()), "filter": pa.array([Cuckoo.of(keys).dump()], pa.binary())})
-
-        out = "shard int, filter binary"
-        updated = stored(self.filters.groupBy("shard").cogroup(crossed.groupBy("shard")).applyInArrow(update, out))
+        updated = stored(self.filters.groupBy("shard").cogroup(crossed.groupBy("shard")).applyInArrow(update, FILTERS))
         full = updated.where(F.col("filter").isNull()).select("shard")
-        grown = frequent.join(full, "shard", "left_semi").groupBy("shard").applyInArrow(rebuild, out)  # shards without room
+        grown = built(frequent.join(full, "shard", "left_semi"))  # shards without room
         filters = stored(updated.where(F.col("filter").isNotNull()).unionByName(grown))
         return LineIndex(merged.where(F.col("n") > 0).select("shard", "key", "n"), filters, least, self.n_shards)
 

@@ -83,12 +83,12 @@ def era_compare(spark, folder):
 @query(
     "stat_captions",
     f"""WITH {SEASON_SQL} {rates_sql('era_season')}, long AS ({_STAT_ROWS})
-SELECT era, stat, 'The correlation between average ' || stat || ' and R is ' || format('{{:.3f}}', corr(v, "R")) AS caption
+SELECT era, stat, stat || ' against runs: r = ' || format('{{:.3f}}', corr(v, "R")) AS caption
 FROM long GROUP BY era, stat""",
 )
 def stat_captions(spark, folder):
     players = era.era_players(stints(spark, folder), ERAS, MIN_GAMES, "season")
-    text = caption("The correlation between average %s and R is %.3f", "stat", "r")
+    text = caption("%s against runs: r = %.3f", "stat", "r")
     return era.era_compare(players).select("era", "stat", text.alias("caption"))
 
 

@@ -76,7 +76,7 @@ UNION ALL SELECT {_PAGE}, p_partkey, 1, NULL, NULL, NULL FROM part WHERE p_partk
 "Player", "Size", "Price" FROM ({_ROWS})""",
 )
 def html_table_rows(spark, folder):
-    rows = scrape.season_table(_sheets(spark, folder), "html", "page")
+    rows = scrape.season_table(_sheets(spark, folder), "html", "page", ["Player", "Size", "Price"])
     return rows.withColumn("Price", F.col("Price").cast("double"))
 
 
@@ -87,7 +87,27 @@ p_retailprice AS "Price", CASE WHEN p_partkey % 7 = 0 THEN 0.0 ELSE p_size END::
 )
 def scrape_join(spark, folder):
     sides = [
-        scrape.clean_season(scrape.season_table(_sheets(spark, folder, advanced), "html", "page"), "page")
+        scrape.clean_season(scrape.season_table(_sheets(spark, folder, advanced), "html", "page", ["Player", "Size", "Rate" if advanced else "Price"]), "page")
         for advanced in (False, True)
     ]
     return rounded(scrape.joined_seasons(*sides), 2, "Rate")
+
+
+@query(
+    "scrape_mixed_headers",
+    f"""SELECT page, p_partkey, "Player", "Size", "Price", "Rate" FROM (
+  SELECT 'a' || {_PAGE} AS page, p_partkey, p_name || ' & no ' || p_partkey AS "Player",
+    CASE WHEN p_partkey % 7 = 0 THEN '' ELSE CAST(p_size AS VARCHAR) END AS "Size", p_retailprice AS "Price", NULL::DOUBLE AS "Rate" FROM part
+  UNION ALL SELECT 'b' || {_PAGE}, p_partkey, p_name || ' & no ' || p_partkey,
+    CASE WHEN p_partkey % 7 = 0 THEN '' ELSE CAST(p_size AS VARCHAR) END, NULL, round_even(p_retailprice / 7, 2) FROM part)""",
+)
+def scrape_mixed_headers(spark, folder):
+    """Pages with two different headers in one table: a column that a page lacks is NULL."""
+    pages = None
+    for advanced, prefix in ((False, "a"), (True, "b")):
+        own = _sheets(spark, folder, advanced).withColumn("page", F.concat(F.lit(prefix), "page"))
+        pages = own if pages is None else pages.unionByName(own)
+    rows = scrape.season_table(pages, "html", "page").where("Player IS NOT NULL")
+    key = F.regexp_extract("Player", r"(\d+)$", 1).cast("long").alias("p_partkey")
+    typed = rows.select("page", key, "Player", "Size", F.col("Price").cast("double").alias("Price"), F.col("Rate").cast("double").alias("Rate"))
+    return rounded(typed, 2, "Rate")

@@ -1,14 +1,15 @@
 """Exact k-nearest-neighbour regression.
 
-A training table of checked size is sent to every task.  A larger one is joined by pivots (after Lu et
-al. 2012): every row belongs to the cell of its nearest pivot; the distances of the k rows nearest to
-each pivot bound a query's k-th distance; by the triangle inequality a query needs only the cells it can
-reach within that bound.  Cells are cut into blocks of bounded size, queries of a block likewise, and a
-block sends on only the k best rows per query.
+The training table is joined by pivots (after Lu et al. 2012): every row belongs to the cell of its nearest
+pivot; the distances of the k rows nearest to each pivot bound a query's k-th distance; by the triangle
+inequality a query needs only the cells it can reach within that bound.  There are as many pivots as a cell
+has rows on average.  Cells above some multiple of that are cut into blocks, queries of a block likewise, and
+a block sends on only the k best rows per query.  Each distinct feature vector is asked once.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,9 +21,7 @@ from ..functions.numeric import col
 from ..session import durable
 from .moments import feature_array, matrix
 
-LOCAL_ROWS = 20_000
-PIVOTS = 128
-BLOCK_ROWS = 5_000
+BLOCK_ROWS = 5_000  # of a block at least
 CELL_NUMBERS = 2_000_000  # distances held at once inside a task
 
 
@@ -48,42 +47,39 @@ def nearest(a: np.ndarray, b: np.ndarray, k: int) -> Iterator[tuple[int, np.ndar
 
 def knn_regress(
     train: DataFrame, queries: DataFrame, features: str, target: str, key: str, k: int = 7,
-    out: str = "prediction", local_rows: int = LOCAL_ROWS, pivots: int = PIVOTS, block_rows: int = BLOCK_ROWS,
+    out: str = "prediction", pivots: int | None = None, block_rows: int | None = None,
 ) -> DataFrame:
     """Add the mean target of the k nearest training rows to each query row; ties by the training key.
 
-    Beyond ``local_rows`` training rows the query key must be unique.
+    Every query row comes back once, whatever its key: repeated and NULL keys are rows like others.  A NULL
+    vector or an empty training table gives NULL.  ``pivots`` (default: the root of the training rows) go to the
+    driver and to every task; blocks hold ``block_rows`` rows (default: four cells of average size, 5000 at least).
     """
     known = train.select(
         col(key).alias("t_key"), feature_array(train, features).alias("t_x"), col(target).cast("double").alias("t_y")
-    )
-    if known.limit(local_rows + 1).count() <= local_rows:
-        return queries.withColumn(out, _against_local(known, k)(feature_array(queries, features)))
-    asked = queries.select(col(key).alias("q_key"), feature_array(queries, features).alias("q_x"))
+    ).where(F.col("t_x").isNotNull())
+    vectors = queries.select(feature_array(queries, features).alias("q_x")).where(F.col("q_x").isNotNull()).distinct()
+    asked = durable(vectors).withColumn("q_key", F.monotonically_increasing_id())  # fixed: the table is a checkpoint
     found = _pivot_join(known, asked, k, pivots, block_rows)
+    if found is None:
+        return queries.withColumn(out, F.lit(None).cast("double"))
     best = Window.partitionBy("q_key").orderBy("d", "t_key")
     kept = found.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= k)
-    return queries.join(kept.groupBy(col("q_key").alias(key)).agg(F.avg("t_y").alias(out)), key)
-
-
-def _against_local(known: DataFrame, k: int):
-    """A function of the feature column that looks in all training rows, sent to every task."""
-    table = known.orderBy("t_key").toPandas()  # its size was checked by the caller
-    spread = known.sparkSession.sparkContext.broadcast((matrix(table["t_x"]), table["t_y"].to_numpy()))
-
-    @F.pandas_udf("double")
-    def mean_of_nearest(x: pd.Series) -> pd.Series:
-        b, y = spread.value
-        return pd.Series([y[rows].mean() for _, rows, _ in nearest(matrix(x), b, k)], dtype="float64")
-
-    return mean_of_nearest
+    means = kept.groupBy("q_key").agg(F.avg("t_y").alias("_mean")).join(asked, "q_key").select("q_x", "_mean")
+    joined = queries.withColumn("_x", feature_array(queries, features)).join(means, F.col("_x") == F.col("q_x"), "left")
+    return joined.select(*[col(c) for c in queries.columns if c != out], F.col("_mean").alias(out))
 
 
-def _pivot_join(known: DataFrame, asked: DataFrame, k: int, pivots: int, block_rows: int) -> DataFrame:
-    """Rows (q_key, t_key, t_y, d) that contain the k nearest rows of every query."""
+def _pivot_join(known: DataFrame, asked: DataFrame, k: int, pivots: int | None, block_rows: int | None) -> DataFrame | None:
+    """Rows (q_key, t_key, t_y, d) that contain the k nearest rows of every query; None without training rows."""
     # Of identical vectors only the k first by key can ever be among the k nearest.
     same = Window.partitionBy("t_x").orderBy("t_key")
-    useful = known.withColumn("_copy", F.row_number().over(same)).where(F.col("_copy") <= k).drop("_copy")
+    useful = durable(known.withColumn("_copy", F.row_number().over(same)).where(F.col("_copy") <= k).drop("_copy"))
+    n_rows = useful.count()
+    if not n_rows:
+        return None
+    pivots = pivots or math.isqrt(n_rows) + 1
+    block_rows = block_rows or max(BLOCK_ROWS, 4 * n_rows // pivots)
 
     order = F.md5(F.col("t_key").cast("string"))
     centres = matrix(pd.Series([r["t_x"] for r in useful.orderBy(order).limit(pivots).select("t_x").collect()]))

@@ -45,7 +45,7 @@ def histogram_density(df: DataFrame, name: str, bins: int = 10) -> DataFrame:
 def kernel_density(df: DataFrame, name: str, by: str, points: int = 50, cut: float = 3.0) -> DataFrame:
     """Gaussian kernel density per category on an even grid (Scott bandwidth, grid ``cut`` widths beyond the data).
 
-    Every row adds to every grid point, but only sums by (category, point) leave a task.
+    Every row adds to every grid point, one sum each; only one row of sums per category leaves a task.
     """
     rows = df.select(col(by).alias("category"), col(name).cast("double").alias("v")).dropna()
     stats = (
@@ -59,17 +59,16 @@ def kernel_density(df: DataFrame, name: str, by: str, points: int = 50, cut: flo
             ((F.col("b") - F.col("a") + 2 * cut * F.col("h")) / (points - 1)).alias("step"),
         )
     )
-    on_grid = (
-        join_lookup(rows, stats, ["category"])
-        .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-        .withColumn("x", F.col("start") + F.col("point") * F.col("step"))
-    )
-    z = (F.col("x") - F.col("v")) / F.col("h")
-    sums = on_grid.groupBy("category", "point").agg(
-        F.max("x").alias("x"), F.sum(F.exp(-0.5 * z * z)).alias("s"), F.max(F.col("n") * F.col("h")).alias("nh")
-    )
-    density = F.col("s") / (F.col("nh") * math.sqrt(2 * math.pi))
-    return sums.select(F.col("category").alias(by), "point", "x", density.alias("density"))
+    joined = join_lookup(rows, stats, ["category"])
+
+    def height(point: int):
+        z = (F.col("start") + point * F.col("step") - F.col("v")) / F.col("h")
+        return F.sum(F.exp(-0.5 * z * z))
+
+    grid = joined.groupBy("category", "n", "h", "start", "step").agg(F.array(*[height(p) for p in range(points)]).alias("s"))
+    each = grid.select("*", F.posexplode("s").alias("point", "height"))
+    density = F.col("height") / (F.col("n") * F.col("h") * math.sqrt(2 * math.pi))
+    return each.select(F.col("category").alias(by), "point", (F.col("start") + F.col("point") * F.col("step")).alias("x"), density.alias("density"))
 
 
 def box_stats(df: DataFrame, name: str, by: str, reach: float = 1.5) -> DataFrame:

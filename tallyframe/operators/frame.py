@@ -48,8 +48,8 @@ def map_columns(df: DataFrame, names: Sequence[str], fn: Callable[[Column], Colu
 
 def keep_values(df: DataFrame, name: str, values: Sequence[Any]) -> DataFrame:
     """Rows whose value is in the list; a run of integers becomes a range the scan can prune by."""
-    ints = all(isinstance(v, int) for v in values)
-    if values and ints and sorted(values) == list(range(min(values), max(values) + 1)):
+    kinds = set(values)
+    if kinds and all(isinstance(v, int) for v in kinds) and max(kinds) - min(kinds) + 1 == len(kinds):
         return df.where(col(name).between(min(values), max(values)))
     return df.where(col(name).isin(list(values)))
 

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
-from itertools import combinations_with_replacement
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import col, intercept, pearson, slope
 from .order import descending
 
-PAIRS_PER_PASS = 200
+MAX_WIDTH = 2048  # columns of a correlation matrix
 
 
 def corr_pair(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -31,17 +33,36 @@ def strong_columns(df: DataFrame, names: Sequence[str], target: str, above: floa
 
 
 def _upper_pairs(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """r of every pair of columns i <= j, a bounded number of pairs per pass over the data."""
-    pairs = list(combinations_with_replacement(range(len(names)), 2))
-    chunks = [pairs[k : k + PAIRS_PER_PASS] for k in range(0, len(pairs), PAIRS_PER_PASS)]
+    """r of every pair of columns i <= j as rows (i, j, r), in one pass over the data.
 
-    def one_pass(chunk) -> DataFrame:
-        row = df.agg(*[pearson(names[i], names[j]).alias(f"{i}_{j}") for i, j in chunk])
-        return row.unpivot([], [col(c) for c in row.columns], "pair", "r")
-
-    long = reduce(DataFrame.unionByName, [one_pass(c) for c in chunks])
-    ends = F.split("pair", "_")
-    return long.select(F.get(ends, F.lit(0)).cast("int").alias("i"), F.get(ends, F.lit(1)).cast("int").alias("j"), "r")
+    A task adds up six sums for each ordered pair, over the rows where both columns are present, and sends them
+    once, a line per column.  Values are taken relative to one of the column's own, so that constant columns have a
+    spread of exactly 0 (r is NULL) and large offsets do not cancel.
+    """
+    d = len(names)
+    if d > MAX_WIDTH:
+        raise ValueError(f"correlations of more than {MAX_WIDTH} columns are not summed in one task")
+    numbers = df.select(F.array(*[col(c).cast("double") for c in names]).alias("x"))
+    seen = [r["x"] for r in numbers.limit(100).collect()]
+    origin = np.array([next((x[i] for x in seen if x[i] is not None and np.isfinite(x[i])), 0.0) for i in range(d)])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = np.zeros((6, d, d))
+        for batch in batches:
+            if len(batch):
+                x = np.array(batch["x"].tolist(), dtype=np.float64)
+                here = ~np.isnan(x)
+                x, here = np.where(here, x - origin, 0.0), here.astype(np.float64)
+                for k, (left, right) in enumerate(((here, here), (x, here), (here, x), (x * x, here), (here, x * x), (x, x))):
+                    sums[k] += left.T @ right
+        yield pd.DataFrame({"i": np.arange(d, dtype=np.int32), "line": list(sums.transpose(1, 0, 2).reshape(d, -1))})
+
+    lines = numbers.mapInPandas(run, "i int, line array<double>").withColumn("line", array_to_vector("line"))
+    totals = lines.groupBy("i").agg(vector_to_array(Summarizer.sum(F.col("line"))).alias("s"))
+    each = totals.select("i", "s", F.explode(F.sequence(F.col("i"), F.lit(d - 1))).alias("j"))
+    n, sx, sy, sxx, syy, sxy = (F.get("s", F.col("j") + k * d) for k in range(6))
+    spread = F.sqrt(F.greatest(n * sxx - sx * sx, F.lit(0.0)) * F.greatest(n * syy - sy * sy, F.lit(0.0)))
+    return each.select("i", "j", F.try_divide(n * sxy - sx * sy, spread).alias("r"))
 
 
 def corr_matrix(df: DataFrame, names: Sequence[str]) -> DataFrame:

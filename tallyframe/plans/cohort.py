@@ -13,8 +13,9 @@ from ..operators.bounded import join_lookup
 from ..operators.frame import drop_value, keep_values
 from ..operators.order import descending, with_position
 from ..operators.rollup import aggregate_by
+from ..sources.csvfiles import SEASON_RATES
 
-MEANS = "PER TS% FG% 3P% 2P% eFG% OWS DWS WS WS/48 USG% OBPM DBPM BPM VORP".split()
+MEANS = SEASON_RATES
 SPEC = {"G": ["sum"], "MP": ["sum"], **{c: ["mean"] for c in MEANS}}
 
 

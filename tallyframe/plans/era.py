@@ -25,16 +25,15 @@ ERAS = {"steroid": (1990, 2003), "modern": (2004, 2016)}
 def season_totals(batting: DataFrame, eras: Mapping[str, tuple[int, int]], min_games: int = 100) -> DataFrame:
     """Counts per era, player and year (stints merged), for seasons of more than min_games games.
 
-    All eras come from one scan; the year limits reach it as a filter.
+    All eras come from one scan; the year limits reach it as a filter.  A season that lies in several eras
+    is a row of each.
     """
     year = col("yearID")
     first, last = min(a for a, _ in eras.values()), max(b for _, b in eras.values())
-    era = F.lit(None).cast("string")
-    for label, (a, b) in eras.items():
-        era = F.when(year.between(a, b), F.lit(label)).otherwise(era)
+    own = F.filter(F.array(*[F.when(year.between(a, b), F.lit(label)) for label, (a, b) in eras.items()]), lambda label: label.isNotNull())
     rows = batting.select("playerID", "yearID", *[col(c) for c in COUNTS]).where(year.between(first, last))
     seasons = sum_by(rows, ["playerID", "yearID"], COUNTS).where(col("G") > min_games)
-    return seasons.withColumn("era", era).where(col("era").isNotNull())
+    return seasons.withColumn("era", F.explode(own))
 
 
 def career_totals(seasons: DataFrame) -> DataFrame:

@@ -13,21 +13,31 @@ from ..operators.frame import drop_missing
 from ..operators.joins import merge
 from ..operators.order import keep_first
 from ..session import durable
-from ..sources.html import header_names, table_rows, to_columns
+from ..sources.html import header_names, named_rows, to_columns
+
+
+MOST_COLUMNS = 10_000
 
 
 def page_columns(pages: DataFrame, html: str, key: str) -> list[str]:
-    """Column names of the first page (by key): the header of one page comes to the driver."""
-    first = pages.orderBy(col(key)).limit(1)
-    return [r["name"] for r in header_names(first, html, [key]).orderBy("pos").collect()]
+    """All column names of all pages, by the first place they stand at, then by name."""
+    found = header_names(pages, html, [key]).groupBy("name").agg(F.min("pos").alias("pos")).orderBy("pos", "name")
+    names = [r["name"] for r in found.limit(MOST_COLUMNS + 1).collect()]
+    if len(names) > MOST_COLUMNS:
+        raise ValueError(f"more than {MOST_COLUMNS} different column names")
+    return names
 
 
 def season_table(
     pages: DataFrame, html: str, key: str, names: Sequence[str] | None = None, skip: int = 2
 ) -> DataFrame:
-    """All data rows of all pages as text columns, with page key and row number."""
+    """All data rows of all pages as text columns, with page key and row number.
+
+    A cell belongs to the name in its own page's header, so pages may order or choose columns differently.  Given
+    ``names``, the pages are read once; otherwise a pass over the headers finds all names first.
+    """
     chosen = list(names) if names is not None else page_columns(pages, html, key)
-    return to_columns(table_rows(pages, html, [key], skip), chosen, [key])
+    return to_columns(named_rows(pages, html, [key], skip), chosen, [key], header="names")
 
 
 def clean_season(table: DataFrame, key: str, player: str = "Player") -> DataFrame:

@@ -21,10 +21,16 @@ def local_session(cores: int | str = "*", memory: str = "8g", partitions: int =
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
 
+def _plain(folder: str) -> str:
+    """A folder's name as it compares: no scheme of local files, no slash at the end."""
+    return folder.removeprefix("file:").rstrip("/").replace("///", "/").replace("//", "/")
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Cut lineage through a reliable checkpoint, so that later passes and lost executors do not redo the work.
 
@@ -38,6 +44,8 @@ def durable(df: DataFrame) -> DataFrame:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = os.path.join(tempfile.gettempdir(), "tallyframe-checkpoints")
-    if folder is not None and folder not in (context.getCheckpointDir() or ""):
-        context.setCheckpointDir(folder)
+    if folder is not None:
+        now = context.getCheckpointDir()  # Spark adds a folder of its own to the one it is given
+        if now is None or _plain(now.rstrip("/").rpartition("/")[0]) != _plain(folder):
+            context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)

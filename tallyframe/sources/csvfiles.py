@@ -27,9 +27,10 @@ PLAYERS = (
     .add("Weight", T.StringType()).add("DOB", T.StringType()).add("College", T.StringType())
 )
 
-SEASON_RATES = (
-    "PER TS% FG% 3P% 2P% eFG% OWS DWS WS WS/48 USG% OBPM DBPM BPM VORP".split()
-)
+# Rates of a season, in the order of the file.
+SEASON_RATES = [
+    "PER", "TS%", "FG%", "3P%", "2P%", "eFG%", "OWS", "DWS", "WS", "WS/48", "USG%", "OBPM", "DBPM", "BPM", "VORP",
+]
 SEASONS = schema_of(string=["Player", "Tm"], double=["Year", "G", "MP", *SEASON_RATES])
 SEASON_JOINED = schema_of(
     string=["Player", "Pos_x"],

@@ -83,11 +83,29 @@ def table_rows(pages: DataFrame, html: str, keys: Sequence[str], skip: int = 2)
     return rows.select(*[col(k) for k in keys], (F.col("pos") - skip).alias("row"), cells.alias("cells"))
 
 
-def to_columns(rows: DataFrame, names: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    """Cells as named text columns; short rows end in NULLs."""
-    return rows.select(
-        *[col(k) for k in keys], "row", *[F.get("cells", F.lit(i)).alias(n) for i, n in enumerate(names)]
-    )
+def named_rows(pages: DataFrame, html: str, keys: Sequence[str], skip: int = 2) -> DataFrame:
+    """Like ``table_rows``, each row with ``names``: the header of its own page without the rank column."""
+    rows = pages.select(*[col(k) for k in keys], _inner(visible(col(html)), "tr").alias("_rows"))
+    heads = _inner(F.get("_rows", F.lit(0)), "th")
+    names = F.transform(F.slice(heads, F.lit(2), F.greatest(F.size(heads) - 1, F.lit(0))), text_of)
+    each = rows.withColumn("names", names).select(*[col(k) for k in keys], "names", F.posexplode("_rows").alias("pos", "markup"))
+    cells = F.transform(_inner(F.col("markup"), "td"), text_of)
+    return each.where(F.col("pos") >= skip).select(*[col(k) for k in keys], (F.col("pos") - skip).alias("row"), "names", cells.alias("cells"))
+
+
+def to_columns(rows: DataFrame, names: Sequence[str], keys: Sequence[str], header: str | None = None) -> DataFrame:
+    """Cells as named text columns; short rows end in NULLs.
+
+    With ``header``, a column with each row's own names, a cell goes to the column of its name, and columns that
+    the row's header lacks are NULL; a name outside ``names`` is left out by choice of the caller.  A row with
+    more cells than names is an error either way, not a shorter row.
+    """
+    known = F.col(header) if header is not None else F.array(*[F.lit(n) for n in names])
+    message = F.concat(F.lit("a row has "), F.size("cells").cast("string"), F.lit(" cells under "), F.size(known).cast("string"), F.lit(" names"))
+    safe = F.when(F.size("cells") > F.size(known), F.raise_error(message).cast("array<string>")).otherwise(F.col("cells"))
+    place = lambda i, n: F.lit(i) if header is None else F.array_position(known, n).cast("int") - 1
+    cell = lambda i, n: F.when(place(i, n) >= 0, F.get("_cells", place(i, n)))
+    return rows.withColumn("_cells", safe).select(*[col(k) for k in keys], "row", *[cell(i, n).alias(n) for i, n in enumerate(names)])
 
 
 class _Rows(HTMLParser):

@@ -2,6 +2,8 @@
 
 import math
 
+import numpy as np
+import pandas as pd
 import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
@@ -246,6 +248,38 @@ def test_messy_html(frame):
     assert [r["cells"] for r in parsed.orderBy("row").collect()] == [["xy", "z"], ["y"]]
 
 
+def test_pages_keep_their_own_headers(frame):
+    page = lambda names, *rows: "<table><tr><th>Rk</th>" + "".join(f"<th>{n}</th>" for n in names) + "</tr>" + "".join(
+        "<tr><th>1</th>" + "".join(f"<td>{v}</td>" for v in r) + "</tr>" for r in rows) + "</table>"
+    pages = frame([(1, page(["Player", "Size"], ("a", 1))), (2, page(["Size", "Player", "G"], (2, "b", 7), (3,))), (3, None)], "id int, html string")
+    table = scrape.season_table(pages, "html", "id", skip=1)
+    assert table.columns == ["id", "row", "Player", "Size", "G"]
+    assert rows_of(table) == [(1, 0, "a", "1", None), (2, 0, "b", "2", "7"), (2, 1, None, "3", None)]
+    assert rows_of(scrape.season_table(pages, "html", "id", ["G"], skip=1), "G") == sorted([("7",), (None,), (None,)], key=repr)
+    long = frame([(1, page(["Player"], ("a", 99)))], "id int, html string")
+    with pytest.raises(Exception, match="2 cells under 1 names"):
+        scrape.season_table(long, "html", "id", skip=1).collect()
+
+
+def test_overlapping_eras(frame):
+    rows = [("p", y, *[1] * 11) for y in (1995, 2000, 2010)]
+    batting = frame(rows, "playerID string, yearID int, " + ", ".join(f"`{c}` long" for c in era.COUNTS))
+    seasons = era.season_totals(batting, {"one": (1990, 2003), "two": (1999, 2016)}, min_games=0)
+    assert rows_of(seasons, "era", "yearID") == [("one", 1995), ("one", 2000), ("two", 2000), ("two", 2010)]
+
+
+def test_correlations_of_gaps_constants_and_offsets(frame):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 4)) + [0, 1e7, -5, 0]
+    x[:, 3] = 0.1
+    x[::7, 0] = x[3::11, 2] = np.nan
+    df = frame([tuple(None if np.isnan(v) else float(v) for v in r) for r in x], "a double, b double, c double, d double")
+    got = {(r["col_a"], r["col_b"]): r["r"] for r in relate.corr_matrix(df, list("abcd")).collect()}
+    want = pd.DataFrame(x, columns=list("abcd")).corr()
+    assert len(got) == 16 and all(got["d", c] is None and got[c, "d"] is None for c in "abcd")
+    assert all(got[i, j] == pytest.approx(want.loc[i, j], abs=1e-8) for i in "abc" for j in "abc")
+
+
 def test_season_cleaning_keeps_first_row(frame):
     rows = "".join(
         f"<tr><th>1</th><td>{p}</td><td>{t}</td><td>{g}</td></tr>" for p, t, g in (("Al", "TOT", "9"), ("Al", "X", ""), ("Bo", "Y", ""))

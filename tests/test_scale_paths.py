@@ -77,17 +77,28 @@ def test_neighbors_both_ways(spark):
     for i, q in enumerate(b):
         d = ((a - q) ** 2).sum(axis=1)
         expected[i] = np.mean([j % 10 for j in np.lexsort((np.arange(len(a)), d))[:7]])
-    local = {r["id"]: r["prediction"] for r in knn_regress(train, queries, "x", "y", "id").collect()}
-    spread = knn_regress(train, queries, "x", "y", "id", local_rows=10, pivots=8, block_rows=30)
+    few = {r["id"]: r["prediction"] for r in knn_regress(train, queries, "x", "y", "id").collect()}
+    spread = knn_regress(train, queries, "x", "y", "id", pivots=8, block_rows=30)
     assert {r["id"]: r["prediction"] for r in spread.collect()} == pytest.approx(expected)
-    assert local == pytest.approx(expected)
+    assert few == pytest.approx(expected)
+
+
+@pytest.mark.parametrize("pivots", [None, 1, 5])
+def test_neighbors_of_repeated_and_null_keys(spark, pivots):
+    train = spark.createDataFrame([(i, [float(i)], float(i)) for i in range(40)], "id long, x array<double>, y double")
+    rows = [(1, [0.0]), (1, [39.0]), (None, [5.0]), (None, [5.0]), (2, None)]
+    queries = spark.createDataFrame(rows, "id long, x array<double>").withColumn("prediction", F.lit("old"))
+    got = knn_regress(train, queries, "x", "y", "id", k=3, pivots=pivots, block_rows=7)
+    assert sorted(got.collect(), key=repr) == sorted([(1, [0.0], 1.0), (1, [39.0], 38.0), (None, [5.0], 5.0), (None, [5.0], 5.0), (2, None, None)], key=repr)
+    empty = knn_regress(train.where("false"), queries, "x", "y", "id", k=3)
+    assert [r["prediction"] for r in empty.collect()] == [None] * 5
 
 
 def test_neighbors_of_a_tiny_table(spark):
     train, _ = vectors(spark, 3, 1)
     queries, _ = vectors(spark, 4, 2)
-    for rows in (10, 0):
-        got = {r["prediction"] for r in knn_regress(train, queries, "x", "y", "id", local_rows=rows, pivots=2).collect()}
+    for pivots in (None, 2):
+        got = {r["prediction"] for r in knn_regress(train, queries, "x", "y", "id", pivots=pivots).collect()}
         assert got == {1.0}
     assert [list(r) for _, r, _ in nearest(np.zeros((1, 2)), np.ones((3, 2)), 2)] == [[0, 1]]
 

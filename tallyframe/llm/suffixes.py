@@ -137,7 +137,7 @@ def permuted_common_prefixes(s: np.ndarray, order: np.ndarray, least: int = 1) -
     before[order[1:]] = order[:-1]
     places = np.arange(n)
     own = (places == 0) | (before <= 0)
-    own |= s[places - 1] != s[before - 1]
+    own |= s[places - 1] != s[np.maximum(before, 1) - 1]
     heads = np.flatnonzero(own)
     x, y = heads.copy(), before[heads].copy()
     some = y >= 0

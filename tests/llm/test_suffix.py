@@ -67,4 +67,4 @@ def test_blocks_and_empty(docs, monkeypatch):
     texts = [base, "zz" + base[100:300] + "yy", "q" * 30, base[:39]]
     out = suffixdedup.remove_repeats(docs(list(enumerate(texts))), width=40, gram=12).collect()
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in out} == dict(enumerate(brute([t.encode() for t in texts], 40)))
-    assert suffixdedup.remove_repeats(docs([(1, "x")]).where("false")).count() == 0
+    assert suffixdedup.remove_repeats(docs([(1, "x")]).where("false"), width=40, gram=12).count() == 0

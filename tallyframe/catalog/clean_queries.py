@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import binning, parse
 from ..operators import clean, distribution, frame
-from .registry import PART_SQL, part_with_gaps, query, rounded, table
+from .registry import ORACLES, PART_SQL, part_with_gaps, query, rounded, table
 
 # ---------------------------------------------------------------- text to number
 
@@ -111,6 +111,13 @@ def fill_median(spark, folder):
     return rounded(filled.select("p_partkey", "p_size", "p_retailprice"), 6, "p_size", "p_retailprice")
 
 
+@query("fill_median_counted", ORACLES["fill_median"])
+def fill_median_counted(spark, folder):
+    """The way for tables of over a million rows."""
+    filled = clean.fill_median(part_with_gaps(spark, folder), ["p_size", "p_retailprice"], map_rows=0)
+    return rounded(filled.select("p_partkey", "p_size", "p_retailprice"), 6, "p_size", "p_retailprice")
+
+
 # ---------------------------------------------------------------- encoding
 
 
@@ -195,3 +202,9 @@ SELECT code, round_even(q[code], 4) AS low, round_even(q[code + 1], 4) AS high,
 )
 def qcut5_counts(spark, folder):
     return rounded(distribution.quantile_bin_counts(table(spark, folder, "orders"), "o_totalprice", 5), 4, "low", "high")
+
+
+@query("qcut5_codes_counted", ORACLES["qcut5_codes"])
+def qcut5_codes_counted(spark, folder):
+    """The way for tables of over a million rows."""
+    return distribution.quantile_bins(table(spark, folder, "orders"), "o_totalprice", 5, map_rows=0).select("o_orderkey", "code")

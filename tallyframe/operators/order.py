@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from ..functions.numeric import col, ratio
 from ..session import durable
 
-ONE_TASK_ROWS = 1_000_000
-
 
 def descending(*names: str, tie: Sequence[str] = ()) -> list[Column]:
     """Order by names descending, missing values last, ties broken by ascending keys."""
@@ -28,31 +26,17 @@ def first_rows(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n + 1)
 
 
-def with_position(
-    df: DataFrame, order: Sequence[Column], running: str | None = None, one_task_rows: int = ONE_TASK_ROWS
-) -> DataFrame:
+def with_position(df: DataFrame, order: Sequence[Column], running: str | None = None) -> DataFrame:
     """Add ``position`` (1-based) and, if asked, ``running_total`` of a column, in a total order.
 
-    The table is counted first: hand in a checkpointed one if it is costly to compute.  A small table is
-    numbered by one window.  A larger one is range-partitioned on the full
-    order (so ties of one value split by the next key), numbered inside each range, and shifted by the
-    totals of the ranges before it.  The partitioned rows are checkpointed because range limits are
-    sampled and must not be drawn twice.
+    Rows are range-partitioned on the full order (so ties of one value split by the next key), sorted inside
+    each range, and checkpointed, because range limits are sampled and must not be drawn twice.  A row's place in
+    its partition then is its position there; ranges are shifted by the totals of those before them.
     """
     amount = col(running).cast("double") if running else F.lit(0.0)
-
-    def number(rows: DataFrame, window) -> DataFrame:
-        out = rows.withColumn("position", F.row_number().over(window))
-        if running:
-            upto = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            out = out.withColumn("running_total", F.sum(amount).over(upto))
-        return out
-
-    if df.limit(one_task_rows + 1).count() <= one_task_rows:
-        return number(df, Window.orderBy(*order)).withColumn("position", F.col("position").cast("bigint"))
-
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = durable(df.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id()))
+    sorted_rows = durable(df.repartitionByRange(*order).sortWithinPartitions(*order))
+    placed = sorted_rows.withColumn("_id", F.monotonically_increasing_id())  # partition number, then place in it
+    ranged = placed.withColumns({"_range": F.shiftright("_id", 33), "_place": F.col("_id").bitwiseAND((1 << 33) - 1)})
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
         ranged.groupBy("_range").agg(F.count("*").alias("_n"), F.sum(amount).alias("_s"))
@@ -62,25 +46,25 @@ def with_position(
             F.coalesce(F.sum("_s").over(before), F.lit(0.0)).alias("_sum"),
         )
     )
-    local = number(ranged, Window.partitionBy("_range").orderBy(*order)).join(F.broadcast(shifts), "_range")
-    out = local.withColumn("position", F.col("position") + F.col("_rows"))
+    if running:
+        upto = Window.partitionBy("_range").orderBy("_place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ranged = ranged.withColumn("running_total", F.sum(amount).over(upto))
+    out = ranged.join(F.broadcast(shifts), "_range").withColumn("position", F.col("_place") + 1 + F.col("_rows"))
     if running:
         out = out.withColumn("running_total", F.col("running_total") + F.col("_sum"))
-    return out.drop("_range", "_rows", "_sum")
+    return out.select(*[col(c) for c in df.columns], "position", *(["running_total"] if running else []))
 
 
-def cumulative_share(
-    df: DataFrame, name: str, value: str, one_task_rows: int = ONE_TASK_ROWS
-) -> DataFrame:
+def cumulative_share(df: DataFrame, name: str, value: str) -> DataFrame:
     """Rows by descending value with ``share`` of the column total and its running sum ``cumulative``.
 
-    The table is read for its size, its total and its rows, so it is checkpointed first.
+    The table is read for its total and its rows, so it is checkpointed first.
     """
     rows = durable(df)
     whole = rows.agg(F.sum(col(value).cast("double"))).scalar()
     shared = rows.withColumn("share", ratio(value, whole))
     order = descending(value, tie=[name])
-    return with_position(shared, order, "share", one_task_rows).withColumnRenamed("running_total", "cumulative")
+    return with_position(shared, order, "share").withColumnRenamed("running_total", "cumulative")
 
 
 def count_to_threshold(shares: DataFrame, threshold: float) -> DataFrame:

@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 from conftest import rows_of
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyframe.ml.neighbors import knn_regress, nearest
@@ -42,8 +43,9 @@ def test_quantiles_by_counting_without_lookup_broadcast(spark, monkeypatch):
 def test_positions_over_ranges(spark):
     df = skewed(spark).withColumn("id", F.monotonically_increasing_id())
     sort = order.descending("x", tie=["id"])
-    small = order.with_position(df, sort, "x")
-    large = order.with_position(df, sort, "x", one_task_rows=0)
+    window = Window.orderBy(*sort)
+    small = df.withColumns({"position": F.row_number().over(window).cast("long"), "running_total": F.sum("x").over(window.rowsBetween(Window.unboundedPreceding, 0))})
+    large = order.with_position(df, sort, "x")
     a, b = (
         {r["id"]: (r["position"], r["running_total"]) for r in d.collect()} for d in (small, large)
     )
@@ -54,8 +56,11 @@ def test_positions_over_ranges(spark):
 
 def test_cumulative_share_over_ranges(spark):
     df = spark.range(500).select(F.concat(F.lit("f"), "id").alias("f"), (F.col("id") % 9 + 1).alias("v"))
-    small = rows_of(order.cumulative_share(df, "f", "v").select("f", "position", F.round("cumulative", 9)))
-    assert small == rows_of(order.cumulative_share(df, "f", "v", one_task_rows=0).select("f", "position", F.round("cumulative", 9)))
+    window = Window.orderBy(F.desc("v"), "f")
+    share = F.col("v") / df.agg(F.sum("v")).first()[0]
+    upto = F.sum(share).over(window.rowsBetween(Window.unboundedPreceding, 0))
+    small = rows_of(df.select("f", F.row_number().over(window).cast("long").alias("position"), F.round(upto, 9)))
+    assert small == rows_of(order.cumulative_share(df, "f", "v").select("f", "position", F.round("cumulative", 9)))
 
 
 def test_lookup_join_without_broadcast(spark):

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import col
+from ..session import durable
 
 HOT_SHARE = 1 / 1000  # a key with more of the rows is hot, so there are at most 1000 of them
 
@@ -32,13 +33,15 @@ def merge(
     suffixes: tuple[str, str] = ("_x", "_y"),
     null_safe: bool = False,
     salts: int = 1,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Inner join on equal keys; other columns found on both sides get a suffix.
 
     Many-to-many, as a join should be.  With ``null_safe`` a NULL key matches a NULL key.  No side is
     hinted: the optimizer broadcasts by size and adaptive execution splits large partitions.  With
     ``salts`` above 1 the left rows of each hot key are spread over that many tasks and the right rows
-    of those keys, and only those, are repeated for each.
+    of those keys, and only those, are repeated for each.  ``hot`` is a table of the hot keys from an earlier
+    count (``hot_keys``, at most 1 / HOT_SHARE rows); without it the keys are counted once, here.
     """
     on = list(on)
     clash = (set(left.columns) & set(right.columns)) - set(on)
@@ -49,7 +52,10 @@ def merge(
     match = _same(on, theirs, null_safe)
     if salts > 1:
         marks = [f"__hot_{i}" for i in range(len(on))]
-        hot = F.broadcast(hot_keys(left, on).toDF(*marks).withColumn("__hot", F.lit(True)))
+        found = durable(hot_keys(left, on)) if hot is None else hot.select(*[col(c) for c in on]).distinct()
+        if hot is not None and found.limit(round(1 / HOT_SHARE) + 1).count() > round(1 / HOT_SHARE):
+            raise ValueError(f"more than {round(1 / HOT_SHARE)} hot keys")
+        hot = F.broadcast(found.toDF(*marks).withColumn("__hot", F.lit(True)))
         a = a.join(hot, _same(on, marks, null_safe), "left").drop(*marks)
         spread = F.pmod(F.xxhash64(*[col(c) for c in a.columns]), F.lit(salts))
         a = a.withColumn("__salt", F.when(F.col("__hot"), spread).otherwise(F.lit(0))).drop("__hot")

@@ -133,6 +133,8 @@ def test_salted_join(spark, null_safe):
     salted = joins.merge(left, right, ["g"], null_safe=null_safe, salts=5)
     assert plain.columns == salted.columns == ["g", "id_x", "v", "id_y"]
     assert rows_of(plain) == rows_of(salted)
+    given = joins.merge(left, right, ["g"], null_safe=null_safe, salts=5, hot=joins.hot_keys(left, ["g"], 0.3))
+    assert rows_of(plain) == rows_of(given)
     assert joins.hot_keys(left, ["g"], 0.3).collect() == [(0,)]
 
 

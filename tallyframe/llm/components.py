@@ -8,37 +8,43 @@ from pyspark.sql import functions as F
 from .store import stored
 
 
-def _smallest(edges: DataFrame) -> DataFrame:
-    """Each edge (u, v) with the least neighbour of u, u itself included."""
+def downward(edges: DataFrame, a: str, b: str) -> DataFrame:
+    """Edges (u, v) with u > v; loops and edges with a NULL end are left out."""
+    return edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
+
+
+def _to_smallest(edges: DataFrame) -> DataFrame:
+    """Each edge (u, v) with the least of u and its neighbours."""
     least = edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     return edges.join(least, "u")
 
 
-def components(edges: DataFrame, a: str, b: str) -> DataFrame:
-    """(id, component) of every id in an edge; component is the smallest id that can be reached.
+def joined_up(edges: DataFrame) -> DataFrame:
+    """One turn of alternating stars over edges (u, v), u > v: larger neighbours move to the smallest neighbour, then
+    smaller ones do.  Components stay; stars joined to stars become one.  A hub is summed before the shuffle, and its
+    edges are split by the join."""
+    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    large = _to_smallest(both).where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    small = _to_smallest(large)
+    moved = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
+    return downward(moved, "u", "v").distinct()
+
+
+def labels(forest: DataFrame) -> DataFrame:
+    """(id, component) of the larger ends of edges: the least end they have an edge to.  Other ids are their own."""
+    return forest.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("component"))
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(id, component) over edges (u, v), u > v: the smallest id that can be reached, for all ids but those that are
+    the smallest of their component.  A logarithmic number of turns, until no edge moves."""
 
-    Alternating stars: larger neighbours move to the smallest neighbour, then smaller ones do, until nothing
-    moves; a logarithmic number of turns.  A hub is summed before the shuffle and its edges are split by the join.
-    NULL ends are ignored, loops and repeated edges do no harm.
-    """
-    high, low = F.greatest(a, b), F.least(a, b)
-    now = stored(edges.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(high.alias("u"), low.alias("v")).distinct())
     def mark(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
 
-    before = mark(now)
-    while before[0]:
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _smallest(both).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-        small = _smallest(large)
-        small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
-        now = stored(small.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    now = stored(joined_up(edges))
+    before, last = mark(now), None
+    while before[0] and before != last:
+        now = stored(joined_up(now))
         before, last = mark(now), before
-        if before == last:
-            break
-    members = now.select(F.col("u").alias("id"), F.col("v").alias("component"))
-    loops = edges.where(F.col(a) == F.col(b)).select(F.col(a).alias("id")).distinct().join(members.select("id"), "id", "left_anti")
-    roots = now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
-    loops = loops.join(roots.select("id"), "id", "left_anti").select("id", F.col("id").alias("component"))
-    return members.unionByName(roots).unionByName(loops)
+    return labels(now)

@@ -10,12 +10,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .components import components
+from .components import components, downward, joined_up, labels
 from .store import stored
 from .text import WordHasher, by_spaces, mixed, utf8, windows
 
-HUBS = (1, 8, 16)  # members of a group that are compared with the others in a turn; the last number goes on
-LARGE = 64  # members of a group that is split by further signatures rather than compared hub by hub
+FEW = 1  # members of a group that are compared with all others in the first turn, and eight times more in each further one
+LARGE = 16  # members of a group that, without being one class after the first turn, is dealt anew by rarest features
 
 
 class Signer:
@@ -33,8 +33,8 @@ class Signer:
     set; those few also send their first features by hash, as many as their prefix needs.
     """
 
-    def __init__(self, percent: int, level: int = 0):
-        self.percent, self.level = percent, level
+    def __init__(self, percent: int):
+        self.percent = percent
         self.bounds = [1]
 
     def band(self, size: int) -> int:
@@ -56,7 +56,7 @@ class Signer:
         p, size, most = self.percent, len(features), self.bounds[band + 1] - 1
         differ = size * (100 - p) // p  # features of this set and its partner that the other one lacks, at most
         n1 = (most * (100 - p) // p * 13 // 10 + 5) // 2
-        salt = mixed(np.array([band * 1_000_003 + self.level * 7_919 + 1], np.uint64))
+        salt = mixed(np.array([band * 1_000_003 + 1], np.uint64))
         spread = mixed(features ^ salt)
         cell = (((spread >> np.uint64(32)) * np.uint64(2 * n1)) >> np.uint64(32)).astype(np.int64)
         order = np.argsort(cell, kind="stable")
@@ -148,26 +148,32 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _refined(groups: DataFrame, sets: DataFrame, percent: int, level: int) -> DataFrame:
-    """Members of a group split by a further, independent set of signatures: similar ones still share a group."""
+def _by_rarest(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The members of groups dealt anew (key, id), by their rarest features.
+
+    Long passages that many texts share make large groups of texts that are not similar.  Of two similar sets, each
+    ordered by how many members have a feature, rare ones first, the prefixes share a feature when a prefix leaves out
+    one feature less than the smallest overlap.  So every similar pair still meets, and the shared passages stand last.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        signer = Signer(percent, level)
         for batch in batches:
-            for key, i, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                made = signer(np.frombuffer(data.as_buffer(), np.uint64))
-                made = mixed(made ^ mixed(np.array([key], np.int64).view(np.uint64)))
-                yield pa.RecordBatch.from_arrays([pa.array(made.view(np.int64)), pa.array(np.full(len(made), i, np.int64))], names=["key", "id"])
+            for i, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                made = np.frombuffer(data.as_buffer(), np.int64)
+                prefix = len(made) - -(-percent * len(made) // 100) + 1
+                yield pa.RecordBatch.from_arrays([pa.array(made), pa.array(np.full(len(made), i, np.int64)), pa.array(np.full(len(made), prefix, np.int32))], names=["key", "id", "prefix"])
 
-    split = groups.join(sets, "id").select("key", "id", "features").mapInArrow(run, "key long, id long")
-    return _shared(split.withColumn("n", F.lit(None).cast("int"))).select("key", "id")
+    features = stored(sets.join(groups.select("id").distinct(), "id", "left_semi").mapInArrow(run, "key long, id long, prefix int"))
+    spread = features.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    rarest = Window.partitionBy("id").orderBy("n", "key")
+    ranked = features.join(spread, "key").withColumn("__rank", F.row_number().over(rarest))
+    return ranked.where(F.col("__rank") <= F.col("prefix")).where("n > 1").select("key", "id")
 
 
-def _once(groups: DataFrame) -> DataFrame:
-    """One of all groups (key, id) that have the same members."""
-    rows = groups.distinct()
+def _once(rows: DataFrame) -> DataFrame:
+    """One of all groups (key, id) of two or more members that have the same members."""
     kinds = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("id")).alias("x"), F.min("id").alias("lo"), F.max("id").alias("hi"))
-    kept = kinds.where("m > 1").groupBy("m", "x", "lo", "hi").agg(F.min("key").alias("key")).select("key", "m")
+    kept = kinds.where("m > 1").groupBy("m", "x", "lo", "hi").agg(F.min("key").alias("key")).select("key")
     return rows.join(kept, "key")
 
 
@@ -179,46 +185,47 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", n: i
     component_id, the smallest id that links lead to.  Ids are whole numbers; rows of a repeated id are one document
     in the graph and one row each here; rows without an id are returned with a NULL component.
 
-    Signatures meet in one shuffle.  In a group of documents with one signature, a few members at a time are compared
+    Signatures meet in one shuffle.  In a group of documents with one signature, a few members, then ever more of them, are compared
     with the others that no link has joined to them yet, over several turns, so that copies are not compared pairwise
-    and no link between classes is lost: a turn ends only those members that have been compared with all.  Large groups
-    that are no class are split by further signatures.
+    and no link between classes is lost: a turn ends only those members that have been compared with all.  Members of
+    large groups that are no class are dealt anew by their rarest features.
     """
     docs = df.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     nameless = docs.where(F.col("id").isNull())
     docs = docs.where(F.col("id").isNotNull())
     rows = stored(_shared(_signatures(docs, n, percent)))
     copies = rows.where("n = -1").select(F.col("key").alias("a"), F.col("id").alias("b"))
-    groups = stored(_once(rows.where("n is null").select("key", "id")))
-    linked, classes = copies, stored(components(copies, "a", "b"))
+    groups = stored(_once(rows.where("n is null").select("key", "id").distinct()))
+    forest = stored(downward(copies, "a", "b"))
     sets = None if groups.isEmpty() else stored(_sets(docs, groups.select("id").distinct(), n))
     tested, turn = None, 0
     while sets is not None:
-        sizes = classes.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
-        known = classes.join(sizes, "component").select("id", "component", "members")
-        now = groups.join(known, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"), F.coalesce("members", F.lit(1)).alias("members"))
-        order = [F.struct(F.log2("members").cast("int").alias("s"), F.xxhash64("id", F.lit(turn * 64 + i)).alias("r"), "id", "c") for i in range(HUBS[min(turn, len(HUBS) - 1)])]
-        chosen = now.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("m"), F.array(*map(F.min, order)).alias("hubs")).where("lo < hi")
-        chosen = stored(chosen.select("key", "m", F.array_distinct(F.transform("hubs", lambda h: F.struct(h["id"].alias("id"), h["c"].alias("c")))).alias("hubs")))
-        if chosen.isEmpty():
+        known = labels(forest)
+        sizes = known.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
+        known = known.join(sizes, "component").select("id", "component", "members")
+        now = groups.join(known, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"), F.coalesce("members", F.lit(0)).alias("members"))
+        mixed_groups = now.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo < hi").select("key", "m")
+        held = stored(now.join(mixed_groups, "key"))
+        if held.isEmpty():
             break
-        meet = now.join(chosen, "key").select("id", "c", F.explode("hubs").alias("hub")).where(F.col("c") != F.col("hub.c"))
-        pairs = meet.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct()
+        first = Window.partitionBy("key").orderBy(F.log2(F.col("members") + 1).cast("int"), F.xxhash64("id", F.lit(turn)), "id")  # small classes first
+        hubs = held.withColumn("place", F.row_number().over(first)).where(F.col("place") <= FEW * 8**turn).select("key", F.col("id").alias("hub"), F.col("c").alias("hub_c"))
+        meet = held.select("key", "id", "c").join(hubs, "key").where("c <> hub_c")
+        pairs = meet.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
         pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
         tested = pairs if tested is None else tested.unionByName(pairs)
         found = stored(_links(pairs, sets, percent))
         if not found.isEmpty():
-            linked = linked.unionByName(found)
-            classes = stored(components(linked, "a", "b"))
-        done = chosen.select("key", F.explode("hubs.id").alias("id"))
-        rest = groups.join(chosen.select("key"), "key", "left_semi").join(done, ["key", "id"], "left_anti").select("key", "id")
-        turn += 1
-        if turn % 3 == 0:
-            large = chosen.where(F.col("m") > LARGE).select("key")
+            forest = stored(joined_up(forest.unionByName(downward(found, "a", "b"))))
+        rest = held.join(hubs.withColumnRenamed("hub", "id"), ["key", "id"], "left_anti")
+        if turn == 0:
+            large = held.where(F.col("m") > LARGE)
+            rest = rest.where(F.col("m") <= LARGE)
             if not large.isEmpty():
-                split = _refined(rest.join(large, "key", "left_semi"), sets, percent, turn)
-                rest = rest.join(large, "key", "left_anti").unionByName(split)
-        groups = stored(_once(rest))
+                rest = rest.select("key", "id").unionByName(_by_rarest(large, sets, percent))
+        groups = stored(_once(rest.select("key", "id")))
+        turn += 1
+    classes = components(forest)
     named = rows.where("n >= 0").select("id", "n").join(classes, "id", "left")
     out = named.select(F.col("id").alias(key), F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
     return out.unionByName(_nameless(nameless, key, n))

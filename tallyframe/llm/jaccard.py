@@ -149,7 +149,7 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _by_rarest(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The members of groups dealt anew (key, id), by their rarest features.
+    """The members of groups dealt anew (key, id, place), by their rarest features; place counts those before, 1 and up.
 
     Long passages that many texts share make large groups of texts that are not similar.  Of two similar sets, each
     ordered by how many members have a feature, rare ones first, the prefixes share a feature when a prefix leaves out
@@ -161,20 +161,21 @@ def _by_rarest(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             for i, data in zip(batch.column(0).to_pylist(), batch.column(1)):
                 made = np.frombuffer(data.as_buffer(), np.int64)
                 prefix = len(made) - -(-percent * len(made) // 100) + 1
-                yield pa.RecordBatch.from_arrays([pa.array(made), pa.array(np.full(len(made), i, np.int64)), pa.array(np.full(len(made), prefix, np.int32))], names=["key", "id", "prefix"])
+                yield pa.RecordBatch.from_arrays([pa.array(made), pa.array(np.full(len(made), i, np.int64)), pa.array(np.full(len(made), prefix, np.int32)), pa.array(np.full(len(made), np.bitwise_xor.reduce(made)))], names=["key", "id", "prefix", "text"])
 
-    features = stored(sets.join(groups.select("id").distinct(), "id", "left_semi").mapInArrow(run, "key long, id long, prefix int"))
+    features = stored(sets.join(groups.select("id").distinct(), "id", "left_semi").mapInArrow(run, "key long, id long, prefix int, text long"))
     spread = features.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    rarest = Window.partitionBy("id").orderBy("n", "key")
+    rarest = Window.partitionBy("id", "text").orderBy("n", "key")  # the texts of a repeated id each by itself
     ranked = features.join(spread, "key").withColumn("__rank", F.row_number().over(rarest))
-    return ranked.where(F.col("__rank") <= F.col("prefix")).where("n > 1").select("key", "id")
+    return ranked.where(F.col("__rank") <= F.col("prefix")).where("n > 1").select("key", "id", F.col("__rank").cast("int").alias("place")).groupBy("key", "id").agg(F.min("place").alias("place"))
 
 
 def _once(rows: DataFrame) -> DataFrame:
-    """One of all groups (key, id) of two or more members that have the same members."""
-    kinds = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("id")).alias("x"), F.min("id").alias("lo"), F.max("id").alias("hi"))
-    kept = kinds.where("m > 1").groupBy("m", "x", "lo", "hi").agg(F.min("key").alias("key")).select("key")
-    return rows.join(kept, "key")
+    """One of all groups (key, id, place) of two or more members that have the same members, with their least places."""
+    kinds = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("id")).alias("x"), F.min("id").alias("lo"), F.max("id").alias("hi")).where("m > 1")
+    one = kinds.groupBy("m", "x", "lo", "hi").agg(F.min("key").alias("one"))
+    named = kinds.join(one, ["m", "x", "lo", "hi"]).select("key", "one")
+    return rows.join(named, "key").groupBy(F.col("one").alias("key"), "id").agg(F.min("place").alias("place"))
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
@@ -195,7 +196,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", n: i
     docs = docs.where(F.col("id").isNotNull())
     rows = stored(_shared(_signatures(docs, n, percent)))
     copies = rows.where("n = -1").select(F.col("key").alias("a"), F.col("id").alias("b"))
-    groups = stored(_once(rows.where("n is null").select("key", "id").distinct()))
+    groups = stored(_once(rows.where("n is null").select("key", "id").distinct().withColumn("place", F.lit(1))))
+    counts = rows.where("n >= 0").groupBy("id").agg(F.min("n").alias("least"), F.max("n").alias("most"))
     forest = stored(downward(copies, "a", "b"))
     sets = None if groups.isEmpty() else stored(_sets(docs, groups.select("id").distinct(), n))
     tested, turn = None, 0
@@ -203,27 +205,30 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", n: i
         known = labels(forest)
         sizes = known.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
         known = known.join(sizes, "component").select("id", "component", "members")
-        now = groups.join(known, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"), F.coalesce("members", F.lit(0)).alias("members"))
+        now = groups.join(known, "id", "left").join(counts, "id").select("key", "id", "place", "least", "most", F.coalesce("component", "id").alias("c"), F.coalesce("members", F.lit(0)).alias("members"))
         mixed_groups = now.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo < hi").select("key", "m")
         held = stored(now.join(mixed_groups, "key"))
         if held.isEmpty():
             break
         first = Window.partitionBy("key").orderBy(F.log2(F.col("members") + 1).cast("int"), F.xxhash64("id", F.lit(turn)), "id")  # small classes first
-        hubs = held.withColumn("place", F.row_number().over(first)).where(F.col("place") <= FEW * 8**turn).select("key", F.col("id").alias("hub"), F.col("c").alias("hub_c"))
-        meet = held.select("key", "id", "c").join(hubs, "key").where("c <> hub_c")
-        pairs = meet.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
+        hubs = held.withColumn("__turn", F.row_number().over(first)).where(F.col("__turn") <= FEW * 8**turn).select("key", *[F.col(c).alias(f"hub_{c}") for c in ("id", "c", "place", "least", "most")])
+        # of sizes a and b at least p / (100 + p) of a + b must be common: this feature and at most all after it, in either
+        after = F.least(F.col("most") - F.col("place"), F.col("hub_most") - F.col("hub_place")) + 1
+        enough = (after * (100 + percent) >= percent * (F.col("least") + F.col("hub_least"))) & (100 * F.least("most", "hub_most") >= percent * F.greatest("least", "hub_least"))
+        meet = held.join(hubs, "key").where((F.col("c") != F.col("hub_c")) & enough)
+        pairs = meet.select(F.least("id", "hub_id").alias("a"), F.greatest("id", "hub_id").alias("b")).distinct()
         pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
         tested = pairs if tested is None else tested.unionByName(pairs)
         found = stored(_links(pairs, sets, percent))
         if not found.isEmpty():
             forest = stored(joined_up(forest.unionByName(downward(found, "a", "b"))))
-        rest = held.join(hubs.withColumnRenamed("hub", "id"), ["key", "id"], "left_anti")
+        rest = held.join(hubs.select("key", F.col("hub_id").alias("id")), ["key", "id"], "left_anti")
         if turn == 0:
             large = held.where(F.col("m") > LARGE)
             rest = rest.where(F.col("m") <= LARGE)
             if not large.isEmpty():
-                rest = rest.select("key", "id").unionByName(_by_rarest(large, sets, percent))
-        groups = stored(_once(rest.select("key", "id")))
+                rest = rest.select("key", "id", "place").unionByName(_by_rarest(large, sets, percent))
+        groups = stored(_once(rest.select("key", "id", "place")))
         turn += 1
     classes = components(forest)
     named = rows.where("n >= 0").select("id", "n").join(classes, "id", "left")

@@ -108,21 +108,40 @@ class Trust:
 BAD, GOOD, SHARE = 0.28, 0.002, 0.85
 
 
-def learn(patterns: Mapping[tuple[int, ...], int], prior: float = 0.02, blame: float = 0.002, most: int = 500, close: float = 1e-9) -> Trust:
+def corroborated(patterns: Mapping[tuple[int, ...], int], lift: float = 1.5) -> list[bool]:
+    """Of each rule: whether it votes against documents that another rule is against at least ``lift`` times as often as
+    against the others, 20 made-up votes at the latter rate included."""
+    out = []
+    for r in range(len(next(iter(patterns), ()))):
+        alone, company = [0, 0], [0, 0]  # votes, those against
+        for votes, count in patterns.items():
+            if votes[r]:
+                n = company if any(v < 0 for i, v in enumerate(votes) if i != r) else alone
+                n[0] += count
+                n[1] += count * (votes[r] < 0)
+        rate = alone[1] / max(alone[0], 1)
+        out.append(company[1] > 0 and company[1] + 20 * rate >= lift * rate * (company[0] + 20))
+    return out
+
+
+def learn(patterns: Mapping[tuple[int, ...], int], prior: float = 0.02, blame: float = 0.002, most: int = 500, close: float = 1e-9, good_prior: float = 0.1) -> Trust:
     """Expectation-maximisation over counted vote patterns.
 
     Votes are independent given the class.  It starts from ``BAD``, ``GOOD`` and ``SHARE`` and is held to them by
-    made-up votes, ``prior`` for each document and 20 more, so it learns alike at every size; and no rule is taken to
-    blame more than the share ``blame`` of good documents, else a fault that never comes with another would be
-    explained as a habit of good ones.  Without documents the start is the result.
+    made-up votes, 20 and for each document ``prior`` (``good_prior`` for votes on good documents), so it learns alike
+    at every size.  How often a rule is against bad and against good documents is learned freely where the rules are
+    ``corroborated``.  Where a rule's votes against do not come with those of others, the patterns of a fault that never
+    comes with another and of a rule that misfires are the same: such a rule is believed, that is, taken to blame at
+    most the share ``blame`` of good documents, and one vote against rejects.  Without documents the start is the result.
     """
     n_rules = len(next(iter(patterns), ()))
     trust = Trust(SHARE, [(BAD, GOOD)] * n_rules)
     total, last = sum(patterns.values()), -math.inf
-    held = 20 + prior * total
+    held, held_good = 20 + prior * total, 20 + good_prior * total
+    free = corroborated(patterns)
     for _ in range(most if total else 0):
-        cast = [[held, held] for _ in range(n_rules)]  # votes on bad and on good documents
-        against = [[held * BAD, held * GOOD] for _ in range(n_rules)]
+        cast = [[held, held_good] for _ in range(n_rules)]  # votes on bad and on good documents
+        against = [[held * BAD, held_good * GOOD] for _ in range(n_rules)]
         good = SHARE * held
         for votes, count in patterns.items():
             p = trust.posterior(votes)
@@ -134,8 +153,9 @@ def learn(patterns: Mapping[tuple[int, ...], int], prior: float = 0.02, blame: f
                 if v < 0:
                     no[0] += count * (1 - p)
                     no[1] += count * p
-        shares = [(no[0] / n[0], min(no[1] / n[1], blame)) for n, no in zip(cast, against)]
-        trust = Trust(good / (total + held), [(max(b, 2 * g), g) for b, g in shares])
+        shares = [(no[0] / n[0], no[1] / n[1]) for n, no in zip(cast, against)]
+        shares = [(b, g) if f else (max(b, 2 * min(g, blame)), min(g, blame)) for (b, g), f in zip(shares, free)]
+        trust = Trust(good / (total + held), shares)
         if abs(trust.good - last) < close:
             break
         last = trust.good

@@ -1,5 +1,6 @@
 """Weak supervision: counts against brute force, what it learns, and that no Python runs on executors."""
 
+import itertools
 import re
 from collections import Counter
 
@@ -39,6 +40,26 @@ def test_learns_whom_to_trust():
     assert all(0 < a <= 1 for a in trust.accuracies()) and rules.learn({}).good == rules.SHARE
 
 
+@pytest.mark.parametrize("bad,blame", [(0.02, 0.05), (0.1, 0.05), (0.3, 0.05), (0.02, 0.2), (0.1, 0.2)])
+def test_learns_that_a_rule_misfires(bad, blame):
+    """Six rules fail 40% of bad documents each, and the first also a share of good ones, which must be kept."""
+    patterns = {}
+    for votes in itertools.product((-1, 1), repeat=6):
+        failed = votes.count(-1)
+        of_good = 0 if failed - (votes[0] < 0) else blame if votes[0] < 0 else 1 - blame
+        patterns[votes] = round(100_000 * ((1 - bad) * of_good + bad * 0.4**failed * 0.6 ** (6 - failed)))
+    assert rules.corroborated(patterns) == [True] * 6
+    trust = rules.learn(patterns)
+    assert trust.posterior((-1, 1, 1, 1, 1, 1)) >= 0.5 and trust.posterior((1,) * 6) > 0.9
+    assert trust.posterior((-1, -1, 1, 1, 1, 1)) < 0.5 and trust.posterior((1, -1, -1, 1, 1, 1)) < 0.5
+
+
+def test_believes_a_fault_that_never_comes_with_another():
+    patterns = {(1, 1, 1): 9000, (-1, 1, 1): 600, (1, -1, -1): 300, (1, -1, 1): 50, (1, 1, -1): 50}
+    assert rules.corroborated(patterns) == [False, True, True]
+    assert rules.learn(patterns).posterior((-1, 1, 1)) < 0.5
+
+
 def test_query_on_labels_and_native(spark):
     sf = "/root/testdata/sf0.01"
     df = QUERIES["op2_quality_rules"](spark, sf)

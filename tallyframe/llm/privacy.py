@@ -10,16 +10,20 @@ from .store import stored
 # What personal data looks like.
 # Each begins with a test of one character that most places fail.
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
-PHONE = r"(?=[+(])(?:(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)|\+\d{1,3}(?:[ .-]\d{2,4}){2,4}(?!\d))"
+# A number with +, with an area code in parentheses, or as written within a country: 988-555-2485, 030 1234567.
+ABROAD = r"(?=[+(])(?:(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)|\+\d{1,3}[ .-]?\(0\)[ .-]?\d(?:[ .-]?\d){6,11}(?!\d)|\+\d{1,3}[ .-]\d{1,3}(?:[ .-]\d{2}){4}(?!\d)|\+\d{1,3}(?:[ .-]\d{2,4}){2,4}(?!\d)|\+\d(?:[ .-]?\d){6,14}(?!\d))"
+AT_HOME = r"(?=\d)(?<![\p{L}\d.+/_-])(?:(?:1[ .-])?(?:\d{3}-\d{3}-\d{4}|\d{3}\.\d{3}\.\d{4}|(?<!\d[ ])[2-9]\d{2} [2-9]\d{2}[ -]\d{4}(?! \d))(?![.-]?\d)|(?<!\d[ ])0[1-9](?=(?:[ /.-]?\d){7,10}+(?![ /.-]?\d))\d{0,3}(?:[ /.-]\d{2,8}){1,4})(?!\p{L})"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 ADDRESS = rf"(?=\d)(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\d|\.\d)"
-CARD = r"(?=\d)(?<![\d.-])\d(?:[ -]?\d){12,18}(?![\d-])"
+# A run of digits in groups, of which one or several in a row may be a card; an address or telephone number ends it.
+CARD = rf"(?=\d)(?<![\d.-])\d(?:(?:[ -](?!\d{{1,3}}\.\d|{AT_HOME}))?\d){{12,}}+"
+USUAL_CARD = r"^(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{4,5})$"
 CLOUD_KEY = r"(?=A)(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])"
 SECRET = r"(?<=[=:\"' ])(?=[A-Za-z0-9_+/=-]{8})(?<=[=:][ ]{0,3}[\"']?)(?<=(?i:password|passwd|secret|token|api_key|apikey|api-key)[ ]{0,3}[=:][ ]{0,3}[\"']?)[A-Za-z0-9_+/=-]+"
 MEN, WOMEN, ANYONE = ["Mr", "Herr", "Monsieur", "Señor", "г-н", "κ"], ["Mrs", "Ms", "Miss", "Frau", "Madame", "Señora", "г-жа", "κα"], ["Dr", "Prof"]
 TITLES = sorted(MEN + WOMEN + ANYONE, key=len, reverse=True)
 NAME = rf"(?=[{''.join(sorted({t[0] for t in TITLES}))}])(?<!\p{{L}})(?:{'|'.join(TITLES)})\.? \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?"
-ANY = "|".join([SECRET, EMAIL, CLOUD_KEY, NAME, PHONE, ADDRESS, CARD])
+ANY = "|".join([SECRET, EMAIL, CLOUD_KEY, NAME, ABROAD, ADDRESS, AT_HOME, CARD])
 
 # Syllables of invented names; per script: syllables, then endings for women, men and anyone.
 SYLLABLES = {
@@ -55,14 +59,58 @@ def digits_of(text: Column) -> Column:
 
 
 def kind_of(match: Column) -> Column:
-    """What a match of ``ANY`` is; NULL for a run of digits that no card could have."""
+    """What a match of ``ANY`` is; a run of digits is a card when cards were found in it."""
     is_ = lambda pattern: match.rlike(rf"^(?:{pattern})$")
     return (
-        F.when(is_(CLOUD_KEY), "cloud_key").when(is_(EMAIL), "email").when(is_(ADDRESS), "address").when(is_(PHONE), "phone").when(is_(NAME), "name")
-        .when(is_(CARD), F.when(luhn(digits_of(match)) % 10 == 0, "card")).otherwise("secret")
+        F.when(is_(CLOUD_KEY), "cloud_key").when(is_(EMAIL), "email").when(is_(ADDRESS), "address").when(is_(ABROAD) | is_(AT_HOME), "phone").when(is_(NAME), "name")
+        .when(is_(CARD), "card").otherwise("secret")
     )
 
 
+def bound(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def cards_in(run: Column) -> Column:
+    """(start, end) of the cards in a run of digits, from 0, in order: groups in a row of 13 to 19 digits with a right
+    check sum.  Of those that overlap the usual forms come first, then the longest, then the first."""
+    def among(c: Column) -> Column:
+        digit = lambda i: F.coalesce(F.get(c["chars"], i).rlike(r"^\d$"), F.lit(False))
+        places = F.sequence(F.lit(0), F.size(c["chars"]) - 1)
+        starts, ends = F.filter(places, lambda i: digit(i) & ~digit(i - 1)), F.filter(places, lambda i: digit(i) & ~digit(i + 1))
+        return bound(F.struct(c["chars"].alias("chars"), starts.alias("starts"), ends.alias("ends")), chosen)
+
+    def chosen(c: Column) -> Column:
+        def ending(start: Column, i: Column) -> Column:
+            near = F.filter(F.slice(c["ends"], i + 1, 19), lambda end: (end - start).between(12, 36))
+            return F.transform(near, lambda end: F.struct(start.alias("start"), end.alias("end"), F.array_join(F.slice(c["chars"], start + 1, end - start + 1), "").alias("text")))
+
+        fit = lambda x: F.length(digits_of(x["text"])).between(13, 19) & (luhn(digits_of(x["text"])) % 10 == 0)
+        found = F.filter(F.flatten(F.transform(c["starts"], ending)), fit)
+        ranked = F.sort_array(F.transform(found, lambda x: F.struct((~x["text"].rlike(USUAL_CARD)).alias("odd"), (-F.length(digits_of(x["text"]))).alias("n"), x["start"].alias("start"), x["end"].alias("end"))))
+        apart = lambda taken, x: ~F.exists(taken, lambda t: (t["start"] <= x["end"]) & (x["start"] <= t["end"]))
+        add = lambda taken, x: F.when(apart(taken, x), F.concat(taken, F.array(F.struct(x["start"].alias("start"), x["end"].alias("end"))))).otherwise(taken)
+        return F.sort_array(F.aggregate(ranked, F.array().cast("array<struct<start:int,end:int>>"), add))
+
+    return bound(F.struct(F.filter(F.split(run, ""), lambda ch: ch != "").alias("chars")), among)
+
+
+def pieces_of(match: Column) -> Column:
+    """A match of ``ANY`` in pieces (match, kind): all of it, or the cards of a run of digits and what is between them,
+    of kind NULL."""
+    piece = lambda text, kind: F.struct(text.alias("match"), kind.alias("kind"))
+    none = F.lit(None).cast("string")
+
+    def parted(cards: Column) -> Column:
+        after = lambda i: F.coalesce(F.get(cards, i - 1)["end"], F.lit(-1)) + 1
+        between = lambda x, i: F.array(piece(F.substring(match, after(i) + 1, x["start"] - after(i)), none), piece(F.substring(match, x["start"] + 1, x["end"] - x["start"] + 1), F.lit("card")))
+        rest = piece(F.substring(match, after(F.size(cards)) + 1, F.length(match)), none)
+        return F.concat(F.flatten(F.transform(cards, between)), F.array(rest))
+
+    return bound(kind_of(match), lambda kind: F.when(kind == "card", bound(cards_in(match), parted)).otherwise(F.array(piece(match, kind))))
+
+
 def parts_of(match: Column, kind: Column) -> Column:
     """What must stay the same wherever it is met, as an array of (kind, core): digits of numbers, lower-cased
     addresses and names; first names and family names apart, by gender of the title and by script."""
@@ -177,10 +225,11 @@ def replace_personal(docs: DataFrame, key: str, text: str = "text") -> DataFrame
     empty = F.array().cast("array<string>")
     clean = own.where(~some).withColumns({"n_entities": F.lit(0).cast("long"), "entities": empty})
     row = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in own.columns]), {"ignoreNullFields": "false"}), 256)
-    matches = F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), lambda m: F.struct(m.alias("match"), kind_of(m).alias("kind")))
+    matches = F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), pieces_of)
     hit = own.where(some).withColumns({"__row": row, "__matches": matches})
 
-    places = hit.select("__row", F.posexplode("__matches").alias("place", "m")).where("m.kind is not null")
+    pieces = hit.select("__row", F.posexplode("__matches").alias("at", "pieces")).select("__row", "at", F.posexplode("pieces").alias("piece", "m"))
+    places = pieces.where("m.kind is not null").withColumn("place", F.struct("at", "piece"))
     parts = places.select("__row", "place", "m.match", F.col("m.kind").alias("whole"), F.posexplode(parts_of(F.col("m.match"), F.col("m.kind"))).alias("part", "p"))
     parts = stored(parts.select("__row", "place", "match", "whole", "part", "p.kind", "p.core").distinct())
     names = assigned(parts.select("kind", "core").distinct(), key)
@@ -189,8 +238,9 @@ def replace_personal(docs: DataFrame, key: str, text: str = "text") -> DataFrame
     made = made.groupBy("__row").agg(F.map_from_entries(F.collect_list("e")).alias("__new"))
 
     joined = hit.join(made, "__row", "left")
-    new = F.transform("__matches", lambda m, i: F.coalesce(F.element_at(F.col("__new"), i), m["match"]))
-    pieces = F.flatten(F.zip_with(F.split(text, ANY, -1), F.concat(new, F.array(F.lit(""))), lambda a, b: F.array(a, b)))
-    kinds = F.array_sort(F.filter(F.transform("__matches", lambda m: m["kind"]), lambda k: k.isNotNull()))
-    replaced = joined.withColumns({text: F.array_join(pieces, ""), "n_entities": F.size(kinds).cast("long"), "entities": kinds})
+    made_of = lambda i, j: F.element_at(F.col("__new"), F.struct(i.alias("at"), j.alias("piece")))
+    new = F.transform("__matches", lambda pieces, i: F.array_join(F.transform(pieces, lambda m, j: F.coalesce(made_of(i, j), m["match"])), ""))
+    between = F.flatten(F.zip_with(F.split(text, ANY, -1), F.concat(new, F.array(F.lit(""))), lambda a, b: F.array(a, b)))
+    kinds = F.array_sort(F.filter(F.transform(F.flatten("__matches"), lambda m: m["kind"]), lambda k: k.isNotNull()))
+    replaced = joined.withColumns({text: F.array_join(between, ""), "n_entities": F.size(kinds).cast("long"), "entities": kinds})
     return clean.unionByName(replaced.select(*clean.columns))

@@ -42,6 +42,41 @@ def test_formats_and_coreference(docs):
     assert replaced(docs, ROWS)[1].text == out[1].text != replaced(docs, ROWS, "other")[1].text
 
 
+CARD = "4041 8949 7460 8795"
+
+
+@pytest.mark.parametrize("around", ["{} 12/26", "{} 123", "12 {}", "12 {} 123", "{} 44.161.181.40", "{} 988-555-2485", "pay {}-12"])
+def test_cards_beside_other_numbers(docs, around):
+    text = replaced(docs, [(1, around.format(CARD)), (2, around.format(CARD.replace(" ", "-"))), (3, CARD)])
+    new = text[3].text
+    assert new != CARD and luhn(new.replace(" ", "")) % 10 == 0
+    before, after = around.split("{}")
+    for i, card in ((1, new), (2, new.replace(" ", "-"))):
+        assert text[i].text.startswith(before + card) and "card" in text[i]["entities"]
+        if len(after) > 6:
+            assert after.strip() not in text[i].text and text[i].n_entities == 2
+        else:
+            assert text[i].text == before + card + after and text[i].n_entities == 1
+
+
+def test_two_cards_in_a_run(docs):
+    out = replaced(docs, [(1, f"{CARD} 4041894974608795"), (2, CARD), (3, "1 2 3 4 5 6 7 8 9 0 " * 400)])
+    assert out[1].n_entities == 2 and out[1].text == f"{out[2].text} {out[2].text.replace(' ', '')}"
+
+
+PHONES = ["+19885552485", "+49 30 1234567", "988-555-2485", "988.555.2485", "988 555 2485", "+33 1 23 45 67 89", "+44 (0)20 7946 0958", "030 1234567", "0171/1234567", "01 23 45 67 89", "1-988-555-2485"]
+
+
+def test_ways_to_write_telephone_numbers(docs):
+    out = replaced(docs, [(i, f"call {p}, please") for i, p in enumerate(PHONES)])
+    for i, p in enumerate(PHONES):
+        new = re.fullmatch("call (.+), please", out[i].text)[1]
+        assert out[i]["entities"] == ["phone"] and new != p and re.sub(r"\d", "0", new) == re.sub(r"\d", "0", p)
+    clean = ["on 01.02.2020 or 01-02-2020, 03/04/2021", "978-3-16-148410-0", "0.123 456", "rows 100 200 3000 40 50", "v1.988.555.2485"]
+    kept = replaced(docs, list(enumerate(clean)))
+    assert [kept[i].text for i in range(len(clean))] == clean
+
+
 def test_clean_texts_and_edge_cases(docs, nasty):
     clean = [*nasty, (7, "version 1.2.3, 999.1.1.1 and 12:30 on 2020-01-01; 5 @ 3; token ring"), (8, "4041894974608796")]
     df = docs(clean).withColumn("entities", F.lit(1))

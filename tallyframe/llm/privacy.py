@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from .store import stored
 
 # What personal data looks like.
-# Each begins with a test of one character that most places fail.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+# Each begins with a test of one character that most places fail; an address may also begin where a match ended.
+EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 # A number with +, with an area code in parentheses, or as written within a country: 988-555-2485, 030 1234567.
 ABROAD = r"(?=[+(])(?:(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)|\+\d{1,3}[ .-]?\(0\)[ .-]?\d(?:[ .-]?\d){6,11}(?!\d)|\+\d{1,3}[ .-]\d{1,3}(?:[ .-]\d{2}){4}(?!\d)|\+\d{1,3}(?:[ .-]\d{2,4}){2,4}(?!\d)|\+\d(?:[ .-]?\d){6,14}(?!\d))"
 AT_HOME = r"(?=\d)(?<![\p{L}\d.+/_-])(?:(?:1[ .-])?(?:\d{3}-\d{3}-\d{4}|\d{3}\.\d{3}\.\d{4}|(?<!\d[ ])[2-9]\d{2} [2-9]\d{2}[ -]\d{4}(?! \d))(?![.-]?\d)|(?<!\d[ ])0[1-9](?=(?:[ /.-]?\d){7,10}+(?![ /.-]?\d))\d{0,3}(?:[ /.-]\d{2,8}){1,4})(?!\p{L})"
@@ -36,6 +36,7 @@ LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 # Without one of these, beside digits and @, no text has personal data.
 WORDS = ["passw", "secret", "token", "api_key", "apikey", "api-key"]
+KEY_STARTS = ["AKIA", "ASIA"]
 
 
 def possible(text: Column) -> Column:
@@ -43,8 +44,8 @@ def possible(text: Column) -> Column:
     out = text.rlike("[0-9@]")
     for word in WORDS:
         out = out | F.lower(text).contains(word)
-    for title in TITLES:
-        out = out | text.contains(title)
+    for start in [*TITLES, *KEY_STARTS]:
+        out = out | text.contains(start)
     return out
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .license_digests import FULL
+
 # Spellings that count as equal.
 SAME = [
     ("licence", "license"), ("licences", "licenses"), ("licenced", "licensed"), ("sub license", "sublicense"), ("sub licensable", "sublicensable"),
@@ -70,12 +72,15 @@ def digest(text: Column) -> Column:
 
 
 def known_licenses(spark: SparkSession) -> DataFrame:
-    """(license_id, text) of the built-in list; a longer list is a table of the caller's."""
-    return spark.createDataFrame(list(KNOWN.items()), "license_id string, text string")
+    """(license_id, text, canonical_sha256) of the built-in list, full texts as digests alone; a longer list is a table
+    of the caller's."""
+    rows = [(i, text, None) for i, text in KNOWN.items()] + [(i, None, d) for i, digests in FULL.items() for d in digests]
+    return spark.createDataFrame(rows, "license_id string, text string, canonical_sha256 string")
 
 
 def scan(docs: DataFrame, licenses: DataFrame, text: str = "text") -> DataFrame:
-    """Look whole texts, and each of their lines, up among known licenses.
+    """Look whole texts, and each of their lines, up among known licenses: (license_id, text) or, where a license has no
+    text, its canonical_sha256.
 
     Adds canonical_sha256 (NULL for a text of which nothing is left), license_id (the license that the entire text is,
     the least id of several with one canonical text, or NULL), line_licenses (ids of the licenses that entire lines
@@ -87,7 +92,8 @@ def scan(docs: DataFrame, licenses: DataFrame, text: str = "text") -> DataFrame:
     """
     added = ["canonical_sha256", "license_id", "line_licenses", "n_license_lines"]
     own = docs.drop(*added)
-    known = licenses.select(digest(F.col("text")).alias("__known"), "license_id").where("__known is not null").groupBy("__known").agg(F.min("license_id").alias("license_id"))
+    given = F.col("canonical_sha256") if "canonical_sha256" in licenses.columns else F.lit(None).cast("string")
+    known = licenses.select(F.coalesce(digest(F.col("text")), given).alias("__known"), "license_id").where("__known is not null").groupBy("__known").agg(F.min("license_id").alias("license_id"))
     marked = own.withColumns({"canonical_sha256": digest(F.col(text)), "__text": F.sha2(F.coalesce(F.col(text), F.lit("")), 256)})
     whole = marked.join(known, marked["canonical_sha256"] == known["__known"], "left").drop("__known")
     lines = own.select(F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("__text"), F.posexplode(F.split(text, "\n")).alias("__line", "line"))

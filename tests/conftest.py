@@ -23,7 +23,3 @@ def frame(spark):
         return spark.createDataFrame(rows, schema)
 
     return build
-
-
-def rows_of(df, *names):
-    return sorted((tuple(r) for r in df.select(*[f"`{n}`" for n in names or df.columns]).collect()), key=repr)

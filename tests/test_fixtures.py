@@ -5,8 +5,8 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import rows_of
 from pyspark.sql import functions as F
+from support import rows_of
 
 from tallyframe.functions import binning, metrics, numeric, parse
 from tallyframe.operators import clean, distribution, frame as fr, joins, order, profile, quantiles, relate, rollup
@@ -158,13 +158,10 @@ def test_correlation(frame):
     assert relate.corr_matrix(df, ["x", "y", "c"]).count() == 9
 
 
-def test_redundant_columns_and_chunks(frame, monkeypatch):
+def test_redundant_columns(frame):
     rows = [(float(i), i + (i % 3) * 0.4, float((i * 7) % 11), float(-i)) for i in range(30)]
     df = frame(rows, "a double, b double, c double, d double")
     names = ["a", "b", "c", "d"]
-    whole = {(r["col_a"], r["col_b"]): r["r"] for r in relate.corr_matrix(df, names).collect()}
-    monkeypatch.setattr(relate, "PAIRS_PER_PASS", 3)
-    assert {(r["col_a"], r["col_b"]): r["r"] for r in relate.corr_matrix(df, names).collect()} == whole
     assert [r["column"] for r in relate.redundant_columns(df, names).orderBy("column").collect()] == ["b", "d"]
     assert {r["col_a"] for r in relate.corr_submatrix(df, names, "a").collect()} == {"a", "b", "d"}
 

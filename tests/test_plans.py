@@ -1,8 +1,8 @@
 """The composed analyses on small made-up tables."""
 
 import pytest
-from conftest import rows_of
 from pyspark.sql import functions as F
+from support import rows_of
 
 from tallyframe.ml.linear import RidgeClassifier
 from tallyframe.operators import relate

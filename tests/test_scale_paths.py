@@ -2,7 +2,7 @@
 
 import numpy as np
 import pytest
-from conftest import rows_of
+from support import rows_of
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

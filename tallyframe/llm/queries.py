@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, jaccard, licenses, linededup, mixing, privacy, quality, rules, sharding, suffixdedup
+from . import bitslices, decontam, jaccard, licenses, linededup, mixing, privacy, quality, rules, sharding, suffixdedup
 from .registry import ORACLES, QUERIES, query, table
 from .store import stored
 
@@ -175,3 +175,16 @@ def license_scan(spark: SparkSession, folder: str) -> DataFrame:
 def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cut = suffixdedup.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"), width=200)
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query(
+    "op13_topk_bitslices",
+    """WITH v AS (SELECT vec_id, row_number() OVER () AS place, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS q FROM embeddings
+              WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.place, a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+          FROM v a JOIN v b ON a.place <> b.place WHERE a.vec_id % 20 = 0)
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY place ORDER BY score DESC, vec_id NULLS LAST) AS INTEGER) AS rank, vec_id, score
+    FROM s QUALIFY rank <= 20""",
+)
+def topk_bitslices(spark: SparkSession, folder: str) -> DataFrame:
+    return bitslices.top_products(table(spark, folder, "embeddings"), "vec_id", "embedding", k=20, every=20, scale=64.0)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitslices, decontam, jaccard, licenses, linededup, mixing, privacy, quality, rules, sharding, suffixdedup
+from . import bitslices, decontam, jaccard, licenses, linededup, mixing, privacy, quality, ranked, rules, sharding, suffixdedup
 from .registry import ORACLES, QUERIES, query, table
 from .store import stored
 
@@ -188,3 +188,23 @@ def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 )
 def topk_bitslices(spark: SparkSession, folder: str) -> DataFrame:
     return bitslices.top_products(table(spark, folder, "embeddings"), "vec_id", "embedding", k=20, every=20, scale=64.0)
+
+
+@query(
+    "op11_ranked_search",
+    r"""WITH t AS (SELECT row_number() OVER () AS place, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+    total AS (SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS terms FROM t WHERE len(w) > 0),
+    d AS (SELECT place, doc_id, 100 - 50 + (50 * len(w) * docs) // terms AS m FROM t, total WHERE len(w) > 0),
+    b AS (SELECT item, item_id, unnest(list_distinct(w)) AS term FROM (SELECT row_number() OVER () AS item, item_id,
+                 regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark)),
+    p AS (SELECT place, term, count(*) AS tf FROM (SELECT place, unnest(w) AS term FROM t) WHERE term IN (SELECT term FROM b) GROUP BY ALL),
+    f AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM p, total GROUP BY term),
+    s AS (SELECT item, item_id, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+          FROM b JOIN f USING (term) JOIN p USING (term) JOIN d USING (place) GROUP BY item, item_id, doc_id, place)
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+    FROM s WHERE score > 0 QUALIFY rank <= 50""",
+)
+def ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked.best_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=50)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitslices, decontam, jaccard, licenses, linededup, mixing, privacy, quality, ranked, rules, sharding, suffixdedup
+from . import bitslices, decontam, dialogue, jaccard, licenses, linededup, mixing, privacy, quality, ranked, rules, sharding, suffixdedup
 from .registry import ORACLES, QUERIES, query, table
 from .store import stored
 
@@ -208,3 +208,54 @@ def topk_bitslices(spark: SparkSession, folder: str) -> DataFrame:
 )
 def ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     return ranked.best_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=50)
+
+
+def _edit(value: str, cost: str, letter: str) -> str:
+    """SQL: a path (cost in 12 digits, then its audit) with one more edit; NULL stays NULL."""
+    return f"printf('%012d', CAST({value}[1:12] AS BIGINT) + {cost}) || {value}[13:] || '{letter}'"
+
+
+def _steps(to: str, initial: str | None, sources: list[str]) -> str:
+    """SQL: the least path into a last role, from paths ``sources`` to the roles before it, over one row."""
+    ways = [_edit(f"p.{to}", "2", "D")]
+    for source in sources:
+        if initial is not None:
+            ways.append(f"CASE WHEN r.stays AND r.initial = '{initial}' THEN {_edit('p.' + source, '5 * r.cut', 'K')} END")
+        if to in ("u", "a"):
+            ways.append(f"CASE WHEN r.stays THEN {_edit('p.' + source, '1 + 5 * r.cut', 'R')} END")
+    return f"least({', '.join(ways)})"
+
+
+@query(
+    "op12_conversation_repair",
+    rf"""WITH RECURSIVE known AS (SELECT row_number() OVER () AS place, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' ')) AS name FROM conversations),
+    crc AS (SELECT *, 4294967295 - list_reduce(list_transform(range(len(name)), lambda i: CAST(ord(name[i + 1]) AS BIGINT)),
+                lambda c, b: list_reduce([xor(c, b)] || range(8), lambda v, i: xor(v >> 1, 3988292384 * (v & 1))), CAST(4294967295 AS BIGINT)) AS crc FROM known),
+    hurt AS (SELECT conv_id, turn, place, CASE WHEN crc % 20 = 4 THEN 'user' ELSE role END AS role,
+        CASE crc % 20 WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+        unnest(range(CASE crc % 20 WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM crc),
+    named AS (SELECT DISTINCT conv_id FROM conversations),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, place, copy) AS i,
+                      regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last_char FROM hurt),
+    judged AS (SELECT *, last_char = '' AS blank, last_char <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again FROM placed),
+    r AS (SELECT *, NOT blank AND NOT again AS stays, CAST(NOT blank AND NOT again AND last_char NOT IN ('.', '!', '?') AS INTEGER) AS cut, role[1:1] AS initial,
+                 lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM judged),
+    p AS (SELECT conv_id, CAST(0 AS BIGINT) AS i, '000000000000' AS o, CAST(NULL AS VARCHAR) AS s, CAST(NULL AS VARCHAR) AS u, CAST(NULL AS VARCHAR) AS a FROM named
+          UNION ALL SELECT p.conv_id, r.i, {_edit("p.o", "2", "D")}, {_steps("s", "s", ["o"])}, {_steps("u", "u", ["o", "s", "a"])}, {_steps("a", "a", ["u"])}
+          FROM p JOIN r ON p.conv_id IS NOT DISTINCT FROM r.conv_id AND r.i = p.i + 1),
+    done AS (SELECT conv_id, arg_max(least(o, a), i) AS path FROM p GROUP BY conv_id),
+    edited AS (SELECT r.*, path[12 + i:12 + i] AS letter FROM r JOIN done ON r.conv_id IS NOT DISTINCT FROM done.conv_id),
+    numbered AS (SELECT *, count(*) OVER w - 1 - max(CASE WHEN letter = 'K' AND initial = 's' THEN 1 ELSE 0 END) OVER w AS pos FROM edited WHERE letter <> 'D' WINDOW w AS (PARTITION BY conv_id ORDER BY i)),
+    written AS (SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN pos % 2 = 0 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY i) AS body FROM numbered GROUP BY conv_id),
+    counted AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE again) AS duplicate,
+                       count(*) FILTER (WHERE cut = 1) AS truncated, count(*) FILTER (WHERE before || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY conv_id)
+    SELECT done.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+           CAST(path[1:12] AS BIGINT) AS cost, path[13:] AS audit, sha256(coalesce(body, '')) AS repaired_sha256
+    FROM done LEFT JOIN counted ON done.conv_id IS NOT DISTINCT FROM counted.conv_id LEFT JOIN written ON done.conv_id IS NOT DISTINCT FROM written.conv_id""",
+)
+def conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    judged, turns = dialogue.repair(dialogue.damage(table(spark, folder, "conversations")))
+    hashed = dialogue.digests(turns).withColumnRenamed("conv_id", "hashed_conv")
+    both = judged.join(hashed, F.col("conv_id").eqNullSafe(F.col("hashed_conv")), "left")
+    return both.select(*judged.columns, F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))

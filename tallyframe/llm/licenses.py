@@ -65,12 +65,17 @@ def sql_canonical(text: str) -> str:
     return f"trim(regexp_replace({words}, ' +', ' ', 'g'))"
 
 
-def digest(text: Column) -> Column:
-    """SHA-256 of the canonical text, NULL when nothing is left of it."""
-    kept = canonical(text)
+def digest(kept: Column) -> Column:
+    """SHA-256 of a canonical text, NULL when nothing is left of it."""
     return F.when(kept != "", F.sha2(kept, 256))
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is worked out once: a row generated from it is a border for the optimiser, which would else copy
+    the expression into every filter and projection that reads it."""
+    return df.select(*df.columns, F.explode(F.array(value)).alias(name))
+
+
 def known_licenses(spark: SparkSession) -> DataFrame:
     """(license_id, text, canonical_sha256) of the built-in list, full texts as digests alone; a longer list is a table
     of the caller's."""
@@ -93,11 +98,12 @@ def scan(docs: DataFrame, licenses: DataFrame, text: str = "text") -> DataFrame:
     added = ["canonical_sha256", "license_id", "line_licenses", "n_license_lines"]
     own = docs.drop(*added)
     given = F.col("canonical_sha256") if "canonical_sha256" in licenses.columns else F.lit(None).cast("string")
-    known = licenses.select(F.coalesce(digest(F.col("text")), given).alias("__known"), "license_id").where("__known is not null").groupBy("__known").agg(F.min("license_id").alias("license_id"))
-    marked = own.withColumns({"canonical_sha256": digest(F.col(text)), "__text": F.sha2(F.coalesce(F.col(text), F.lit("")), 256)})
+    known = licenses.select(F.coalesce(digest(canonical(F.col("text"))), given).alias("__known"), "license_id").where("__known is not null").groupBy("__known").agg(F.min("license_id").alias("license_id"))
+    named = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
+    marked = once(own, "__kept", canonical(F.col(text))).withColumns({"canonical_sha256": digest(F.col("__kept")), "__text": named}).drop("__kept")
     whole = marked.join(known, marked["canonical_sha256"] == known["__known"], "left").drop("__known")
-    lines = own.select(F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("__text"), F.posexplode(F.split(text, "\n")).alias("__line", "line"))
-    lines = lines.withColumn("__known", digest(F.col("line"))).select("__text", "__line", "__known")
+    lines = once(own.select(F.col(text)), "__text", named).select("__text", F.posexplode(F.split(text, "\n")).alias("__line", "line"))
+    lines = once(lines, "__kept", canonical(F.col("line"))).select("__text", "__line", digest(F.col("__kept")).alias("__known"))
     found = lines.join(known, "__known").select("__text", "__line", "license_id").distinct()
     found = found.groupBy("__text").agg(F.array_sort(F.collect_set("license_id")).alias("line_licenses"), F.count(F.lit(1)).alias("n_license_lines"))
     out = whole.join(found, "__text", "left").withColumns({

@@ -1,99 +1,500 @@
-"""Forests and their importances."""
+"""Random forests and extremely randomised trees without a depth limit.
+
+Trees grow in two phases.  While a node has many rows, its split comes from sums over the whole table, level by level:
+one pass gives the classes and the range of every feature per node, one the classes on both sides of the candidate cuts.
+The rows of a smaller node then go to one task, which finishes the subtree.  Trees whose root is small share their rows
+in bundles.  Finished subtrees are rows of a table; the driver holds only nodes of the first phase, whose number is bounded.
+
+Every draw is a hash of the seed, the tree and the node or row, so trees depend on neither partitioning nor retries.  With
+``folds``, one forest per fold grows in the same passes, on the rows of the other folds.
+"""
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
 import numpy as np
+import pandas as pd
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.param.shared import HasFeaturesCol, HasOutputCol, HasSeed, Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml import Estimator, Model
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol, HasSeed, Param, Params, TypeConverters
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .labels import OnClassNumber, OnClassNumberModel
-from .moments import feature_array, width
+from ..operators.bounded import join_lookup
+from ..session import durable
+from .moments import class_labels, feature_array, matrix, width
+
+SMALL = 50_000  # rows of a node that one task finishes, and of a block that one task scores
+MOST_OPEN = 20_000  # nodes of the first phase at a time; more trees wait
+MOST_NODES = 2_000_000  # nodes of the first phase in all, which the driver holds
+STEPS = 64  # cuts tried per feature in the first phase: equal steps of the node's range
+BUNDLES = 32
+LEAF, DEALT = -1, -2  # in place of a feature
+
+# The Poisson distribution of mean 1, how often a row is drawn into a tree.
+POISSON = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(20)])
+
+
+def scramble(h: np.ndarray | int) -> np.ndarray:
+    """Spread 64-bit numbers over all bits."""
+    h = np.atleast_1d(np.asarray(h, np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
+
+
+def uniform(h: np.ndarray) -> np.ndarray:
+    return (scramble(h) >> np.uint64(11)).astype(np.float64) * 2.0**-53
+
+
+def root_of(seed: int, tree: int) -> np.uint64:
+    return scramble(scramble(seed)[0] ^ np.uint64(tree + 1))[0]
+
+
+def children_of(nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return scramble(nodes ^ np.uint64(0xA5A5)), scramble(nodes ^ np.uint64(0x5A5A))
+
+
+def feature_draws(nodes: np.ndarray, d: int) -> np.ndarray:
+    """One number per node and feature; a node tries its non-constant features in the order of these."""
+    return scramble(nodes[:, None] ^ (np.arange(1, d + 1, dtype=np.uint64) << np.uint64(20)))
+
+
+def random_cuts(draws: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """A cut in [low, high) from each draw."""
+    cut = low + uniform(draws) * (high - low)
+    return np.where(cut < high, cut, low)
+
+
+def row_weights(hashes: np.ndarray, fold: np.ndarray, tree: int, spec: dict) -> np.ndarray:
+    """How often each row counts in a tree: drawn with replacement, or once; never in the forest of its own fold."""
+    if spec["extra"]:
+        weight = np.ones(len(hashes))
+    else:
+        weight = np.searchsorted(POISSON, uniform(hashes ^ root_of(spec["seed"], tree)), side="right").astype(float)
+    return np.where(fold == tree // spec["trees"], 0.0, weight) if spec["folds"] else weight
+
+
+def candidates(nodes: np.ndarray, low: np.ndarray, high: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first m non-constant features of every node in its order, -1 where there are fewer, and their draws."""
+    draws = feature_draws(nodes, low.shape[1])
+    order = np.lexsort((draws, low >= high))[:, :m] if low.shape[1] else np.empty((len(nodes), 0), int)
+    rows = np.arange(len(nodes))[:, None]
+    return np.where((low < high)[rows, order], order, -1), draws[rows, order]
+
+
+def purity(counts: np.ndarray) -> np.ndarray:
+    """Sum of squared class weights over the weight; what a split raises is the impurity it removes."""
+    total = counts.sum(axis=-1)
+    return (counts**2).sum(axis=-1) / np.where(total > 0, total, 1)
+
+
+class Tree:
+    """Nodes in the order they were made; the right child stands after the left one."""
+
+    def __init__(self, root: np.uint64, n_classes: int):
+        self.ids, self.feature, self.cut, self.left, self.value, self.gain = [np.uint64(root)], [LEAF], [0.0], [0], [np.zeros(n_classes)], [0.0]
+
+    def split(self, at: int, feature: int, cut: float, gain: float) -> int:
+        """Make two children; returns the place of the left one."""
+        self.feature[at], self.cut[at], self.gain[at], self.left[at] = feature, cut, gain, len(self.ids)
+        for side in children_of(np.array([self.ids[at]], np.uint64)):
+            self.ids.append(side[0])
+            for column, empty in ((self.feature, LEAF), (self.cut, 0.0), (self.left, 0), (self.gain, 0.0)):
+                column.append(empty)
+            self.value.append(np.zeros_like(self.value[0]))
+        return self.left[at]
+
+    def arrays(self) -> dict[str, np.ndarray]:
+        return {
+            "feature": np.array(self.feature, np.int32), "cut": np.array(self.cut), "left": np.array(self.left, np.int32),
+            "value": np.array(self.value), "gain": np.array(self.gain),
+        }
+
+
+def leaves(tree: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
+    """The place of the node where each row ends."""
+    at, moving = np.zeros(len(x), np.int64), np.arange(len(x))
+    while len(moving):
+        f = tree["feature"][at[moving]]
+        moving, f = moving[f >= 0], f[f >= 0]
+        here = at[moving]
+        at[moving] = tree["left"][here] + (x[moving, f] > tree["cut"][here])
+    return at
+
+
+def grow(root: np.uint64, x: np.ndarray, y: np.ndarray, w: np.ndarray, spec: dict) -> dict[str, np.ndarray]:
+    """The whole subtree under a node from all its rows, level by level over all open nodes at once."""
+    tree, k, m = Tree(root, spec["classes"]), spec["classes"], spec["m"]
+    rows, open_nodes = np.flatnonzero(w > 0), np.array([0])
+    seg = np.zeros(len(rows), np.int64)  # of each row its place in open_nodes
+    while len(open_nodes) and len(rows):
+        n = len(open_nodes)
+        order = np.argsort(seg, kind="stable")
+        rows, seg = rows[order], seg[order]
+        starts = np.searchsorted(seg, np.arange(n))
+        totals = np.bincount(seg * k + y[rows], weights=w[rows], minlength=n * k).reshape(n, k)
+        for at, value in zip(open_nodes, totals):
+            tree.value[at] = value
+        low, high = np.minimum.reduceat(x[rows], starts), np.maximum.reduceat(x[rows], starts)
+        ids = np.array([tree.ids[i] for i in open_nodes], np.uint64)
+        tried, draws = candidates(ids, low, high, m)
+        tried[(totals > 0).sum(axis=1) < 2] = -1
+        best, feature, cut = np.full(n, -np.inf), np.full(n, -1), np.zeros(n)
+        for j in range(tried.shape[1]):
+            f = tried[:, j]
+            on = f[seg] >= 0
+            r, s = rows[on], seg[on]
+            if not len(r):
+                continue
+            v = x[r, f[s]]
+            if spec["extra"]:
+                cuts = random_cuts(draws[:, j], low[np.arange(n), f], high[np.arange(n), f])
+                below = np.bincount((s * k + y[r])[v <= cuts[s]], weights=w[r][v <= cuts[s]], minlength=n * k).reshape(n, k)
+                score = np.where(f >= 0, purity(below) + purity(totals - below), -np.inf)
+            else:
+                score, cuts = _best_cuts(v, s, y[r], w[r], totals, n, k)
+            better = score > best
+            best, feature, cut = np.where(better, score, best), np.where(better, f, feature), np.where(better, cuts, cut)
+        made, where = [], np.full(n, -1)
+        for i in np.flatnonzero(feature >= 0):
+            where[i] = len(made)
+            at = tree.split(int(open_nodes[i]), int(feature[i]), float(cut[i]), float(best[i] - purity(totals[i])))
+            made += [at, at + 1]
+        stay = feature[seg] >= 0
+        rows, seg = rows[stay], seg[stay]
+        seg = where[seg] + (x[rows, feature[seg]] > cut[seg])
+        open_nodes = np.array(made, np.int64)
+    return tree.arrays()
+
+
+def _best_cuts(v: np.ndarray, s: np.ndarray, y: np.ndarray, w: np.ndarray, totals: np.ndarray, n: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """For every node the best cut between two neighbouring values of its feature (the first of equals), and its score."""
+    order = np.lexsort((v, s))
+    v, s = v[order], s[order]
+    each = np.zeros((len(v), k))
+    each[np.arange(len(v)), y[order]] = w[order]
+    starts = np.searchsorted(s, np.arange(n))
+    sums = np.cumsum(each, axis=0)
+    before = np.vstack([np.zeros(k), sums])[starts]
+    below = sums - before[s]
+    border = np.append((s[1:] == s[:-1]) & (v[1:] > v[:-1]), False)
+    at = np.flatnonzero(border)
+    score, cut = np.full(n, -np.inf), np.zeros(n)
+    if len(at):
+        here = np.round(purity(below[at]) + purity(totals[s[at]] - below[at]), 9)
+        pick = np.lexsort((np.arange(len(at)), -here, s[at]))
+        first = pick[np.flatnonzero(np.append(True, s[at][pick][1:] != s[at][pick][:-1]))]
+        middle = (v[at[first]] + v[at[first] + 1]) / 2
+        node = s[at[first]]
+        score[node], cut[node] = here[first], np.where(middle < v[at[first] + 1], middle, v[at[first]])
+    return score, cut
 
 
-NODE_CACHE = 100_000_000  # rows x trees
-AGGREGATION_MB = 1024  # per task: more nodes are split in one pass over the data
+# ---------------------------------------------------------------- first phase: sums over the table
 
 
-def _forest(trees: int, depth: int, seed: int, features: str, label: str) -> RandomForestClassifier:
-    return RandomForestClassifier(
-        numTrees=trees, maxDepth=depth, seed=seed, featuresCol=features, labelCol=label, featureSubsetStrategy="sqrt",
-        maxMemoryInMB=AGGREGATION_MB,
-    )
+def _per_node(rows: DataFrame, tops: dict[int, dict[str, np.ndarray]], spec: dict, add, finish, schema: str) -> DataFrame:
+    """Fold the rows of every open node (feature DEALT, gain 1) of every tree in each task: rows of ``schema``."""
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[tuple[int, int], object] = {}
+        for batch in batches:
+            x, y, h, fold = matrix(batch["x"]), batch["y"].to_numpy(), batch["h"].to_numpy().view(np.uint64), batch["fold"].to_numpy()
+            for tree, top in tops.items():
+                w = row_weights(h, fold, tree, spec)
+                at = leaves(top, x)
+                use = np.flatnonzero((w > 0) & (top["gain"][at] > 0))
+                use = use[np.argsort(at[use], kind="stable")]
+                for part in np.split(use, np.flatnonzero(np.diff(at[use])) + 1) if len(use) else []:
+                    key = (tree, int(at[part[0]]))
+                    held[key] = add(held.get(key), key, x[part], y[part], w[part])
+        if held:
+            yield pd.DataFrame([(*key, *finish(value)) for key, value in held.items()], columns=[c.split()[0] for c in schema.split(", ")])
 
-class ForestOnClassNumber(OnClassNumber):
-    """A forest that remembers the node of every row in every tree while that is small.
+    return rows.mapInPandas(run, schema)
 
-    It saves walking deep trees on each pass, but takes rows x trees numbers, so the rows are counted.
-    """
 
-    def _fit(self, dataset: DataFrame) -> Model:
-        forest = self.estimator.getStages()[-1] if isinstance(self.estimator, Pipeline) else self.estimator
-        forest.setCacheNodeIds(dataset.count() * forest.getNumTrees() <= NODE_CACHE)
-        return super()._fit(dataset)
+def _open_view(trees: dict[int, Tree], open_nodes: dict[int, list[int]]) -> dict[int, dict[str, np.ndarray]]:
+    views = {}
+    for t, nodes in open_nodes.items():
+        if nodes:
+            views[t] = trees[t].arrays()
+            views[t]["gain"] = np.zeros(len(trees[t].ids))
+            views[t]["gain"][nodes] = 1.0
+    return views
 
 
-def random_forest(trees: int = 150, depth: int = 30, seed: int = 15, features: str = "features", label: str = "label") -> OnClassNumber:
-    """Random forest; 30 is the greatest depth Spark grows and stands in for 'no limit'."""
-    return ForestOnClassNumber(_forest(trees, depth, seed, features, label), label)
+def _grow_tops(rows: DataFrame, numbers: list[int], spec: dict, small: int) -> dict[int, Tree]:
+    """First phase of some trees: nodes of more than ``small`` rows are split; smaller ones are marked as dealt."""
+    d, k, m = spec["d"], spec["classes"], spec["m"]
+    steps = 2 if spec["extra"] else STEPS
+    trees = {t: Tree(root_of(spec["seed"], t), k) for t in numbers}
+    open_nodes = {t: [0] for t in numbers}
+    while any(open_nodes.values()):
 
+        def add_range(old, key, x, y, w):
+            now = (np.bincount(y, weights=w, minlength=k), x.min(axis=0), x.max(axis=0), len(x))
+            return now if old is None else (old[0] + now[0], np.minimum(old[1], now[1]), np.maximum(old[2], now[2]), old[3] + now[3])
 
-class RandomCuts(Estimator, HasFeaturesCol, HasOutputCol, HasSeed, DefaultParamsReadable, DefaultParamsWritable):
-    """Replace each feature by the number of random cut points below it.
+        ranges = _per_node(rows, _open_view(trees, open_nodes), spec, add_range, lambda v: v, "tree int, node int, counts array<double>, low array<double>, high array<double>, n long")
+        vectors = [array_to_vector(c).alias(c) for c in ("counts", "low", "high")]
+        found = ranges.select("tree", "node", *vectors, "n").groupBy("tree", "node").agg(
+            Summarizer.sum(F.col("counts")).alias("counts"), Summarizer.min(F.col("low")).alias("low"), Summarizer.max(F.col("high")).alias("high"), F.sum("n").alias("n")
+        ).collect()
+        tried: dict[tuple[int, int], tuple] = {}
+        next_open: dict[int, list[int]] = {t: [] for t in numbers}
+        for r in found:
+            tree, counts, low, high = trees[r["tree"]], r["counts"].toArray(), r["low"].toArray()[None], r["high"].toArray()[None]
+            tree.value[r["node"]] = counts
+            features, draws = candidates(np.array([tree.ids[r["node"]]], np.uint64), low, high, m)
+            if (counts > 0).sum() < 2 or (features < 0).all():
+                continue
+            if r["n"] <= small:
+                tree.feature[r["node"]] = DEALT
+                continue
+            f = features[0][features[0] >= 0]
+            lo, hi = low[0, f], high[0, f]
+            cuts = random_cuts(draws[0][features[0] >= 0], lo, hi)[:, None] if spec["extra"] else lo[:, None] + (hi - lo)[:, None] * np.arange(1, steps) / steps
+            tried[r["tree"], r["node"]] = (f, np.minimum(cuts, np.nextafter(hi, lo)[:, None]), counts)
+        if not tried:
+            break
+        shared = {key: (f, cuts) for key, (f, cuts, _) in tried.items()}
 
-    Cut points are uniform over the feature's range, so a forest on the result splits at random
-    thresholds instead of searched ones.
-    """
+        def add_sides(old, key, x, y, w):
+            f, cuts = shared[key]
+            out = np.zeros((len(f), steps, k)) if old is None else old
+            for j in range(len(f)):
+                side = np.searchsorted(cuts[j], x[:, f[j]])  # cuts below the value: 0 is the far left
+                out[j] += np.bincount(side * k + y, weights=w, minlength=steps * k).reshape(steps, k)
+            return out
 
-    cuts = Param(Params._dummy(), "cuts", "cut points per feature", TypeConverters.toInt)
+        sides = _per_node(rows, _open_view(trees, {t: [n for a, n in tried if a == t] for t in numbers}), spec, add_sides, lambda v: (v.ravel(),), "tree int, node int, counts array<double>")
+        summed = sides.select("tree", "node", array_to_vector("counts").alias("counts")).groupBy("tree", "node").agg(Summarizer.sum(F.col("counts")).alias("counts")).collect()
+        for r in sorted(summed, key=lambda r: (r["tree"], r["node"])):
+            f, cuts, counts = tried[r["tree"], r["node"]]
+            below = np.cumsum(r["counts"].toArray().reshape(len(f), steps, k), axis=1)[:, :-1]
+            score = np.round(purity(below) + purity(counts - below), 9) if not spec["extra"] else purity(below) + purity(counts - below)
+            score[(below.sum(axis=2) <= 0) | ((counts - below).sum(axis=2) <= 0)] = -np.inf
+            j, step = np.unravel_index(int(score.argmax()), score.shape)
+            left = trees[r["tree"]].split(r["node"], int(f[j]), float(cuts[j, step]), float(score[j, step] - purity(counts)))
+            next_open[r["tree"]] += [left, left + 1]
+        open_nodes = next_open
+    return trees
+
+
+# ---------------------------------------------------------------- second phase: subtrees in tasks
+
+SUBTREES = "unit string, tree int, start int, feature binary, cut binary, left binary, value binary, gain binary"
+TYPES = {"feature": np.int32, "cut": np.float64, "left": np.int32, "value": np.float64, "gain": np.float64}
+
+
+def read_tree(record, n_classes: int) -> dict[str, np.ndarray]:
+    out = {name: np.frombuffer(record[name], kind) for name, kind in TYPES.items()}
+    return out | {"value": out["value"].reshape(-1, n_classes)}
+
+
+def _subtrees(rows: DataFrame, tops: dict[int, Tree], n_trees: int, spec: dict) -> DataFrame:
+    """One row per finished subtree.  Trees whose root is dealt come in bundles of one copy of the rows."""
+    whole = [t for t, tree in tops.items() if tree.feature[0] == DEALT]
+    deep = {t: tree.arrays() for t, tree in tops.items() if tree.feature[0] >= 0}
+    fields = "unit string, tree int, start int, h long, x array<double>, y int, fold int"
+    bundles = min(BUNDLES, len(whole))
+
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            for b in range(bundles):
+                yield batch.assign(unit=f"b{b}", tree=-1, start=0)[["unit", "tree", "start", "h", "x", "y", "fold"]]
+            x, h, fold = matrix(batch["x"]), batch["h"].to_numpy().view(np.uint64), batch["fold"].to_numpy()
+            for t, top in deep.items():
+                at = leaves(top, x)
+                use = (row_weights(h, fold, t, spec) > 0) & (top["feature"][at] == DEALT)
+                if use.any():
+                    out = batch[use].assign(tree=t, start=at[use], unit=[f"{t}/{a}" for a in at[use]])
+                    yield out[["unit", "tree", "start", "h", "x", "y", "fold"]]
+
+    ids = {t: np.array(tree.ids, np.uint64) for t, tree in tops.items()}
+
+    def finish(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("h", kind="stable")  # sums in one order whatever the shuffle did
+        x, y, h, fold = matrix(group["x"]), group["y"].to_numpy(), group["h"].to_numpy().view(np.uint64), group["fold"].to_numpy()
+        unit, tree, start = group["unit"].iloc[0], int(group["tree"].iloc[0]), int(group["start"].iloc[0])
+        jobs = [(t, 0) for i, t in enumerate(whole) if i % bundles == int(unit[1:])] if tree < 0 else [(tree, start)]
+        out = []
+        for t, at in jobs:
+            made = grow(ids[t][at], x, y, row_weights(h, fold, t, spec), spec)
+            out.append((unit, t, at, *[made[name].astype(kind).tobytes() for name, kind in TYPES.items()]))
+        return pd.DataFrame(out, columns=[c.split()[0] for c in SUBTREES.split(", ")])
+
+    return rows.mapInPandas(deal, fields).groupBy("unit").applyInPandas(finish, SUBTREES)
+
+
+class _Forest(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasSeed):
+    trees = Param(Params._dummy(), "trees", "number of trees", TypeConverters.toInt)
+    extra = Param(Params._dummy(), "extra", "all rows and one random cut per feature", TypeConverters.toBoolean)
+    key = Param(Params._dummy(), "key", "columns that tell rows apart; the features by default", TypeConverters.toListString)
+    foldCol = Param(Params._dummy(), "foldCol", "grow one forest per fold, on the rows of all others", TypeConverters.toString)
+    small = Param(Params._dummy(), "small", "rows of a node that one task finishes", TypeConverters.toInt)
+
+
+class Forest(Estimator, _Forest):
+    """Trees to the last pure or constant node; each tries the root of the number of features at a node."""
 
     @keyword_only
-    def __init__(self, *, featuresCol="features", outputCol="cut_features", cuts=31, seed=10):
+    def __init__(self, *, featuresCol="features", labelCol="label", predictionCol="prediction", trees=150, extra=False, seed=15, key=(), foldCol="", small=SMALL):
         super().__init__()
-        self._setDefault(outputCol="cut_features", cuts=31, seed=10)
-        self._set(**self._input_kwargs)
-
-    def _fit(self, dataset: DataFrame) -> Model:
-        x = feature_array(dataset, self.getFeaturesCol())
-        d = width(dataset, self.getFeaturesCol())
-        bounds = dataset.select(x.alias("x")).agg(
-            F.array(*[F.min(F.get("x", F.lit(i))) for i in range(d)]).alias("low"),
-            F.array(*[F.max(F.get("x", F.lit(i))) for i in range(d)]).alias("high"),
-        ).first()
-        low, high = np.array(bounds["low"]), np.array(bounds["high"])
-        draws = np.sort(np.random.default_rng(self.getSeed()).uniform(size=(d, self.getOrDefault("cuts"))), axis=1)
-        points = low[:, None] + draws * (high - low)[:, None]
-        return RandomCutsModel()._set(
-            featuresCol=self.getFeaturesCol(), outputCol=self.getOutputCol(), points=points.tolist()
-        )
-
-
-class RandomCutsModel(Model, HasFeaturesCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
-    points = Param(Params._dummy(), "points", "sorted cut points per feature", TypeConverters.toList)
+        self._setDefault(trees=150, extra=False, seed=15, key=[], foldCol="", small=SMALL)
+        self._set(**{name: list(v) if isinstance(v, tuple) else v for name, v in self._input_kwargs.items()})
+
+    def _fit(self, dataset: DataFrame) -> ForestModel:
+        get = self.getOrDefault
+        labels = class_labels(dataset, self.getLabelCol())
+        fold = get("foldCol")
+        features = feature_array(dataset, self.getFeaturesCol())
+        number = F.array_position(F.lit(labels), F.col(self.getLabelCol()).cast("double")) - 1
+        own = F.col(fold).cast("int") if fold else F.lit(-1)
+        rows = durable(dataset.select(F.xxhash64(*(get("key") or [features])).alias("h"), features.alias("x"), number.cast("int").alias("y"), own.alias("fold")))
+        n, folds = rows.agg(F.count("*"), F.max("fold") + 1).first()
+        d = width(rows, "x")
+        spec = {"seed": get("seed"), "trees": get("trees"), "folds": folds if fold else 0, "extra": get("extra"), "d": d, "m": max(1, math.isqrt(d)), "classes": len(labels)}
+        total = get("trees") * (folds if fold else 1)
+        small = max(get("small"), 4 * n * total // MOST_NODES)
+        at_once = max(1, min(total, MOST_OPEN * small // max(1, 2 * n)))
+        tops: dict[int, Tree] = {}
+        parts = []
+        if n <= small:  # no node is large: nothing to sum
+            tops = {t: Tree(root_of(spec["seed"], t), len(labels)) for t in range(total)}
+            for tree in tops.values():
+                tree.feature[0] = DEALT
+            parts.append(durable(_subtrees(rows, tops, total, spec)))
+        else:
+            for start in range(0, total, at_once):
+                made = _grow_tops(rows, list(range(start, min(total, start + at_once))), spec, small)
+                tops |= made
+                parts.append(durable(_subtrees(rows, made, total, spec).withColumn("unit", F.concat(F.lit(f"{start}:"), "unit"))))
+        nodes = parts[0]
+        for part in parts[1:]:
+            nodes = nodes.unionByName(part)
+        return ForestModel(nodes, tops, labels, spec)._set(**{p: get(p) for p in ("featuresCol", "predictionCol", "foldCol", "small")})
+
+
+class ForestModel(Model, _Forest):
+    """The finished forest: subtrees as a table, nodes of the first phase here."""
+
+    def __init__(self, nodes: DataFrame, tops: dict[int, Tree], labels: list[float], spec: dict):
+        super().__init__()
+        self.nodes, self.tops, self.labels, self.spec = nodes, tops, labels, spec
+        self.units = {(r["tree"], r["start"]): r["unit"] for r in nodes.select("tree", "start", "unit").collect()}  # as many as dealt nodes
+
+    def votes(self, rows: DataFrame) -> DataFrame:
+        """(id, votes): the sum over trees of the class shares in the leaf of each row (id, x, fold).
+
+        Rows meet subtrees by unit; a unit that more rows reach than one task should hold is cut into blocks of rows.
+        """
+        spec, k, block = self.spec, len(self.labels), self.getOrDefault("small")
+        units, small_roots = self.units, sorted({u for (t, _), u in self.units.items() if self.tops[t].feature[0] == DEALT})
+        deep = {t: tree.arrays() for t, tree in self.tops.items() if tree.feature[0] != DEALT}
+        fields = "unit string, tree int, start int, id long, x array<double>, fold int, vote array<double>"
+        names = [c.split()[0] for c in fields.split(", ")]
+
+        def share(value: np.ndarray) -> np.ndarray:
+            return value / np.maximum(value.sum(axis=-1, keepdims=True), 1e-300)
+
+        def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                if not len(batch):
+                    continue
+                for unit in small_roots:
+                    yield batch.assign(unit=unit, tree=-1, start=0, vote=None)[names]
+                x, fold = matrix(batch["x"]), batch["fold"].to_numpy()
+                for t, top in deep.items():
+                    mine = np.flatnonzero(fold == t // spec["trees"]) if spec["folds"] else np.arange(len(batch))
+                    at = leaves(top, x[mine])
+                    done = top["feature"][at] == LEAF
+                    if done.any():
+                        ended = batch.iloc[mine[done]]
+                        yield ended.assign(unit=None, tree=t, start=0, x=None, vote=list(share(top["value"][at[done]])))[names]
+                    if not done.all():
+                        moving = batch.iloc[mine[~done]]
+                        yield moving.assign(unit=[units[t, a] for a in at[~done]], tree=t, start=at[~done], vote=None)[names]
+
+        went = rows.mapInPandas(visit, fields)
+        went = durable(went) if deep else went
+        cuts = went.where("unit is not null").groupBy("unit").agg((F.floor((F.count("*") - 1) / block) + 1).cast("int").alias("blocks"))
+        if not deep:  # all rows visit every unit
+            blocks = max(1, -(-rows.count() // block))
+            cuts = self.nodes.select("unit").distinct().withColumn("blocks", F.lit(blocks))
+        left = join_lookup(went.where("unit is not null").drop("vote"), cuts, ["unit"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("blocks")))
+        right = join_lookup(self.nodes, cuts, ["unit"]).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)))
+
+        def finish(came: pd.DataFrame, trees: pd.DataFrame) -> pd.DataFrame:
+            if not len(came) or not len(trees):
+                return pd.DataFrame({"id": np.empty(0, np.int64), "vote": np.empty(0, object)})
+            x, fold, total = matrix(came["x"]), came["fold"].to_numpy(), np.zeros((len(came), k))
+            for record in trees.sort_values(["tree", "start"]).to_dict("records"):
+                tree = read_tree(record, k)
+                mine = np.ones(len(came), bool) if not spec["folds"] else fold == record["tree"] // spec["trees"]
+                mine &= (came["tree"].to_numpy() < 0) | ((came["tree"].to_numpy() == record["tree"]) & (came["start"].to_numpy() == record["start"]))
+                total[mine] += share(tree["value"][leaves(tree, x[mine])])
+            return pd.DataFrame({"id": came["id"], "vote": list(total)})
+
+        both = left.groupBy("unit", "part").cogroup(right.groupBy("unit", "part")).applyInPandas(finish, "id long, vote array<double>")
+        if deep:
+            both = both.unionByName(went.where("unit is null").select("id", "vote"))
+        summed = both.select("id", array_to_vector("vote").alias("vote")).groupBy("id").agg(Summarizer.sum(F.col("vote")).alias("vote"))
+        return summed.select("id", vector_to_array("vote").alias("votes"))
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        x = feature_array(dataset, self.getFeaturesCol())
-        limits = F.lit([[float(v) for v in row] for row in self.getOrDefault("points")])
-        below = F.zip_with(x, limits, lambda v, row: F.size(F.filter(row, lambda e: e < v)).cast("double"))
-        return dataset.withColumn(self.getOutputCol(), array_to_vector(below))
+        """Add the class with the largest share of votes, the lowest of equals; rows keep their other columns."""
+        fold = self.getOrDefault("foldCol")
+        numbered = durable(dataset.withColumn("__id", F.monotonically_increasing_id()))
+        rows = numbered.select(F.col("__id").alias("id"), feature_array(dataset, self.getFeaturesCol()).alias("x"), (F.col(fold).cast("int") if fold else F.lit(-1)).alias("fold"))
+        votes = self.votes(rows).withColumn("votes", F.transform("votes", lambda v: F.round(v, 9)))
+        best = F.get(F.lit(self.labels), (F.array_position("votes", F.array_max("votes")) - 1).cast("int"))
+        out = self.getPredictionCol()
+        return numbered.join(votes.select(F.col("id").alias("__id"), best.alias(out)), "__id", "left").select(*[c for c in dataset.columns if c != out], out)
+
+    def importances(self, names: list[str]) -> DataFrame:
+        """Impurity that each feature removes, as a share per tree, averaged over trees."""
+        d, k = self.spec["d"], len(self.labels)
+
+        def sums(trees: Iterator[tuple[int, dict]]) -> pd.DataFrame:
+            out: dict[int, np.ndarray] = {}
+            for t, tree in trees:
+                split = tree["feature"] >= 0
+                out.setdefault(t, np.zeros(d))
+                out[t] += np.bincount(tree["feature"][split], weights=tree["gain"][split], minlength=d)
+            return pd.DataFrame({"tree": list(out), "gain": list(out.values())})
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                yield sums((r["tree"], read_tree(r, k)) for r in batch.to_dict("records"))
+
+        schema = "tree int, gain array<double>"
+        tops = self.nodes.sparkSession.createDataFrame(sums((t, tree.arrays()) for t, tree in self.tops.items()), schema)
+        gains = self.nodes.mapInPandas(run, schema).unionByName(tops).select("tree", array_to_vector("gain").alias("gain"))
+        whole = gains.groupBy("tree").agg(Summarizer.sum(F.col("gain")).alias("gain")).select(vector_to_array("gain").alias("gain"))
+        total = F.aggregate("gain", F.lit(0.0), lambda a, b: a + b)
+        shares = whole.withColumn("total", total).where("total > 0").select(F.posexplode("gain").alias("at", "gain"), "total")
+        mean = shares.groupBy("at").agg(F.avg(F.col("gain") / F.col("total")).alias("importance"))
+        return mean.select(F.get(F.lit(list(names)), F.col("at")).alias("feature"), "importance")
+
+
+def random_forest(trees: int = 150, seed: int = 15, features: str = "features", label: str = "label", key: tuple[str, ...] = ()) -> Forest:
+    return Forest(trees=trees, seed=seed, featuresCol=features, labelCol=label, key=key)
 
 
-def extra_trees(trees: int = 100, depth: int = 30, seed: int = 10, features: str = "features", label: str = "label") -> OnClassNumber:
-    """Trees on all rows with random thresholds: random cut points, then a forest without bootstrap."""
-    forest = _forest(trees, depth, seed, "cut_features", label).setBootstrap(False)
-    cuts = RandomCuts(featuresCol=features, outputCol="cut_features", seed=seed)
-    return ForestOnClassNumber(Pipeline(stages=[cuts, forest]), label)
+def extra_trees(trees: int = 100, seed: int = 10, features: str = "features", label: str = "label", key: tuple[str, ...] = ()) -> Forest:
+    """Trees on all rows that draw one cut per node and feature inside the node's own range."""
+    return Forest(trees=trees, seed=seed, featuresCol=features, labelCol=label, extra=True, key=key)
 
 
-def importances(spark: SparkSession, model: Model, names: list[str]) -> DataFrame:
+def importances(spark: SparkSession, model: ForestModel, names: list[str]) -> DataFrame:
     """Impurity importance by feature (one row per feature, from the fitted model)."""
-    forest = model.inner if isinstance(model, OnClassNumberModel) else model
-    forest = forest.stages[-1] if isinstance(forest, PipelineModel) else forest
-    values = forest.featureImportances.toArray()
-    return spark.createDataFrame([(n, float(v)) for n, v in zip(names, values)], "feature string, importance double")
+    return model.importances(names)

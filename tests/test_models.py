@@ -5,12 +5,12 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from tallyframe.ml import metrics, prep
+from tallyframe.ml import metrics, prep, trees
 from tallyframe.ml.discriminant import DiscriminantAnalysis, gaussian_bayes
 from tallyframe.ml.kernel import KernelRegression
 from tallyframe.ml.linear import LinearScoreModel, LinearSvc, RidgeClassifier, least_squares
 from tallyframe.ml.select import cross_validate, leaderboard
-from tallyframe.ml.trees import extra_trees, importances, random_forest
+from tallyframe.ml.trees import importances
 from tallyframe.plans import forecast
 
 
@@ -88,12 +88,101 @@ def test_naive_bayes_with_any_labels(blobs):
     model = gaussian_bayes().fit(vectors)
     assert set(predicted(model, vectors)) <= {1.0, 2.0, 5.0}
     assert accuracy(model, vectors, y) > 0.7
-    forest = random_forest(trees=10, depth=8).fit(vectors)
-    assert accuracy(forest, vectors, y) > 0.8
-    values = importances(df.sparkSession, forest, list("abcd")).toPandas()
+    values = importances(df.sparkSession, trees.random_forest(trees=10).fit(vectors), list("abcd")).toPandas()
     assert values["importance"].sum() == pytest.approx(1) and values.set_index("feature")["importance"].idxmin() == "d"
-    extra = extra_trees(trees=10, depth=8).fit(vectors)
-    assert accuracy(extra, vectors, y) > 0.8
+
+
+def node_table(model):
+    """(tree, node id, feature, cut) of every split, from both phases."""
+    k, found = len(model.labels), set()
+    parts = [(t, root.ids[0], root.arrays()) for t, root in model.tops.items()]
+    parts += [(r["tree"], model.tops[r["tree"]].ids[r["start"]], trees.read_tree(r, k)) for r in model.nodes.collect()]
+    for t, top, tree in parts:
+        ids = {0: np.uint64(top)}
+        for at in range(len(tree["feature"])):
+            if tree["feature"][at] >= 0:
+                left = int(tree["left"][at])
+                ids[left], ids[left + 1] = (side[0] for side in trees.children_of(np.array([ids[at]], np.uint64)))
+                found.add((t, int(ids[at]), int(tree["feature"][at]), float(tree["cut"][at])))
+    return found
+
+
+def by_hand(x, y, w, node, m, extra, out, tree):
+    """One node after the other, one feature and cut after the other."""
+    x, y, w = x[w > 0], y[w > 0], w[w > 0]
+
+    def weight(mask):
+        sums = [w[mask & (y == c)].sum() for c in range(3)]
+        return sum(v * v for v in sums) / max(sum(sums), 1e-300)
+
+    order = np.argsort(trees.feature_draws(np.array([node]), x.shape[1])[0])
+    tried = [f for f in order if x[:, f].min() < x[:, f].max()][:m]
+    best = None
+    for f in tried if len(set(y)) > 1 else []:
+        values = np.unique(x[:, f])
+        cuts = (values[:-1] + values[1:]) / 2
+        if extra:
+            draw = trees.feature_draws(np.array([node]), x.shape[1])[:, f]
+            cuts = [float(trees.random_cuts(draw, values[0], values[-1])[0])]
+        for cut in cuts:
+            score = round(weight(x[:, f] <= cut) + weight(x[:, f] > cut), 9)
+            if best is None or score > best[0]:
+                best = score, f, cut
+    if best:
+        _, f, cut = best
+        out.add((tree, int(node), int(f), float(cut)))
+        left, right = (side[0] for side in trees.children_of(np.array([node], np.uint64)))
+        for side, mask in ((left, x[:, f] <= cut), (right, x[:, f] > cut)):
+            by_hand(x[mask], y[mask], w[mask], side, m, extra, out, tree)
+
+
+@pytest.mark.parametrize("extra", [False, True])
+def test_trees_match_trees_by_hand(blobs, extra):
+    df, x, labels = blobs
+    model = trees.Forest(trees=4, extra=extra, seed=3, key=["id"]).fit(df)
+    hashes = np.array([r[0] for r in df.orderBy("id").select(F.xxhash64("id")).collect()]).view(np.uint64)
+    wanted, y = set(), np.searchsorted(np.unique(labels), labels)
+    for t in range(4):
+        w = trees.row_weights(hashes, np.full(len(x), -1), t, model.spec)
+        by_hand(x, y, w, trees.root_of(3, t), model.spec["m"], extra, wanted, t)
+    assert node_table(model) == wanted and len(wanted) > 40
+
+
+def test_first_phase_grows_the_same_random_trees(blobs):
+    df, x, labels = blobs
+    whole, parts = (trees.Forest(trees=3, extra=True, seed=3, key=["id"], small=small).fit(df) for small in (1000, 20))
+    assert any(tree.feature[0] >= 0 for tree in parts.tops.values()) and node_table(whole) == node_table(parts)
+    assert predicted(whole, df).tolist() == predicted(parts, df).tolist()
+    assert accuracy(parts, df, labels) == 1.0  # all rows, no limit of depth
+    shares = {r["feature"]: r["importance"] for r in importances(df.sparkSession, parts, list("abcd")).collect()}
+    other = {r["feature"]: r["importance"] for r in importances(df.sparkSession, whole, list("abcd")).collect()}
+    assert sum(shares.values()) == pytest.approx(1) and shares == pytest.approx(other)
+
+
+def test_forest_learns_with_small_and_large_nodes(blobs):
+    df, x, labels = blobs
+    for small in (50_000, 60):
+        forest = trees.Forest(trees=15, seed=1, key=["id"], small=small).fit(df)
+        assert accuracy(forest, df, labels) > 0.97
+        again = trees.Forest(trees=15, seed=1, key=["id"], small=small).fit(df.repartition(3))
+        assert predicted(forest, df).tolist() == predicted(again, df.repartition(2)).tolist()
+
+
+def test_forests_of_folds_are_forests_without_the_fold(blobs):
+    df, x, labels = blobs
+    folded = df.withColumn("fold", F.col("id") % 3)
+    joint = trees.Forest(trees=5, extra=True, seed=2, key=["id"], foldCol="fold").fit(folded)
+    got = {r["id"]: r["prediction"] for r in joint.transform(folded).collect()}
+    hashes = np.array([r[0] for r in df.orderBy("id").select(F.xxhash64("id")).collect()]).view(np.uint64)
+    y, fold = np.searchsorted(np.unique(labels), labels), np.arange(len(x)) % 3
+    for f in range(3):
+        total = np.zeros((len(x), 3))
+        for t in range(5 * f, 5 * f + 5):
+            tree = trees.grow(trees.root_of(2, t), x, y, trees.row_weights(hashes, fold, t, joint.spec), joint.spec)
+            value = tree["value"][trees.leaves(tree, x)]
+            total += value / value.sum(axis=1, keepdims=True)
+        wanted = np.unique(labels)[np.round(total, 9).argmax(axis=1)]
+        assert all(got[i] == wanted[i] for i in range(len(x)) if fold[i] == f)
 
 
 def test_kernel_regression_beats_the_mean(spark):

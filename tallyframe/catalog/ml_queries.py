@@ -12,6 +12,7 @@ from ..ml.kernel import KernelRegression
 from ..ml.linear import LinearSvc, RidgeClassifier
 from ..ml.neighbors import knn_regress
 from ..ml.score import forecast_top
+from ..ml.select import cross_validate, leaderboard
 from ..ml.trees import extra_trees, importances, random_forest
 from ..operators.distribution import histogram_density
 from ..operators.order import cumulative_share
@@ -272,6 +273,51 @@ def prediction_density(spark, folder):
     return rounded(histogram_density(_lda(spark, folder)[1], "prediction", 10).select("bin", "density"), 9, "density")
 
 
+_SIGNAL = "CAST(CASE WHEN embedding[{0}]::DOUBLE + embedding[{1}]::DOUBLE / 2 > 0.05 THEN 2 WHEN embedding[{0}]::DOUBLE > embedding[{1}]::DOUBLE THEN 1 ELSE 0 END AS INT)"
+
+
+def _signal(spark, folder):
+    """Vectors with a label that depends on the first two components."""
+    a, b = (F.get("embedding", F.lit(i)).cast("double") for i in range(2))
+    label = F.when(a + b / 2 > 0.05, 2).when(a > b, 1).otherwise(0).cast("double")
+    return table(spark, folder, "embeddings").select("vec_id", label.alias("label"), F.col("embedding").cast("array<double>").alias("features"))
+
+
+_CV = f"""f AS (SELECT vec_id, label, a, b, CAST((row_number() OVER (PARTITION BY label ORDER BY md5(CAST(vec_id AS VARCHAR)), vec_id) - 1) % 15 AS INT) AS fold
+  FROM (SELECT vec_id, {_SIGNAL.format(1, 2)} AS label, embedding[1]::DOUBLE AS a, embedding[2]::DOUBLE AS b FROM embeddings)),
+t AS (SELECT g, f.* FROM f, range(15) r(g) WHERE fold <> g),
+s AS (SELECT g, count(*) AS n, 1e-9 * greatest(var_pop(a), var_pop(b)) AS eps FROM t GROUP BY g),
+c AS (SELECT g, label AS k, count(*) AS nk, avg(a) AS ma, avg(b) AS mb, var_pop(a) AS va, var_pop(b) AS vb, covar_pop(a, b) AS ab FROM t GROUP BY g, label),
+w AS (SELECT g, sum(nk * va) / (sum(nk) - count(*)) AS aa, sum(nk * vb) / (sum(nk) - count(*)) AS bb, sum(nk * ab) / (sum(nk) - count(*)) AS ab FROM c GROUP BY g),
+u AS (SELECT g, k, nk, ma, mb, (bb * ma - w.ab * mb) / (aa * bb - w.ab * w.ab) AS wa, (aa * mb - w.ab * ma) / (aa * bb - w.ab * w.ab) AS wb FROM c JOIN w USING (g)),
+lda AS (SELECT 'LDA' AS model, fold, label, arg_max(k, a * wa + b * wb - 0.5 * (ma * wa + mb * wb) + ln(nk)) AS p FROM f JOIN u ON g = fold GROUP BY vec_id, fold, label),
+gnb AS (SELECT 'GNB' AS model, fold, label, arg_max(k, ln(nk / n) - 0.5 * ln(2 * pi() * (va + eps)) - 0.5 * ln(2 * pi() * (vb + eps)) - (a - ma) ** 2 / (2 * (va + eps)) - (b - mb) ** 2 / (2 * (vb + eps))) AS p
+  FROM f JOIN c ON c.g = fold JOIN s ON s.g = fold GROUP BY vec_id, fold, label),
+scored AS (SELECT * FROM lda UNION ALL SELECT * FROM gnb)"""
+
+
+def _two_feature_scores(spark, folder, metric):
+    rows = _signal(spark, folder).withColumn("features", F.slice("features", 1, 2))
+    return cross_validate(rows, {"LDA": DiscriminantAnalysis(), "GNB": gaussian_bayes()}, "label", "vec_id", 15, metric)
+
+
+@query("cv_scores_micro", f"WITH {_CV} SELECT model, fold, round_even(avg(CAST(label = p AS INT)), 9) AS score FROM scored GROUP BY model, fold")
+def cv_scores_micro(spark, folder):
+    return rounded(_two_feature_scores(spark, folder, "f1_micro"), 9, "score")
+
+
+@query(
+    "cv_leaderboard_pair",
+    f"""WITH {_CV}, l AS (SELECT model, fold, label AS c FROM scored UNION SELECT model, fold, p FROM scored),
+h AS (SELECT l.model, l.fold, c, 2.0 * count(*) FILTER (label = c AND p = c) / (count(*) FILTER (label = c) + count(*) FILTER (p = c)) AS f1
+  FROM l JOIN scored ON l.model = scored.model AND l.fold = scored.fold GROUP BY ALL),
+m AS (SELECT model, fold, avg(f1) AS score FROM h GROUP BY ALL)
+SELECT model, round_even(avg(score), 9) AS mean, round_even(stddev_pop(score), 9) AS std FROM m GROUP BY model""",
+)
+def cv_leaderboard_pair(spark, folder):
+    return rounded(leaderboard(_two_feature_scores(spark, folder, "f1_macro")), 9, "mean", "std")
+
+
 @query("lda_wide")
 def lda_wide(spark, folder):
     return _held_out(DiscriminantAnalysis(), spark, folder)
@@ -397,8 +443,13 @@ def rating_classifier(spark, folder):
 @query("cv_leaderboard")
 def cv_leaderboard(spark, folder):
     train, _ = _rating_parts(spark, folder)
-    models = {"LSVC": LinearSvc(), "GNB": gaussian_bayes(), "LDA": DiscriminantAnalysis(), "RIDGE": RidgeClassifier()}
-    return rating.compare_models(train, models, "SED Code", k=3)
+    return rating.compare_models(train, rating.classifiers(trees=150, seed=15), "SED Code", k=15)
+
+
+@query("cv_leaderboard_macro")
+def cv_leaderboard_macro(spark, folder):
+    train, _ = _rating_parts(spark, folder)
+    return rating.compare_models(train, rating.classifiers(trees=100, seed=10, extra=True), "SED Code", k=10, metric="f1_macro")
 
 
 @query("rf_importance")

@@ -14,6 +14,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .folds import support_vectors
 from .moments import class_means, feature_array, matrix, one_hot, summed_matrices
 
 
@@ -110,9 +111,7 @@ class RidgeClassifier(Estimator, LinearScores, DefaultParamsReadable, DefaultPar
 class LinearSvc(Estimator, LinearScores, DefaultParamsReadable, DefaultParamsWritable):
     """Linear support vector classifier, one against the rest, squared hinge loss.
 
-    Minimises |w|^2 / 2 + C * sum of max(0, 1 - y w.x)^2 with the offset as one more weight.  The loss is
-    piecewise quadratic, so Newton steps on the rows inside the margin (Keerthi & DeCoste 2005) need few
-    passes, and one pass serves all classes.  A class whose objective grew goes half the way back.
+    Minimises |w|^2 / 2 + C * sum of max(0, 1 - y w.x)^2 with the offset as one more weight.
     """
 
     C = Param(Params._dummy(), "C", "weight of the loss", TypeConverters.toFloat)
@@ -125,34 +124,9 @@ class LinearSvc(Estimator, LinearScores, DefaultParamsReadable, DefaultParamsWri
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> LinearScoreModel:
-        c = self.getOrDefault(self.C)
         rows = dataset.select(
             feature_array(dataset, self.getFeaturesCol()).alias("x"), F.col(self.getLabelCol()).cast("double").alias("y")
         )
         labels, counts, means = class_means(rows, "x", "y")
-        k, d = len(labels), means.shape[1] + 1
-        index = {v: i for i, v in enumerate(labels)}
-
-        def at(w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            """Objective, gradient and Hessian per class."""
-            def partial(batch: pd.DataFrame) -> dict[str, np.ndarray]:
-                x, y = matrix(batch["x"]), 2 * one_hot(batch["y"], index) - 1
-                x = np.hstack([x, np.ones((len(x), 1))])
-                slack = np.maximum(0.0, 1 - y * (x @ w.T))
-                squares = [(x * (slack[:, [i]] > 0)).T @ x for i in range(k)]
-                return {"f": (slack**2).sum(axis=0), "g": (slack * y).T @ x, "h": np.vstack(squares)}
-
-            sums = summed_matrices(rows, partial, {"f": (k,), "g": (k, d), "h": (k * d, d)})
-            value = 0.5 * (w**2).sum(axis=1) + c * sums["f"]
-            return value, w - 2 * c * sums["g"], np.eye(d) + 2 * c * sums["h"].reshape(k, d, d)
-
-        w, best, best_value, steep = np.zeros((k, d)), np.zeros((k, d)), np.full(k, np.inf), np.full(k, np.inf)
-        for _ in range(self.getOrDefault(self.iterations)):
-            value, gradient, hessian = at(w)
-            good = value <= best_value * (1 + 1e-12)
-            best[good], best_value[good], steep[good] = w[good], value[good], np.abs(gradient[good]).max(axis=1)
-            if steep.max() <= 1e-8 * max(1.0, 2 * c * counts.sum()):
-                break
-            move = np.linalg.solve(hessian, gradient[:, :, None])[:, :, 0]
-            w = np.where(good[:, None], w - move, 0.5 * (w + best))
-        return score_model(self, labels, best[:, :-1], best[:, -1])
+        w = support_vectors(rows, labels, means.shape[1], counts.sum(), self.getOrDefault(self.C), self.getOrDefault(self.iterations))[0]
+        return score_model(self, labels, w[:, :-1], w[:, -1])

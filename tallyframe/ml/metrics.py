@@ -57,3 +57,19 @@ def classification_metrics(df: DataFrame, actual: str, predicted: str) -> DataFr
         (F.sum(F.col("recall") * F.col("support")) / F.sum("support")).alias("f1_micro"),
         F.avg("f1").alias("f1_macro"),
     )
+
+
+def group_metrics(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """The same per group, from counts (keys, actual, predicted, n)."""
+    hit = F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0)
+    sides = F.array(
+        F.struct(F.col("actual").alias("label"), F.col("n").alias("support"), hit.alias("hits")),
+        F.struct(F.col("predicted").alias("label"), F.lit(0).cast("long").alias("support"), F.lit(0).cast("long").alias("hits")),
+    )
+    both = cells.select(*keys, "n", F.explode(sides).alias("s")).select(*keys, "n", "s.*")
+    classes = both.groupBy(*keys, "label").agg(F.sum("support").alias("support"), F.sum("hits").alias("hits"), F.sum("n").alias("either"))
+    return classes.groupBy(*keys).agg(
+        F.sum("support").alias("n"),
+        (F.sum("hits") / F.sum("support")).alias("f1_micro"),
+        F.avg(F.col("hits") * 2.0 / F.col("either")).alias("f1_macro"),
+    )

@@ -80,10 +80,10 @@ def final_table(schools: DataFrame, key: str = "SED Code") -> DataFrame:
     return rows.select(col(key), col("School Name"), col(TARGET), *[col(f) for f in FEATURES])
 
 
-def classifiers(trees: int = 150, extra: bool = False) -> dict[str, Estimator]:
+def classifiers(trees: int = 150, seed: int = 15, extra: bool = False) -> dict[str, Estimator]:
     """The models compared: four, or six with ridge and extremely randomised trees."""
     models: dict[str, Estimator] = {
-        "LSVC": LinearSvc(), "GNB": gaussian_bayes(), "LDA": DiscriminantAnalysis(), "RF": random_forest(trees),
+        "LSVC": LinearSvc(), "GNB": gaussian_bayes(), "LDA": DiscriminantAnalysis(), "RF": random_forest(trees, seed),
     }
     if extra:
         models |= {"RIDGE": RidgeClassifier(), "EXT": extra_trees()}

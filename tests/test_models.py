@@ -3,9 +3,10 @@
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from tallyframe.ml import metrics, prep, trees
+from tallyframe.ml import folds, metrics, prep, trees
 from tallyframe.ml.discriminant import DiscriminantAnalysis, gaussian_bayes
 from tallyframe.ml.kernel import KernelRegression
 from tallyframe.ml.linear import LinearScoreModel, LinearSvc, RidgeClassifier, least_squares
@@ -223,6 +224,51 @@ def test_class_scores(spark):
     assert row["n"] == 5 and row["f1_micro"] == pytest.approx(0.4) and row["f1_macro"] == pytest.approx(np.mean(f1))
 
 
+def test_fold_sums_solve_like_refits(blobs):
+    df, x, y = blobs
+    k = 4
+    folded = prep.stratified_folds(df, "label", "id", k).persist()
+    rows = folds.labelled(folded, "features", "label", "fold")
+    sums = folds.fold_sums(rows, k)
+    ridge = folds.ridge(sums, rows, [0.1, 1.0, 10.0, 1000.0])
+    svc = folds.support_vectors(rows, sums.labels, 4, len(x), 1.0, 30, k)
+    for f in range(k):
+        train = folded.where(F.col("fold") != f)
+        for model, (labels, weights, offsets) in (
+            (DiscriminantAnalysis(), folds.discriminant(sums.others(f))), (RidgeClassifier(alphas=[0.1, 1.0, 10.0, 1000.0]), ridge[f]),
+            (LinearSvc(), (sums.labels, svc[f][:, :-1], svc[f][:, -1])),
+        ):
+            fitted = model.fit(train)
+            assert np.allclose(fitted.getOrDefault("weights"), weights, rtol=1e-9, atol=1e-9)
+            assert np.allclose(fitted.getOrDefault("offsets"), offsets, rtol=1e-9, atol=1e-9) and fitted.getOrDefault("classes") == labels.tolist()
+        here = folded.where(F.col("fold") == f).orderBy("id")
+        points = np.array([r["features"] for r in here.collect()])
+        as_vector = [part.withColumn("features", array_to_vector("features")) for part in (train, here)]
+        assert [r["prediction"] for r in gaussian_bayes().fit(as_vector[0]).transform(as_vector[1]).orderBy("id").collect()] == folds.naive_bayes(sums.others(f))(points).tolist()
+        outer = np.array([r["features"] for r in train.collect()])
+        w = np.linalg.lstsq(np.column_stack([outer[:, 1:], np.ones(len(outer))]), outer[:, 0], rcond=None)[0]
+        got = folds.least_squares(sums, 0)[f]
+        assert np.allclose([*got[0], got[1]], w, rtol=1e-9, atol=1e-9)
+
+
+def test_joint_cross_validation_scores_like_refits(blobs):
+    df, _, _ = blobs
+    models = {"LDA": DiscriminantAnalysis(), "RIDGE": RidgeClassifier(), "LSVC": LinearSvc(), "EXT": trees.extra_trees(trees=3)}
+    scores = {(r["model"], r["fold"]): r["score"] for r in cross_validate(df, models, "label", "id", 3, "f1_macro").collect()}
+    folded = prep.stratified_folds(df, "label", "id", 3)
+    assert set(scores) == {(m, f) for m in models for f in range(3)}
+    for f in range(3):
+        for name in ("LDA", "RIDGE", "LSVC"):
+            scored = models[name].fit(folded.where(F.col("fold") != f)).transform(folded.where(F.col("fold") == f))
+            assert scores[name, f] == pytest.approx(metrics.classification_metrics(scored, "label", "prediction").first()["f1_macro"], abs=1e-12)
+
+
+def test_a_class_without_rows_in_training(spark):
+    rows = spark.createDataFrame([(i, [float(i), float(i % 3)], float(i % 2)) for i in range(12)] + [(50, [9.0, 9.0], 7.0)], "id int, features array<double>, label double")
+    scores = cross_validate(rows, {"LDA": DiscriminantAnalysis()}, "label", "id", 3).collect()
+    assert sorted(r["fold"] for r in scores) == [0, 1, 2] and all(0 <= r["score"] <= 1 for r in scores)
+
+
 def test_cross_validation(blobs):
     df, _, y = blobs
     board = leaderboard(cross_validate(df, {"LDA": DiscriminantAnalysis(), "RIDGE": RidgeClassifier()}, "label", "id", k=3)).collect()

@@ -9,7 +9,7 @@ from check import compare, connect
 from tallyframe.catalog import QUERIES
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-SLOW = {"cv_leaderboard", "random_forest", "extra_trees", "rf_importance", "rating_classifier", "regression_comparison", "top10_kernel"}
+SLOW = {"cv_leaderboard", "cv_leaderboard_macro", "random_forest", "extra_trees", "rf_importance", "rating_classifier", "regression_comparison", "top10_kernel"}
 
 
 @pytest.fixture(scope="module")

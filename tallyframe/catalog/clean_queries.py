@@ -114,7 +114,7 @@ def fill_median(spark, folder):
 @query("fill_median_counted", ORACLES["fill_median"])
 def fill_median_counted(spark, folder):
     """The way for tables of over a million rows."""
-    filled = clean.fill_median(part_with_gaps(spark, folder), ["p_size", "p_retailprice"], map_rows=0)
+    filled = clean.fill_median(part_with_gaps(spark, folder), ["p_size", "p_retailprice"], accuracy=100)
     return rounded(filled.select("p_partkey", "p_size", "p_retailprice"), 6, "p_size", "p_retailprice")
 
 
@@ -207,4 +207,4 @@ def qcut5_counts(spark, folder):
 @query("qcut5_codes_counted", ORACLES["qcut5_codes"])
 def qcut5_codes_counted(spark, folder):
     """The way for tables of over a million rows."""
-    return distribution.quantile_bins(table(spark, folder, "orders"), "o_totalprice", 5, map_rows=0).select("o_orderkey", "code")
+    return distribution.quantile_bins(table(spark, folder, "orders"), "o_totalprice", 5, accuracy=100).select("o_orderkey", "code")

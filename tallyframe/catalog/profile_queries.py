@@ -164,7 +164,7 @@ def box_by_group(spark, folder):
 @query("box_by_group_counted", ORACLES["box_by_group"])
 def box_by_group_counted(spark, folder):
     """The way for tables of over a million rows."""
-    box = distribution.box_stats(table(spark, folder, "orders"), "o_totalprice", "o_orderpriority", map_rows=0)
+    box = distribution.box_stats(table(spark, folder, "orders"), "o_totalprice", "o_orderpriority", accuracy=100)
     return rounded(box, 4, "q1", "median", "q3")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from ..functions.numeric import col, quote, round_even
 from ..functions.parse import looks_numeric, number_or_null
 from .frame import numeric_names, unpivot
-from .quantiles import MAP_ROWS, quantiles
+from .quantiles import ACCURACY, quantiles
 
 
 def _from_row(stats: DataFrame) -> Column:
@@ -60,10 +60,10 @@ def fill_mode(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.withColumns(filled)
 
 
-def fill_median(df: DataFrame, names: Sequence[str], map_rows: int = MAP_ROWS) -> DataFrame:
+def fill_median(df: DataFrame, names: Sequence[str], accuracy: int = ACCURACY) -> DataFrame:
     """Replace NULL by the exact interpolated median."""
     doubles = df.select(*[col(c).cast("double").alias(c) for c in names])
-    medians = quantiles(unpivot(doubles, [], names, "column", "value"), ["column"], "value", [0.5], map_rows)
+    medians = quantiles(unpivot(doubles, [], names, "column", "value"), ["column"], "value", [0.5], accuracy)
     row = medians.agg(*[F.max(F.when(F.col("column") == c, F.get("q", F.lit(0)))).alias(c) for c in names])
     values = _from_row(row)
     return df.withColumns({c: F.coalesce(col(c).cast("double"), values.getField(c)) for c in names})
@@ -97,10 +97,10 @@ def one_hot(df: DataFrame, name: str, values: Sequence[str], prefix: str | None
     return df.withColumns({f"{stem}_{v}": col(name).eqNullSafe(F.lit(v)).cast("int") for v in values})
 
 
-def quantile_edges(df: DataFrame, name: str, bins: int, map_rows: int = MAP_ROWS) -> Column:
+def quantile_edges(df: DataFrame, name: str, bins: int, accuracy: int = ACCURACY) -> Column:
     """Edges of equal-count bins as an array value; raises when run if two edges coincide."""
     probs = [i / bins for i in range(bins + 1)]
-    q = quantiles(df, [], name, probs, map_rows)
+    q = quantiles(df, [], name, probs, accuracy)
     checked = F.when(F.size(F.array_distinct("q")) == bins + 1, F.col("q")).otherwise(
         F.raise_error(F.lit(f"bin edges of {quote(name)} are not unique"))
     )

@@ -12,7 +12,7 @@ from ..functions.binning import edge_code, equal_width_bin
 from ..functions.numeric import col, ratio
 from .bounded import join_lookup
 from .clean import quantile_edges
-from .quantiles import MAP_ROWS, quantiles
+from .quantiles import ACCURACY, quantiles
 
 
 def histogram(df: DataFrame, name: str, bins: int = 10) -> DataFrame:
@@ -71,10 +71,10 @@ def kernel_density(df: DataFrame, name: str, by: str, points: int = 50, cut: flo
     return each.select(F.col("category").alias(by), "point", (F.col("start") + F.col("point") * F.col("step")).alias("x"), density.alias("density"))
 
 
-def box_stats(df: DataFrame, name: str, by: str, reach: float = 1.5, map_rows: int = MAP_ROWS) -> DataFrame:
+def box_stats(df: DataFrame, name: str, by: str, reach: float = 1.5, accuracy: int = ACCURACY) -> DataFrame:
     """Quartiles, whiskers (last value within reach * IQR) and outlier count per category."""
     rows = df.select(col(by).alias("category"), col(name).cast("double").alias("v")).where("v is not null")
-    q = quantiles(rows, ["category"], "v", [0.25, 0.5, 0.75], map_rows).select(
+    q = quantiles(rows, ["category"], "v", [0.25, 0.5, 0.75], accuracy).select(
         "category", *[F.get("q", F.lit(i)).alias(c) for i, c in enumerate(("q1", "median", "q3"))]
     )
     v, q1, q3 = F.col("v"), F.col("q1"), F.col("q3")
@@ -99,9 +99,9 @@ def point_set(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.select(*[col(c) for c in names]).dropna()
 
 
-def quantile_bins(df: DataFrame, name: str, bins: int = 5, map_rows: int = MAP_ROWS) -> DataFrame:
+def quantile_bins(df: DataFrame, name: str, bins: int = 5, accuracy: int = ACCURACY) -> DataFrame:
     """Add ``code`` 1..bins: equal-count bins, right-closed, lowest value included."""
-    return df.withColumn("code", edge_code(col(name), quantile_edges(df, name, bins, map_rows), bins))
+    return df.withColumn("code", edge_code(col(name), quantile_edges(df, name, bins, accuracy), bins))
 
 
 def quantile_bin_counts(df: DataFrame, name: str, bins: int = 5) -> DataFrame:

@@ -1,110 +1,64 @@
 """Exact linear-interpolated quantiles, per group, at any size.
 
-Spark's ``percentile`` keeps a value -> count map of a whole group in one task, so it is used only
-below a checked row count.  Beyond it the quantile is found by counting: rows are first reduced to
-distinct values with counts, cut into value ranges of about equal size, and only the ranges that hold a
-wanted rank are sorted.
+A mergeable sketch brackets each wanted rank: its error is bounded, so the value of that rank lies between two sketched
+values.  One more pass counts the rows between the brackets and keeps the values inside them, and the running count over
+these gives the exact value.  A bracket holds a few rows per ten thousand of the group.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import col
-from ..session import durable
 from .bounded import join_lookup
 
-MAP_ROWS = 1_000_000
-RANGE_ROWS = 250_000  # values per range aimed at
-MOST_STEPS = 64
+ACCURACY = 10_000  # a sketched rank is off by the group's rows / ACCURACY at most; groups of up to so many rows are sorted whole
+MARGIN = 3  # of such errors, on both sides
 
 
-def quantiles(
-    df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float], map_rows: int = MAP_ROWS, range_rows: int = RANGE_ROWS
-) -> DataFrame:
+def quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float], accuracy: int = ACCURACY) -> DataFrame:
     """One row per group: the group columns and ``q``, an array with one quantile per probability."""
-    rows = df.where(col(value).isNotNull()).select(*[col(k) for k in by], col(value).cast("double").alias("_v"))
-    size = rows.count()
-    if size <= map_rows:
-        wanted = F.percentile(F.col("_v"), F.array(*[F.lit(float(p)) for p in probs]))
-        return rows.groupBy(*[col(k) for k in by]).agg(wanted.alias("q"))
-    steps = min(MOST_STEPS, max(2, math.ceil(math.sqrt(size / range_rows))))
-    return _by_counting(rows, list(by), [float(p) for p in probs], steps)
-
-
-def _range_number(v: Column, edges: Column, coarse: Column, steps: int) -> Column:
-    """How many of the steps^2 sorted edges lie below v, with 2 * steps comparisons."""
-    whole = F.size(F.filter(coarse, lambda e: e < v))
-    fine = F.slice(edges, whole * steps + 1, F.lit(steps))
-    return whole * steps + F.size(F.filter(fine, lambda e: e < v))
-
-
-def _by_counting(rows: DataFrame, by: list[str], probs: list[float], steps: int) -> DataFrame:
-    # One struct as the key, so that a NULL group meets itself in the joins.
-    keyed = rows.select(F.struct(*[col(k) for k in by], F.lit(0).alias("_all")).alias("_k"), "_v")
-    counts = durable(keyed.groupBy("_k", "_v").agg(F.count("*").alias("_n")))
-
-    cuts = steps * steps
-    fractions = [(i + 1) / (cuts + 1) for i in range(cuts)]
-    edges = counts.groupBy("_k").agg(F.percentile_approx("_v", fractions, 4 * cuts).alias("_edges")).withColumn(
-        "_coarse", F.transform(F.sequence(F.lit(1), F.lit(steps)), lambda i: F.get("_edges", i * steps - 1))
+    # One struct as the key, so that a NULL group meets itself in the join.
+    key = F.struct(*[col(k).alias(k) for k in by], F.lit(0).alias("_all"))
+    rows = df.where(col(value).isNotNull()).select(key.alias("_k"), col(value).cast("double").alias("_v"))
+    probs = [float(p) for p in probs]
+    ends = [min(1.0, max(0.0, p + side * MARGIN / accuracy)) for p in probs for side in (-1, 1)]
+    sketch = rows.groupBy("_k").agg(
+        F.count("*").alias("_total"), F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.percentile_approx("_v", ends, accuracy).alias("_ends")
     )
-    number = _range_number(F.col("_v"), F.col("_edges"), F.col("_coarse"), steps)
+    around = [F.struct(F.get("_ends", F.lit(2 * i)).alias("low"), F.get("_ends", F.lit(2 * i + 1)).alias("high")) for i in range(len(probs))]
+    whole = F.array(F.struct(F.col("_low").alias("low"), F.col("_high").alias("high")))
+    brackets = sketch.select("_k", "_total", F.when(F.col("_total") <= accuracy, whole).otherwise(F.array(*around)).alias("_b"))
 
-    # At most cuts + 1 rows per group, of which those that hold a wanted rank are kept.
-    in_order, whole = Window.partitionBy("_k").orderBy("_r"), Window.partitionBy("_k")
-    ranges = (
-        join_lookup(counts, edges, ["_k"]).groupBy("_k", number.alias("_r"))
-        .agg(F.sum("_n").alias("_in"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
-        .withColumn("_before", F.sum("_in").over(in_order) - F.col("_in"))
-        .withColumn("_total", F.sum("_in").over(whole))
+    v = F.col("_v")
+    inside = F.exists("_b", lambda b: (b["low"] <= v) & (v <= b["high"]))
+    passed = F.size(F.filter("_b", lambda b: b["high"] < v))
+    counts = (
+        join_lookup(rows, brackets, ["_k"])
+        .groupBy("_k", "_total", passed.alias("_passed"), F.when(inside, v).alias("_inside"))
+        .agg(F.count("*").alias("_n"), F.min("_v").alias("_at"))
     )
+    upto = Window.partitionBy("_k").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counts.withColumn("_end", F.sum("_n").over(upto)).withColumn("_start", F.col("_end") - F.col("_n"))
 
-    def ranks(p: float) -> tuple[Column, Column, Column]:
-        position = F.lit(p) * (F.col("_total") - 1)
-        return position, F.floor(position), F.ceil(position)
+    def at(rank: Column) -> Column:
+        found = F.max(F.when((F.col("_start") <= rank) & (rank < F.col("_end")), F.col("_inside")))
+        return F.when(found.isNull(), F.raise_error(F.lit("a wanted rank is outside of its bracket")).cast("double")).otherwise(found)
 
-    def holds(rank: Column, start: Column, size: Column) -> Column:
-        return (start <= rank) & (rank < start + size)
-
-    needed = F.lit(False)
-    for p in probs:
-        for rank in ranks(p)[1:]:
-            needed = needed | holds(rank, F.col("_before"), F.col("_in"))
-    wanted = ranges.where(needed).groupBy("_k").agg(F.collect_list(F.struct("_r", "_low", "_high", "_before", "_total")).alias("_w"))
-
-    v = F.col("_v")
-    inside = Window.partitionBy("_k", "_r").orderBy("_v")
-    ranked = (
-        join_lookup(counts, wanted, ["_k"])
-        .withColumn("_w", F.get(F.filter("_w", lambda w: (w["_low"] <= v) & (v <= w["_high"])), F.lit(0)))
-        .where("_w is not null")
-        .select("_k", "_v", "_n", "_w.*")
-        .withColumn("_start", F.col("_before") + F.sum("_n").over(inside) - F.col("_n"))
-    )
-    picks = []
+    picks, q = [], []
     for i, p in enumerate(probs):
-        position, low, high = ranks(p)
-        at = [F.max(F.when(holds(r, F.col("_start"), F.col("_n")), v)) for r in (low, high)]
-        picks += [at[0].alias(f"_lo{i}"), at[1].alias(f"_hi{i}"), F.max(position - low).alias(f"_f{i}")]
+        position = F.lit(p) * (F.col("_total") - 1)
+        picks += [at(F.floor(position)).alias(f"_lo{i}"), at(F.ceil(position)).alias(f"_hi{i}"), F.max(position - F.floor(position)).alias(f"_f{i}")]
+        q.append(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}"))
     found = ranked.groupBy("_k").agg(*picks)
-    q = F.array(
-        *[
-            F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")
-            for i in range(len(probs))
-        ]
-    )
-    return found.select(*[F.col("_k").getField(b).alias(b) for b in by], q.alias("q"))
+    return found.select(*[F.col("_k").getField(b).alias(b) for b in by], F.array(*q).alias("q"))
 
 
-def column_quantiles(
-    df: DataFrame, names: Sequence[str], probs: Sequence[float], map_rows: int = MAP_ROWS
-) -> DataFrame:
+def column_quantiles(df: DataFrame, names: Sequence[str], probs: Sequence[float], accuracy: int = ACCURACY) -> DataFrame:
     """Quantiles of several columns in one pass: rows (column, q)."""
     doubles = df.select(*[col(c).cast("double").alias(c) for c in names])
     long = doubles.unpivot([], [col(c) for c in names], "column", "value")
-    return quantiles(long, ["column"], "value", probs, map_rows)
+    return quantiles(long, ["column"], "value", probs, accuracy)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import col, intercept, pearson, slope
 from .order import descending
 
-MAX_WIDTH = 2048  # columns of a correlation matrix
+BLOCK = 512  # columns whose products with as many others a task sums at a time
 
 
 def corr_pair(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -32,37 +32,69 @@ def strong_columns(df: DataFrame, names: Sequence[str], target: str, above: floa
     return corr_with_target(df, names, target).where(F.abs("r") > above)
 
 
-def _upper_pairs(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """r of every pair of columns i <= j as rows (i, j, r), in one pass over the data.
-
-    A task adds up six sums for each ordered pair, over the rows where both columns are present, and sends them
-    once, a line per column.  Values are taken relative to one of the column's own, so that constant columns have a
-    spread of exactly 0 (r is NULL) and large offsets do not cancel.
-    """
-    d = len(names)
-    if d > MAX_WIDTH:
-        raise ValueError(f"correlations of more than {MAX_WIDTH} columns are not summed in one task")
+def _origin(df: DataFrame, names: Sequence[str]) -> np.ndarray:
+    """The least finite value of every column over all rows, 0 for a column without one."""
     numbers = df.select(F.array(*[col(c).cast("double") for c in names]).alias("x"))
-    seen = [r["x"] for r in numbers.limit(100).collect()]
-    origin = np.array([next((x[i] for x in seen if x[i] is not None and np.isfinite(x[i])), 0.0) for i in range(d)])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums = np.zeros((6, d, d))
+        low = np.full(len(names), np.inf)
         for batch in batches:
             if len(batch):
                 x = np.array(batch["x"].tolist(), dtype=np.float64)
-                here = ~np.isnan(x)
-                x, here = np.where(here, x - origin, 0.0), here.astype(np.float64)
-                for k, (left, right) in enumerate(((here, here), (x, here), (here, x), (x * x, here), (here, x * x), (x, x))):
-                    sums[k] += left.T @ right
-        yield pd.DataFrame({"i": np.arange(d, dtype=np.int32), "line": list(sums.transpose(1, 0, 2).reshape(d, -1))})
+                low = np.minimum(low, np.where(np.isfinite(x), x, np.inf).min(axis=0))
+        yield pd.DataFrame({"low": [low]})
+
+    low = numbers.mapInPandas(run, "low array<double>").agg(Summarizer.min(array_to_vector(F.col("low")))).first()[0]
+    return np.where(np.isfinite(low.toArray()), low.toArray(), 0.0)
+
+
+def _block_sums(df: DataFrame, left: Sequence[str], right: Sequence[str], at: tuple[int, int], origins: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """(i, j, s0 to s5): six sums of column i of one block against every column of another, over rows where both are present."""
+    d = len(right)
+    numbers = df.select(*[F.array(*[col(c).cast("double") for c in names]).alias(side) for side, names in (("a", left), ("b", right))])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = np.zeros((6, len(left), d))
+        for batch in batches:
+            if len(batch):
+                (a, in_a), (b, in_b) = (_shifted(batch[side], origin) for side, origin in zip(("a", "b"), origins))
+                for k, (x, y) in enumerate(((in_a, in_b), (a, in_b), (in_a, b), (a * a, in_b), (in_a, b * b), (a, b))):
+                    sums[k] += x.T @ y
+        yield pd.DataFrame({"i": np.arange(at[0], at[0] + len(left), dtype=np.int32), "line": list(sums.transpose(1, 0, 2).reshape(len(left), -1))})
 
     lines = numbers.mapInPandas(run, "i int, line array<double>").withColumn("line", array_to_vector("line"))
     totals = lines.groupBy("i").agg(vector_to_array(Summarizer.sum(F.col("line"))).alias("s"))
-    each = totals.select("i", "s", F.explode(F.sequence(F.col("i"), F.lit(d - 1))).alias("j"))
-    n, sx, sy, sxx, syy, sxy = (F.get("s", F.col("j") + k * d) for k in range(6))
+    each = totals.select("i", "s", F.explode(F.sequence(F.lit(0), F.lit(d - 1))).alias("o"))
+    return each.select("i", (F.col("o") + at[1]).alias("j"), *[F.get("s", F.col("o") + k * d).alias(f"s{k}") for k in range(6)])
+
+
+def _shifted(values: pd.Series, origin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values above the origin, 0 where missing, and 1 where present."""
+    x = np.array(values.tolist(), dtype=np.float64)
+    here = ~np.isnan(x)
+    return np.where(here, x - origin, 0.0), here.astype(np.float64)
+
+
+def _upper_pairs(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """r of every pair of columns i <= j as rows (i, j, r).
+
+    Columns are cut into blocks, and every pair of blocks is summed in a pass that reads these columns alone: a task sends
+    six sums for each pair of columns once, a line per column.  Up to ``BLOCK`` columns are one pass.  Values are
+    taken relative to the column's least, so that constant columns have a spread of exactly 0 (r is NULL) and large
+    offsets do not cancel.
+    """
+    names = list(names)
+    origin = _origin(df, names)
+    starts = range(0, len(names), BLOCK)
+    sums = None
+    for a in starts:
+        for b in starts[a // BLOCK :]:
+            ends = (a + BLOCK, b + BLOCK)
+            part = _block_sums(df, names[a : ends[0]], names[b : ends[1]], (a, b), (origin[a : ends[0]], origin[b : ends[1]]))
+            sums = part if sums is None else sums.unionByName(part)
+    n, sx, sy, sxx, syy, sxy = (F.col(f"s{k}") for k in range(6))
     spread = F.sqrt(F.greatest(n * sxx - sx * sx, F.lit(0.0)) * F.greatest(n * syy - sy * sy, F.lit(0.0)))
-    return each.select("i", "j", F.try_divide(n * sxy - sx * sy, spread).alias("r"))
+    return sums.where("i <= j").select("i", "j", F.try_divide(n * sxy - sx * sy, spread).alias("r"))
 
 
 def corr_matrix(df: DataFrame, names: Sequence[str]) -> DataFrame:

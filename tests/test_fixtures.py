@@ -166,6 +166,23 @@ def test_redundant_columns(frame):
     assert {r["col_a"] for r in relate.corr_submatrix(df, names, "a").collect()} == {"a", "b", "d"}
 
 
+@pytest.mark.parametrize("block", [512, 3])
+def test_correlation_in_column_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(relate, "BLOCK", block)
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(400, 8)) + 1e9
+    x[:, 3] = x[:, 0] * 2 + rng.normal(size=400)
+    late = [None] * 150 + [0.1] * 250  # NULL in the first rows, constant after
+    x[rng.random((400, 8)) < 0.1] = np.nan
+    names = [f"c{i}" for i in range(8)] + ["late", "none"]
+    rows = [(*[None if np.isnan(v) else float(v) for v in r], late[i], None) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names)).coalesce(1)
+    got = {(r["col_a"], r["col_b"]): r["r"] for r in relate.corr_matrix(df, names).collect()}
+    wanted = pd.DataFrame(x, columns=names[:8]).corr()
+    assert len(got) == 100 and all(got[a, b] == pytest.approx(wanted.loc[a, b], abs=1e-6) for a in names[:8] for b in names[:8])
+    assert all(got[a, b] is None for a in names for b in ("late", "none"))
+
+
 def test_threshold(frame):
     df = frame([("w", 0.5), ("x", 0.3), ("y", 0.15), ("z", 0.05)], "f string, v double")
     shares = order.cumulative_share(df, "f", "v")

@@ -26,7 +26,7 @@ def skewed(spark, n=6000):
 def test_quantiles_by_counting(spark, by):
     df = skewed(spark)
     small = {tuple(r[b] for b in by): r["q"] for r in quantiles(df, by, "x", PROBS).collect()}
-    large = {tuple(r[b] for b in by): r["q"] for r in quantiles(df, by, "x", PROBS, map_rows=0, range_rows=20).collect()}
+    large = {tuple(r[b] for b in by): r["q"] for r in quantiles(df, by, "x", PROBS, accuracy=50).collect()}
     assert small.keys() == large.keys()
     for k in small:
         assert large[k] == pytest.approx(small[k], rel=1e-12)
@@ -36,7 +36,7 @@ def test_quantiles_by_counting_without_lookup_broadcast(spark, monkeypatch):
     monkeypatch.setattr(bounded, "small_table", lambda df, max_rows=0: None)
     df = skewed(spark, 2000)
     small = {r["g"]: r["q"] for r in quantiles(df, ["g"], "x", PROBS).collect()}
-    large = {r["g"]: r["q"] for r in quantiles(df, ["g"], "x", PROBS, map_rows=0, range_rows=20).collect()}
+    large = {r["g"]: r["q"] for r in quantiles(df, ["g"], "x", PROBS, accuracy=50).collect()}
     assert all(large[g] == pytest.approx(small[g], rel=1e-12) for g in small)
 
 

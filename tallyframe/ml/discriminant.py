@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Estimator
 from pyspark.ml.classification import NaiveBayes
@@ -12,8 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .labels import OnClassNumber
+from .folds import discriminants
 from .linear import LinearScoreModel, LinearScores, score_model
-from .moments import class_means, feature_array, matrix, one_hot, summed_matrices
+from .moments import class_means, feature_array, matrix, one_hot, r_factor
 
 
 def gaussian_bayes(features: str = "features", label: str = "label") -> OnClassNumber:
@@ -21,7 +21,11 @@ def gaussian_bayes(features: str = "features", label: str = "label") -> OnClassN
 
 
 class DiscriminantAnalysis(Estimator, LinearScores, DefaultParamsReadable, DefaultParamsWritable):
-    """Classes share one covariance (pooled, divided by n - classes); priors are the class shares."""
+    """Classes share one covariance (pooled, divided by n - classes); priors are the class shares.
+
+    Rows less their class mean are reduced to a triangle whose singular values whiten them, so nearly collinear columns do
+    not lose what a covariance matrix would.
+    """
 
     @keyword_only
     def __init__(self, *, featuresCol="features", labelCol="label", predictionCol="prediction"):
@@ -31,17 +35,9 @@ class DiscriminantAnalysis(Estimator, LinearScores, DefaultParamsReadable, Defau
     def _fit(self, dataset: DataFrame) -> LinearScoreModel:
         labels, counts, means = class_means(dataset, self.getFeaturesCol(), self.getLabelCol())
         index = {v: i for i, v in enumerate(labels)}
-        d = means.shape[1]
-
-        def scatter(batch: pd.DataFrame) -> dict[str, np.ndarray]:
-            centred = matrix(batch["x"]) - one_hot(batch["y"], index) @ means
-            return {"s": centred.T @ centred}
-
         rows = dataset.select(
             feature_array(dataset, self.getFeaturesCol()).alias("x"), F.col(self.getLabelCol()).cast("double").alias("y")
         )
-        n = counts.sum()
-        covariance = summed_matrices(rows, scatter, {"s": (d, d)})["s"] / (n - len(labels))
-        weights = means @ np.linalg.pinv(covariance, hermitian=True)
-        offsets = np.log(counts / n) - 0.5 * np.einsum("ij,ij->i", weights, means)
-        return score_model(self, labels, weights, offsets)
+        r = r_factor(rows, lambda batch: matrix(batch["x"]) - one_hot(batch["y"], index) @ means, means.shape[1])
+        _, spread, axes = np.linalg.svd(r)
+        return score_model(self, labels, *discriminants(counts, means, spread, axes))

@@ -70,13 +70,28 @@ def linear(labels: np.ndarray, weights: np.ndarray, offsets: np.ndarray) -> Pred
     return lambda x: labels[(x @ weights.T + offsets).argmax(axis=1)]
 
 
+def discriminants(counts: np.ndarray, means: np.ndarray, spread: np.ndarray, axes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and offsets of linear discriminants, from singular values and axes of the rows less their class means.
+
+    Means count from the mean of all rows, which takes one term from the scores of all classes alike and keeps the weights
+    small.  Axes without any spread are left out.
+    """
+    n = counts.sum()
+    middle = counts @ means / n
+    off = means - middle
+    used = spread > spread.max(initial=0) * np.finfo(float).eps * max(n, len(spread))
+    axes, spread = axes[: len(spread)][used], spread[used] / np.sqrt(n - len(counts))
+    weights = (off @ axes.T / spread**2) @ axes
+    return weights, np.log(counts / n) - weights @ middle - 0.5 * np.einsum("ij,ij->i", weights, off)
+
+
 def discriminant(one: FoldSums) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Labels, weights and offsets of the linear discriminants of one table's sums."""
-    counts, n = one.counts[0], one.counts[0].sum()
+    counts = one.counts[0]
     off = one.sums[0] / counts[:, None]
-    scatter = one.products[0] - (off * counts[:, None]).T @ off
-    weights = (off + one.centre) @ np.linalg.pinv(scatter / (n - len(counts)), hermitian=True)
-    return one.labels, weights, np.log(counts / n) - 0.5 * np.einsum("ij,ij->i", weights, off + one.centre)
+    values, vectors = np.linalg.eigh(one.products[0] - (off * counts[:, None]).T @ off)
+    values = np.where(values > values[-1] * np.finfo(float).eps * len(values), values, 0)
+    return one.labels, *discriminants(counts, off + one.centre, np.sqrt(values)[::-1], vectors.T[::-1])
 
 
 def naive_bayes(one: FoldSums) -> Predictor:

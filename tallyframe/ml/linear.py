@@ -8,19 +8,16 @@ import numpy as np
 import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import DenseVector, Vectors
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol, Param, Params, TypeConverters
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .folds import support_vectors
-from .moments import class_means, feature_array, matrix, one_hot, summed_matrices
-
-
-def least_squares(features: str = "features", label: str = "label") -> LinearRegression:
-    """Ordinary least squares by the normal equations: one pass over the data."""
-    return LinearRegression(featuresCol=features, labelCol=label, solver="normal", regParam=0.0)
+from .moments import class_means, feature_array, matrix, one_hot, r_factor, summed_matrices
 
 
 def dot(x: Column, weights: Sequence[float]) -> Column:
@@ -28,6 +25,53 @@ def dot(x: Column, weights: Sequence[float]) -> Column:
     return F.aggregate(products, F.lit(0.0), lambda s, v: s + v)
 
 
+class _Line(HasFeaturesCol, HasLabelCol, HasPredictionCol):
+    weights = Param(Params._dummy(), "weights", "one weight per feature", TypeConverters.toListFloat)
+    offset = Param(Params._dummy(), "offset", "value where all features are 0", TypeConverters.toFloat)
+
+
+class LeastSquares(Estimator, _Line, DefaultParamsReadable, DefaultParamsWritable):
+    """Ordinary least squares from the triangle of the centred features and target: a pass for the means and one for it.
+
+    Of directions without any spread the shortest solution is taken.  Rows with a NULL target take no part.
+    """
+
+    @keyword_only
+    def __init__(self, *, featuresCol="features", labelCol="label", predictionCol="prediction"):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _fit(self, dataset: DataFrame) -> LeastSquaresModel:
+        both = F.concat(feature_array(dataset, self.getFeaturesCol()), F.array(F.col(self.getLabelCol()).cast("double")))
+        rows = dataset.where(F.col(self.getLabelCol()).isNotNull()).select(both.alias("x"))
+        n, mean = rows.agg(F.count("*"), Summarizer.mean(array_to_vector(F.col("x")))).first()
+        if not n:
+            raise ValueError("cannot fit on an empty table")
+        mean = mean.toArray()
+        r = r_factor(rows, lambda batch: matrix(batch["x"]) - mean, len(mean))
+        w = np.linalg.lstsq(r[:, :-1], r[:, -1], rcond=np.finfo(float).eps * max(n, len(mean)))[0]
+        names = {p: getattr(self, f"get{p[0].upper()}{p[1:]}")() for p in ("featuresCol", "labelCol", "predictionCol")}
+        return LeastSquaresModel()._set(**names, weights=w.tolist(), offset=float(mean[-1] - mean[:-1] @ w))
+
+
+class LeastSquaresModel(Model, _Line, DefaultParamsReadable, DefaultParamsWritable):
+    @property
+    def coefficients(self) -> DenseVector:
+        return Vectors.dense(self.getOrDefault("weights"))
+
+    @property
+    def intercept(self) -> float:
+        return self.getOrDefault("offset")
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        value = dot(feature_array(dataset, self.getFeaturesCol()), self.getOrDefault("weights")) + F.lit(self.getOrDefault("offset"))
+        return dataset.withColumn(self.getPredictionCol(), value)
+
+
+def least_squares(features: str = "features", label: str = "label") -> LeastSquares:
+    return LeastSquares(featuresCol=features, labelCol=label)
+
+
 class LinearScores(HasFeaturesCol, HasLabelCol, HasPredictionCol):
     """Parameters of a classifier that picks the class with the largest linear score."""
 

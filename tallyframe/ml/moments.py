@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.stat import Summarizer
@@ -54,6 +55,46 @@ def summed_matrices(rows: DataFrame, partial, shapes: dict[str, tuple[int, ...]]
     return {name: out[name].reshape(shape) for name, shape in shapes.items()}
 
 
+FAN, LEVELS = 32, 2  # triangles that one task of a merge stacks, and how often
+
+
+def r_factor(rows: DataFrame, lines, d: int) -> np.ndarray:
+    """The triangle R (d x d) of the QR decomposition of a tall matrix whose lines ``lines(batch)`` gives for each batch.
+
+    A task reduces its batches one onto the other; the triangles of tasks are merged in a tree (Demmel et al. 2012).  R keeps the
+    matrix's own condition number, where its products with itself would have the square.  Signs follow a positive diagonal.
+    """
+    if d > MAX_WIDTH:
+        raise ValueError(f"triangles above {MAX_WIDTH} columns are not gathered on the driver")
+
+    def stack(blocks: Iterator[np.ndarray]) -> np.ndarray:
+        r = np.zeros((0, d))
+        for block in blocks:
+            r = np.linalg.qr(np.vstack([r, block]), mode="r")
+        return r
+
+    def send(part: int, r: np.ndarray) -> pd.DataFrame:
+        return pd.DataFrame({"part": np.int64(part), "row": np.arange(len(r)), "line": list(r)})
+
+    def reduce_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        r = stack(lines(b) for b in batches if len(b))
+        if len(r):
+            yield send(TaskContext.get().partitionId(), r)
+
+    def merge(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["part", "row"])  # one order whatever the shuffle did
+        return send(int(group["part"].iloc[0]) // FAN, stack(iter([matrix(group["line"])])))
+
+    schema = "part long, row int, line array<double>"
+    triangles = rows.mapInPandas(reduce_rows, schema)
+    for _ in range(LEVELS):
+        triangles = triangles.groupBy(F.floor(F.col("part") / FAN).alias("g")).applyInPandas(merge, schema)
+    got = triangles.orderBy("part", "row").collect()  # one triangle per FAN ** LEVELS tasks
+    r = stack(iter([np.array([g["line"] for g in got])])) if got else np.zeros((0, d))
+    r = np.vstack([r, np.zeros((d - len(r), d))])
+    return r * np.where(np.diag(r) < 0, -1.0, 1.0)[:, None]
+
+
 def width(df: DataFrame, features: str) -> int:
     row = df.select(F.size(feature_array(df, features)).alias("d")).first()
     if row is None:

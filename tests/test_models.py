@@ -6,7 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from tallyframe.ml import folds, metrics, prep, trees
+from tallyframe.ml import folds, metrics, moments, prep, trees
 from tallyframe.ml.discriminant import DiscriminantAnalysis, gaussian_bayes
 from tallyframe.ml.kernel import KernelRegression
 from tallyframe.ml.linear import LinearScoreModel, LinearSvc, RidgeClassifier, least_squares
@@ -251,6 +251,40 @@ def test_class_scores(spark):
     assert row["n"] == 5 and row["f1_micro"] == pytest.approx(0.4) and row["f1_macro"] == pytest.approx(np.mean(f1))
 
 
+@pytest.mark.parametrize("fan", [32, 2])
+def test_nearly_collinear_columns(spark, monkeypatch, fan):
+    """Columns of condition 1e8: what follows from products of columns would have lost all digits."""
+    monkeypatch.setattr(moments, "FAN", fan)
+    rng = np.random.default_rng(6)
+    base, y = rng.normal(size=(600, 3)), rng.integers(0, 3, 600)
+    base += np.array([[0, 0, 0], [1, 0, 2], [0, 1, -2]])[y]
+    x = np.column_stack([base[:, 0], base[:, 1], base[:, 0] + base[:, 1] + 3e-8 * base[:, 2]])
+    assert np.linalg.cond(x - x.mean(axis=0)) > 3e7
+    t = base @ [1.0, -2.0, 0.5] + rng.normal(0, 0.1, 600)
+    df = spark.createDataFrame([(i, v.tolist(), float(c), float(s)) for i, (v, c, s) in enumerate(zip(x, y, t))], "id int, features array<double>, label double, t double").repartition(7)
+    means = np.array([x[y == c].mean(axis=0) for c in range(3)])
+    _, s, v = np.linalg.svd((x - means[y]) / np.sqrt(597), full_matrices=False)
+    middle = x.mean(axis=0)
+    white, centres = (x - middle) @ v.T / s, (means - middle) @ v.T / s
+    wanted = white @ centres.T - 0.5 * (centres**2).sum(axis=1) + np.log(np.bincount(y) / 600)
+    model = DiscriminantAnalysis().fit(df)
+    got = x @ np.array(model.getOrDefault("weights")).T + model.getOrDefault("offsets")
+    off = lambda a: a - a.mean(axis=1, keepdims=True)
+    assert np.abs(off(got) - off(wanted)).max() < 1e-6 * np.abs(off(wanted)).max()
+    assert (predicted(model, df) == wanted.argmax(axis=1)).all()
+    direct = np.linalg.lstsq(np.column_stack([x - middle, np.ones(600)]), t, rcond=None)[0]
+    line = least_squares(label="t").fit(df)
+    assert np.abs(predicted(line, df) - ((x - middle) @ direct[:3] + direct[3])).max() < 1e-6
+
+
+def test_a_constant_column_and_few_rows(spark):
+    rows = spark.createDataFrame([(i, [float(i), 5.0], float(2 * i + 1)) for i in range(4)], "id int, features array<double>, label double")
+    assert predicted(least_squares().fit(rows), rows) == pytest.approx([1, 3, 5, 7])
+    assert predicted(least_squares().fit(rows.limit(1)), rows) == pytest.approx([1] * 4)
+    classes = rows.withColumn("label", (F.col("id") >= 2).cast("double"))
+    assert predicted(DiscriminantAnalysis().fit(classes), classes).tolist() == [0, 0, 1, 1]
+
+
 def test_fold_sums_solve_like_refits(blobs):
     df, x, y = blobs
     k = 4

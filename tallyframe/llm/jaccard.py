@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components, downward, joined_up, labels
-from .store import stored
+from .store import batches_of, stored
 from .text import WordHasher, by_spaces, mixed, utf8, windows
 
 FEW = 1  # members of a group that are compared with all others in the first turn, and eight times more in each further one
+PAIR_BYTES = "8m"  # of whole texts or sets that a task takes from Spark at once
 LARGE = 16  # members of a group that, without being one class after the first turn, is dealt anew by rarest features
 
 
@@ -199,7 +200,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", n: i
     groups = stored(_once(rows.where("n is null").select("key", "id").distinct().withColumn("place", F.lit(1))))
     counts = rows.where("n >= 0").groupBy("id").agg(F.min("n").alias("least"), F.max("n").alias("most"))
     forest = stored(downward(copies, "a", "b"))
-    sets = None if groups.isEmpty() else stored(_sets(docs, groups.select("id").distinct(), n))
+    with batches_of(df.sparkSession, PAIR_BYTES):
+        sets = None if groups.isEmpty() else stored(_sets(docs, groups.select("id").distinct(), n))
     tested, turn = None, 0
     while sets is not None:
         known = labels(forest)
@@ -219,7 +221,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", n: i
         pairs = meet.select(F.least("id", "hub_id").alias("a"), F.greatest("id", "hub_id").alias("b")).distinct()
         pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
         tested = pairs if tested is None else tested.unionByName(pairs)
-        found = stored(_links(pairs, sets, percent))
+        with batches_of(df.sparkSession, PAIR_BYTES):
+            found = stored(_links(pairs, sets, percent))
         if not found.isEmpty():
             forest = stored(joined_up(forest.unionByName(downward(found, "a", "b"))))
         rest = held.join(hubs.select("key", F.col("hub_id").alias("id")), ["key", "id"], "left_anti")

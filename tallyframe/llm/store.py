@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -31,6 +33,18 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, size: str) -> Iterator[None]:
+    """Arrow batches of about ``size`` bytes, and one row at least, for what is run inside; for rows of any length."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def schema_with(df: DataFrame, ddl: str) -> StructType:
     """The columns of ``df`` and those of a DDL string."""
     return StructType([*df.schema.fields, *StructType.fromDDL(ddl).fields])

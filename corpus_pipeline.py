@@ -6,7 +6,7 @@ returns them; the last adds the shard and the slot.  An empty table stays empty
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.llm import decontam, jaccard, mixing, quality, sharding
@@ -25,15 +25,15 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates the document with the smallest id, of rows with one id the first by text.
+    """Of each class of near duplicates the row with the smallest id, the first of the table among equal ids.
 
-    Documents without an id are in no class and stay.
+    Every row is a document of its own, so unlike texts under one id, or without an id, all stay.
     """
-    classes = jaccard.near_duplicates(docs, "doc_id", "text", n=5, percent=80)
-    kept = classes.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    first = Window.partitionBy("doc_id").orderBy("text", *[c for c in ("lang", "source", "n_chars") if c in docs.columns])
-    named = docs.join(kept, "doc_id", "left_semi").withColumn("__row", F.row_number().over(first)).where("__row = 1")
-    return named.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    numbered = stored(docs.withColumn("__row", F.monotonically_increasing_id()))
+    classes = jaccard.near_duplicates(numbered.select("__row", "text", F.col("doc_id").alias("__id")), "__row", "text", n=5, percent=80)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")
+    first = numbered.join(classes, "__row").groupBy("component_id").agg(F.min(order).alias("first")).select(F.col("first.__row").alias("__row"))
+    return numbered.join(first, "__row", "left_semi").select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from ..functions.numeric import col, ratio, total
 from ..operators import frame, joins, order, profile, rollup
 from ..plans import cohort
+from ..session import scratch_path
+from ..sources.inference import read_inferred
 from .registry import PART_SQL, part_with_gaps, query, rounded, table
 
 
@@ -216,3 +218,25 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1""",
 def dedup_first(spark, folder):
     events = table(spark, folder, "events").select("event_id", "user_id", "event_type", "value", "props")
     return order.keep_first(events, ["user_id"], [F.col("event_id")])
+
+
+@query(
+    "csv_round_trip",
+    """SELECT o_orderkey + 9007199254740993 AS id, CAST(CAST(o_orderkey AS HUGEINT) * 1000000000000000000000 + 7 AS VARCHAR) AS wide_id, o_orderpriority AS priority,
+CASE WHEN o_orderkey % 11 = 3 THEN NULL ELSE o_totalprice END AS price, strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderkey % 2 = 0 AS even,
+strftime(CAST(o_orderdate AS TIMESTAMP) + to_seconds(o_orderkey % 86400), '%Y-%m-%d %H:%M:%S') AS moment, CASE WHEN o_orderkey % 5 = 1 THEN NULL ELSE o_custkey END AS customer FROM orders""",
+)
+def csv_round_trip(spark, folder):
+    """A table written as CSV in the shared folder and read back without a schema."""
+    key = F.col("o_orderkey")
+    rows = table(spark, folder, "orders").select(
+        (key + F.lit(9007199254740993)).alias("id"), F.concat(key.cast("string"), F.lit("000000000000000000007")).alias("wide_id"),
+        F.col("o_orderpriority").alias("priority"), F.when(key % 11 == 3, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string")).alias("price"),
+        F.col("o_orderdate").cast("date").alias("day"), (key % 2 == 0).alias("even"),
+        F.date_format(F.expr("timestampadd(SECOND, CAST(o_orderkey % 86400 AS INT), CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP_NTZ))"), "yyyy-MM-dd HH:mm:ss").alias("moment"),
+        F.when(key % 5 != 1, F.col("o_custkey")).alias("customer"),
+    )
+    path = scratch_path(spark, "csv")
+    rows.write.option("header", True).csv(path)
+    back = read_inferred(spark, path).drop("bad_record")
+    return back.withColumns({c: F.col(c).cast("string") for c in ("wide_id", "day", "moment")})  # decimal, date, timestamp

@@ -368,9 +368,9 @@ def _school_sql() -> dict[str, str]:
     for i, c in enumerate(PERCENT_COLUMNS):
         value = f"concat(CAST((p_size * {i + 1} + p_partkey * {i % 3}) % 101 AS STRING), '%')"
         out[c] = gap(17, value) if c == "Student Attendance Rate" else value
-    for i, c in enumerate(RATING_COLUMNS[:-1]):
+    for i, c in enumerate(c for c in RATING_COLUMNS if c != rating.TARGET):
         out[c] = gap(11 + i, rating_of(i % 3))
-    out[RATING_COLUMNS[-1]] = gap(29, rating_of(0))
+    out[rating.TARGET] = gap(29, rating_of(0))
     out["Economic Need Index"] = gap(19, "CAST((p_size * 7 + p_partkey) % 100 AS DOUBLE) / 100")
     out["Average ELA Proficiency"] = gap(23, "CAST(p_size AS DOUBLE) / 20 + 1.5")
     out["Average Math Proficiency"] = gap(31, "CAST(p_partkey % 50 AS DOUBLE) / 20 + 1.5")

@@ -1,4 +1,4 @@
-"""CSV input with stated schemas (inference would read the data twice and guess types per file)."""
+"""CSV input with stated schemas; ``inference`` finds types where none is stated."""
 
 from __future__ import annotations
 
@@ -43,10 +43,11 @@ PERCENT_COLUMNS = [
     "Student Attendance Rate", "Percent ELL", "Percent Asian", "Percent Black", "Percent Hispanic",
     "Percent White", "Percent Black / Hispanic",
 ]
+# Ratings in words.
 RATING_COLUMNS = [
     "Supportive Environment Rating", "Rigorous Instruction Rating", "Collaborative Teachers Rating",
-    "Effective School Leadership Rating", "Strong Family-Community Ties Rating", "Trust Rating",
-    "Student Achievement Rating",
+    "Effective School Leadership Rating", "Strong Family-Community Ties Rating", "Student Achievement Rating",
+    "Trust Rating",
 ]
 SCHOOLS = schema_of(
     string=["School Name", "SED Code", "City", "Community School?", "School Income Estimate", *PERCENT_COLUMNS, *RATING_COLUMNS],

@@ -147,15 +147,15 @@ def top10_kernel(spark, folder):
 @query(
     "top10_neighbors",
     f"""WITH {_YEARS}, pairs AS (SELECT a.l_suppkey, t.l_suppkey AS other, t.year AS other_year, t.revenue,
-  (a.qty - t.qty) ** 2 + (a.lines - t.lines) ** 2 AS d FROM s a, s t WHERE a.year = 2000 AND t.year = 1999),
+  (a.qty - t.qty) ** 2 + (a.lines - t.lines) ** 2 AS d FROM s a, s t WHERE a.year = 2000 AND t.year < 2000),
 near AS (SELECT l_suppkey, round_even(avg(revenue), 2) AS revenue_pred FROM (SELECT * FROM pairs
-  QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY d, other) <= 7) GROUP BY 1),
+  QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY d, other, revenue) <= 7) GROUP BY 1),
 best AS (SELECT * FROM near ORDER BY revenue_pred DESC, l_suppkey LIMIT 10)
 SELECT l_suppkey, revenue_pred, round_even(y.revenue, 4) AS revenue FROM best JOIN y USING (l_suppkey) WHERE year = 2000""",
 )
 def top10_neighbors(spark, folder):
     years = _supplier_years(spark, folder)
-    train, season = years.where("year = 1999"), years.where("year = 2000")
+    train, season = years.where("year < 2000"), years.where("year = 2000")
     return rounded(forecast.top_ten("neighbors", train, season, season, _FEATURES, "l_suppkey", "revenue"), 4, "revenue")
 
 
@@ -348,6 +348,75 @@ def kernel(spark, folder):
     return _held_out(KernelRegression(gamma=0.5, C=150.0, epsilon=0.3), spark, folder)
 
 
+# ---------------------------------------------------------------- models on a label that depends on the features
+
+_EIGHT = f"WITH s AS (SELECT vec_id, {_SIGNAL.format(1, 2)} AS label FROM embeddings), t AS (SELECT * FROM s WHERE {_HASH.format(key='vec_id', seed=50)} >= 75)"
+_BOUND = f"""{_EIGHT}, c AS (SELECT label, count(*) AS n FROM t GROUP BY label)
+SELECT CAST(sum(n) AS BIGINT) AS n, round_even(max(n) / sum(n), 9) AS majority, TRUE AS better FROM c"""
+
+
+def _signal_split(spark, folder):
+    rows = _signal(spark, folder).withColumn("features", F.slice("features", 1, 8))
+    return prep.hash_split(rows, "vec_id", 25, 50)
+
+
+def _bounded(estimator, spark, folder):
+    """Held-out rows, the share of their largest class, and whether the model errs at most seven tenths as often as that class would."""
+    train, test = _signal_split(spark, folder)
+    scored = estimator.fit(train).transform(test)
+    hits = scored.groupBy("label").agg(F.count("*").alias("n"), F.count_if(F.col("label") == F.col("prediction")).alias("hits"))
+    majority, right = F.max("n") / F.sum("n"), F.sum("hits") / F.sum("n")
+    return rounded(hits.agg(F.sum("n").alias("n"), majority.alias("majority"), (1 - right <= 0.7 * (1 - majority)).alias("better")), 9, "majority")
+
+
+@query("svc_bound", _BOUND)
+def svc_bound(spark, folder):
+    return _bounded(LinearSvc(), spark, folder)
+
+
+@query("ridge_bound", _BOUND)
+def ridge_bound(spark, folder):
+    return _bounded(RidgeClassifier(), spark, folder)
+
+
+@query("forest_bound", _BOUND)
+def forest_bound(spark, folder):
+    return _bounded(random_forest(key=("vec_id",)), spark, folder)
+
+
+@query("extra_bound", _BOUND)
+def extra_bound(spark, folder):
+    return _bounded(extra_trees(key=("vec_id",)), spark, folder)
+
+
+@query("lda_bound", _BOUND)
+def lda_bound(spark, folder):
+    return _bounded(DiscriminantAnalysis(), spark, folder)
+
+
+@query("importance_bound", f"{_EIGHT} SELECT 'x' || CAST(i AS VARCHAR) AS feature, i <= 2 AS counts FROM range(1, 9) r(i)")
+def importance_bound(spark, folder):
+    """Which features weigh more than an equal share: the two that the label depends on."""
+    train, _ = _signal_split(spark, folder)
+    shares = importances(spark, random_forest(key=("vec_id",)).fit(train), [f"x{i}" for i in range(1, 9)])
+    return shares.select("feature", (F.col("importance") > 0.125).alias("counts"))
+
+
+@query(
+    "kernel_bound",
+    f"""WITH s AS (SELECT vec_id, sin(8 * embedding[1]::DOUBLE) + embedding[2]::DOUBLE AS y FROM embeddings), t AS (SELECT * FROM s WHERE {_HASH.format(key='vec_id', seed=50)} >= 75)
+SELECT count(*) AS n, round_even(var_pop(y), 6) AS spread, TRUE AS better FROM t""",
+)
+def kernel_bound(spark, folder):
+    """Held-out rows, the spread of their target, and whether the model leaves at most a fifth of it."""
+    x = F.slice(F.col("embedding").cast("array<double>"), 1, 2)
+    rows = table(spark, folder, "embeddings").select("vec_id", x.alias("features"), (F.sin(8 * F.get(x, F.lit(0))) + F.get(x, F.lit(1))).alias("label"))
+    train, test = prep.hash_split(rows, "vec_id", 25, 50)
+    scored = KernelRegression(gamma=4.0, C=150.0, epsilon=0.01).fit(train).transform(test)
+    left = F.avg((F.col("label") - F.col("prediction")) ** 2)
+    return rounded(scored.agg(F.count("*").alias("n"), F.var_pop("label").alias("spread"), (left <= 0.2 * F.var_pop("label")).alias("better")), 6, "spread")
+
+
 # ---------------------------------------------------------------- schools: parts with ratings
 
 RATINGS = ["Not Meeting Target", "Approaching Target", "Meeting Target", "Exceeding Target"]

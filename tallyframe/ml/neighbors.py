@@ -49,7 +49,7 @@ def knn_regress(
     train: DataFrame, queries: DataFrame, features: str, target: str, key: str, k: int = 7,
     out: str = "prediction", pivots: int | None = None, block_rows: int | None = None,
 ) -> DataFrame:
-    """Add the mean target of the k nearest training rows to each query row; ties by the training key.
+    """Add the mean target of the k nearest training rows to each query row; ties by the training key, then the target.
 
     Every query row comes back once, whatever its key: repeated and NULL keys are rows like others.  A NULL
     vector or an empty training table gives NULL.  ``pivots`` (default: the root of the training rows) go to the
@@ -63,7 +63,7 @@ def knn_regress(
     found = _pivot_join(known, asked, k, pivots, block_rows)
     if found is None:
         return queries.withColumn(out, F.lit(None).cast("double"))
-    best = Window.partitionBy("q_key").orderBy("d", "t_key")
+    best = Window.partitionBy("q_key").orderBy("d", "t_key", "t_y")
     kept = found.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= k)
     means = kept.groupBy("q_key").agg(F.avg("t_y").alias("_mean")).join(asked, "q_key").select("q_x", "_mean")
     joined = queries.withColumn("_x", feature_array(queries, features)).join(means, F.col("_x") == F.col("q_x"), "left")
@@ -73,7 +73,7 @@ def knn_regress(
 def _pivot_join(known: DataFrame, asked: DataFrame, k: int, pivots: int | None, block_rows: int | None) -> DataFrame | None:
     """Rows (q_key, t_key, t_y, d) that contain the k nearest rows of every query; None without training rows."""
     # Of identical vectors only the k first by key can ever be among the k nearest.
-    same = Window.partitionBy("t_x").orderBy("t_key")
+    same = Window.partitionBy("t_x").orderBy("t_key", "t_y")
     useful = durable(known.withColumn("_copy", F.row_number().over(same)).where(F.col("_copy") <= k).drop("_copy"))
     n_rows = useful.count()
     if not n_rows:
@@ -132,7 +132,7 @@ def _pivot_join(known: DataFrame, asked: DataFrame, k: int, pivots: int | None,
     def compare(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(t):
             return pd.DataFrame({"q_key": q["q_key"][:0], "t_key": t["t_key"][:0], "t_y": [], "d": []})
-        t = t.sort_values("t_key", kind="stable")
+        t = t.sort_values(["t_key", "t_y"], kind="stable")
         found = list(nearest(matrix(q["q_x"]), matrix(t["t_x"]), k))
         rows = np.concatenate([r for _, r, _ in found])
         asked_rows = np.repeat([i for i, _, _ in found], [len(r) for _, r, _ in found])

@@ -2,9 +2,10 @@
 
 The training table is joined by pivots (after Lu et al. 2012): every row belongs to the cell of its nearest
 pivot; the distances of the k rows nearest to each pivot bound a query's k-th distance; by the triangle
-inequality a query needs only the cells it can reach within that bound.  There are as many pivots as a cell
-has rows on average.  Cells above some multiple of that are cut into blocks, queries of a block likewise, and
-a block sends on only the k best rows per query.  Each distinct feature vector is asked once.
+inequality, and by the planes between pivots, a query needs only the cells it can reach within that bound.
+There are as many pivots as a cell has rows on average.  Cells above some multiple of that are cut into blocks,
+queries of a block likewise, and a block sends on only the k best rows per query.  Each distinct feature vector
+is asked once.
 """
 
 from __future__ import annotations
@@ -70,19 +71,44 @@ def knn_regress(
     return joined.select(*[col(c) for c in queries.columns if c != out], F.col("_mean").alias(out))
 
 
+class Cells:
+    """What is known of the cells of training rows: pivots, largest and least distance of a row to its pivot, and the
+    distances of the k rows nearest to it."""
+
+    def __init__(self, centres: np.ndarray, radius: np.ndarray, least: np.ndarray, closest: list[np.ndarray]):
+        self.centres, self.radius, self.least = centres, radius, least
+        self.owners, self.offsets = np.repeat(np.arange(len(closest)), [len(c) for c in closest]), np.concatenate(closest)
+        self.apart = np.sqrt(squared_distances(centres, centres))
+
+    def bound(self, x: np.ndarray, k: int) -> np.ndarray:
+        """At least the distance of each query to its k-th neighbour."""
+        d = np.sqrt(squared_distances(x, self.centres))
+        bounds = d[:, self.owners] + self.offsets
+        return np.partition(bounds, min(k, bounds.shape[1]) - 1, axis=1)[:, min(k, bounds.shape[1]) - 1] * (1 + 1e-9)
+
+    def within(self, x: np.ndarray, k: int) -> np.ndarray:
+        """Which cells may hold one of the k neighbours.
+
+        The rows of a cell lie between its least and largest distance from the pivot, and on its side of the plane halfway
+        to the query's own pivot; a query is at least as far from them as from either border.
+        """
+        squares = squared_distances(x, self.centres)
+        d, own = np.sqrt(squares), squares.argmin(axis=1)
+        apart = self.apart[own]
+        plane = (squares - squares[np.arange(len(x)), own][:, None]) / np.where(apart > 0, 2 * apart, np.inf)
+        border = np.maximum(np.maximum(d - self.radius, self.least - d), plane)
+        return border - 1e-9 * d <= self.bound(x, k)[:, None]  # rows on a border are not lost to rounding
+
+
 def _pivot_join(known: DataFrame, asked: DataFrame, k: int, pivots: int | None, block_rows: int | None) -> DataFrame | None:
     """Rows (q_key, t_key, t_y, d) that contain the k nearest rows of every query; None without training rows."""
-    # Of identical vectors only the k first by key can ever be among the k nearest.
-    same = Window.partitionBy("t_x").orderBy("t_key", "t_y")
-    useful = durable(known.withColumn("_copy", F.row_number().over(same)).where(F.col("_copy") <= k).drop("_copy"))
-    n_rows = useful.count()
+    n_rows = known.count()
     if not n_rows:
         return None
     pivots = pivots or math.isqrt(n_rows) + 1
     block_rows = block_rows or max(BLOCK_ROWS, 4 * n_rows // pivots)
-
     order = F.md5(F.col("t_key").cast("string"))
-    centres = matrix(pd.Series([r["t_x"] for r in useful.orderBy(order).limit(pivots).select("t_x").collect()]))
+    centres = np.unique(matrix(pd.Series([r["t_x"] for r in known.orderBy(order).limit(pivots).select("t_x").collect()])), axis=0)
 
     @F.pandas_udf("cell int, away double")
     def place(x: pd.Series) -> pd.DataFrame:
@@ -90,29 +116,30 @@ def _pivot_join(known: DataFrame, asked: DataFrame, k: int, pivots: int | None,
         cell = d.argmin(axis=1)
         return pd.DataFrame({"cell": cell, "away": np.sqrt(d[np.arange(len(d)), cell])})
 
-    # Read several times below, so neither is worked out twice.
+    # Of identical vectors only the k first by key can ever be among the k nearest.  Read several times, so worked out once.
+    same = Window.partitionBy("t_x").orderBy("t_key", "t_y")
+    useful = known.withColumn("_copy", F.row_number().over(same)).where(F.col("_copy") <= k)
     placed = durable(useful.withColumn("p", place("t_x")).select("t_key", "t_x", "t_y", "p.cell", "p.away"))
     by_away = Window.partitionBy("cell").orderBy("away", "t_key")
     closest = (
         placed.select("cell", "away", "t_key").withColumn("_rank", F.row_number().over(by_away)).where(F.col("_rank") <= k)
         .groupBy("cell").agg(F.collect_list("away").alias("closest"))  # k numbers per cell
     )
-    cells = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("away").alias("radius")).join(closest, "cell").toPandas()
-    numbers, radius = cells["cell"].to_numpy(), cells["radius"].to_numpy()
-    owners = np.repeat(np.arange(len(cells)), cells["closest"].map(len))
-    offsets = np.concatenate(cells["closest"].to_list())
+    sizes = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("away").alias("radius"), F.min("away").alias("least"))
+    found = sizes.join(closest, "cell").toPandas()
+    numbers = found["cell"].to_numpy()
+    cells = Cells(centres[numbers], found["radius"].to_numpy(), found["least"].to_numpy(), [np.array(c) for c in found["closest"]])
 
     @F.pandas_udf("array<int>")
     def reachable(x: pd.Series) -> pd.Series:
-        d = np.sqrt(squared_distances(matrix(x), centres[numbers]))
-        bounds = d[:, owners] + offsets
-        kth = np.partition(bounds, min(k, bounds.shape[1]) - 1, axis=1)[:, min(k, bounds.shape[1]) - 1]
-        reach = d - radius <= kth[:, None] * (1 + 1e-9)
-        return pd.Series([numbers[row] for row in reach])
-
-    visits = durable(asked.withColumn("cell", F.explode(reachable("q_x"))))
-    visitors = {r["cell"]: r["n"] for r in visits.groupBy("cell").agg(F.count("*").alias("n")).collect()}
-    train_cuts = {int(c): -(-int(n) // block_rows) for c, n in zip(cells["cell"], cells["n"])}
+        return pd.Series([numbers[row] for row in cells.within(matrix(x), k)])
+
+    visits = asked.withColumn("cell", F.explode(reachable("q_x")))
+    visitors = {}
+    if asked.count() > block_rows:  # else no cell has more visitors than a block
+        visits = durable(visits)
+        visitors = {r["cell"]: r["n"] for r in visits.groupBy("cell").agg(F.count("*").alias("n")).collect()}
+    train_cuts = {int(c): -(-int(n) // block_rows) for c, n in zip(found["cell"], found["n"])}
     query_cuts = {int(c): -(-visitors.get(c, 0) // block_rows) or 1 for c in train_cuts}
 
     def cuts(table: dict[int, int]) -> Column:

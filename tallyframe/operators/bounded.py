@@ -6,15 +6,27 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions.numeric import quote
 
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 << 20  # of columns whose values have no fixed size
 
 
-def small_table(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
-    """The table as a local one if it has at most max_rows rows, else None.
+def small_table(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int | None = None) -> DataFrame | None:
+    """The table as a local one if it has at most max_rows rows and max_bytes (``BROADCAST_BYTES``) of texts, arrays
+    and the like, else None.
 
-    Reads at most max_rows + 1 rows, and what was read is not computed again by the caller's plan.
+    Such columns are measured where the rows are, before any row comes to the driver; a table without them is read at
+    once, max_rows + 1 rows at most.  What was read is not computed again by the caller's plan.
     """
+    long = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DatetimeType))]
+    if long:
+        size = F.sum(F.octet_length(F.to_json(F.struct(*[F.col(quote(c)) for c in long]))))
+        found = df.limit(max_rows + 1).agg(F.count("*").alias("n"), size.alias("size")).first()
+        if found["n"] > max_rows or (found["size"] or 0) > (BROADCAST_BYTES if max_bytes is None else max_bytes):
+            return None
     rows = df.limit(max_rows + 1).collect()
     return df.sparkSession.createDataFrame(rows, df.schema) if len(rows) <= max_rows else None
 

@@ -6,7 +6,7 @@ from support import rows_of
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tallyframe.ml.neighbors import knn_regress, nearest
+from tallyframe.ml.neighbors import Cells, knn_regress, nearest
 from tallyframe.ml.prep import hash_split, stratified_folds
 from tallyframe.operators import bounded, clean, distribution, joins, order, profile
 from tallyframe.operators.quantiles import quantiles
@@ -68,6 +68,16 @@ def test_lookup_join_without_broadcast(spark):
     assert rows_of(bounded.join_lookup(big, small, ["k"], max_rows=1)) == rows_of(bounded.join_lookup(big, small, ["k"]))
 
 
+def test_wide_lookup_rows_stay_off_the_driver(spark, monkeypatch):
+    big = spark.range(100).withColumn("k", (F.col("id") % 7).cast("string"))
+    lookup = spark.range(7).select(F.col("id").cast("string").alias("k"), F.repeat(F.lit("x"), 1000).alias("v"))
+    assert bounded.small_table(lookup, max_bytes=2000) is None and bounded.small_table(lookup).count() == 7
+    assert bounded.small_table(lookup, max_rows=6) is None and bounded.small_table(lookup.where("false")).count() == 0
+    wanted = rows_of(bounded.join_lookup(big, lookup, ["k"]))
+    monkeypatch.setattr(bounded, "BROADCAST_BYTES", 2000)
+    assert len(wanted) == 100 and rows_of(bounded.join_lookup(big, lookup, ["k"])) == wanted
+
+
 def vectors(spark, n, seed, copies=0):
     rng = np.random.default_rng(seed)
     x = np.vstack([rng.normal(size=(n, 5)), np.tile([0.1] * 5, (copies, 1))])
@@ -88,6 +98,25 @@ def test_neighbors_both_ways(spark):
     assert few == pytest.approx(expected)
 
 
+def test_cells_within_reach(spark):
+    """No cell that holds a neighbour is left out, and queries of clustered rows visit few of 39 cells."""
+    rng = np.random.default_rng(8)
+    a = np.vstack([c + rng.normal(0, 0.2, (60, 6)) for c in rng.uniform(-4, 4, (25, 6))])
+    centres = a[rng.permutation(len(a))[:39]]
+    away = np.sqrt(((a[:, None] - centres) ** 2).sum(axis=2))
+    cell = away.argmin(axis=1)
+    numbers = np.unique(cell)
+    own = [np.sort(away[cell == c, c]) for c in numbers]
+    cells = Cells(centres[numbers], np.array([o[-1] for o in own]), np.array([o[0] for o in own]), [o[:7] for o in own])
+    queries = a[::7] + rng.normal(0, 0.2, a[::7].shape)
+    reach = cells.within(queries, 7)
+    d = ((queries[:, None] - a) ** 2).sum(axis=2)
+    for i, near in enumerate(np.argsort(d, axis=1)[:, :7]):
+        assert reach[i][np.searchsorted(numbers, cell[near])].all()
+    by_radius = np.sqrt(((queries[:, None] - centres[numbers]) ** 2).sum(axis=2)) - cells.radius <= cells.bound(queries, 7)[:, None]
+    assert (reach <= by_radius).all() and reach.sum() < 0.9 * by_radius.sum() and reach.sum() < 3 * len(queries)
+
+
 @pytest.mark.parametrize("pivots", [None, 1, 5])
 def test_neighbors_of_repeated_and_null_keys(spark, pivots):
     train = spark.createDataFrame([(i, [float(i)], float(i)) for i in range(40)], "id long, x array<double>, y double")

@@ -119,6 +119,20 @@ def shard_of(key, n_shards: int):
     return F.pmod(F.xxhash64(key), F.lit(n_shards)).cast("int")
 
 
+def held_by(filters: dict[int, Cuckoo], keys: list[bytes], n_shards: int) -> np.ndarray:
+    """Which keys the filters of their shards hold."""
+    import xxhash  # on the executors too
+
+    found = np.zeros(len(keys), bool)
+    if len(keys) and filters:
+        shard = np.array([xxhash.xxh64_intdigest(k, 42) for k in keys], np.uint64).view(np.int64) % n_shards
+        low = low64(keys)
+        for s, f in filters.items():
+            mine = np.flatnonzero(shard == s)
+            found[mine] = f.has(low[mine])
+    return found
+
+
 def built(frequent: DataFrame) -> DataFrame:
     """A new filter for every shard of (shard, key)."""
 
@@ -197,54 +211,47 @@ class LineIndex:
         """Take all frequent lines out of the texts; the other lines stay, joined by \\n.
 
         Adds n_lines and n_dropped, replaces the text (a NULL text is one empty line and becomes an empty text).
-        The filters tell lines that are surely not frequent; the few keys they take for frequent though they are
-        not are found in the counts and sent along.  Filters and those keys are broadcast up to ``max_bytes``;
-        beyond, documents and frequent keys meet in a join on the key.  Both ways give the same rows.
+        The filters tell lines that are surely not frequent.  What they take for frequent is looked up in the exact counts:
+        the lines of these documents that the filters hold, each key once, less the frequent ones, are sent along as wrongly
+        found, whether they were ever counted or not.  Filters and those keys are broadcast up to ``max_bytes``; beyond,
+        documents and frequent keys meet in a join on the key.  Both ways give the same rows.
         """
         own = docs.drop("n_lines", "n_dropped")
         held = self.filters.agg(F.coalesce(F.sum(F.length("filter")), F.lit(0))).first()[0]
         if held <= max_bytes:
             shards = dict(self.filters.collect())
-            wrong = self._wrongly_found(shards)
+            wrong = self._wrongly_found(own, text, shards)
             if 64 * wrong.count() <= max_bytes:
                 return self._by_filter(own, text, shards, {bytes(r[0]) for r in wrong.collect()})
         return self._by_join(own, text)
 
-    def _wrongly_found(self, shards: dict[int, bytes]) -> DataFrame:
-        shared = self.counts.sparkSession.sparkContext.broadcast(shards)
+    def _wrongly_found(self, docs: DataFrame, text: str, shards: dict[int, bytes]) -> DataFrame:
+        """Keys of the documents' lines that the filters hold though they are not frequent."""
+        shared, n_shards = docs.sparkSession.sparkContext.broadcast(shards), self.n_shards
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             filters = {s: Cuckoo.load(f) for s, f in shared.value.items()}
             for batch in batches:
-                shard, keys = np.asarray(batch.column(0)), batch.column(1)
-                found = np.zeros(len(shard), bool)
-                low = low64(keys.to_pylist())
-                for s, f in filters.items():
-                    mine = np.flatnonzero(shard == s)
-                    found[mine] = f.has(low[mine])
-                yield pa.RecordBatch.from_arrays([keys.filter(pa.array(found))], names=["key"])
+                keys = list({k for data in utf8(batch.column(0)) for line in (data or b"").split(b"\n") if (k := digest(line))})
+                found = held_by(filters, keys, n_shards)
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()).filter(pa.array(found))], names=["key"])
 
-        return stored(self.counts.where(F.col("n") < self.least).select("shard", "key").mapInArrow(run, "key binary"))
+        hits = docs.select(F.col(text).cast("string").alias(text)).mapInArrow(run, "key binary").distinct()
+        return stored(hits.join(self.counts.where(F.col("n") >= self.least).select("key"), "key", "left_anti"))
 
     def _by_filter(self, docs: DataFrame, text: str, shards: dict[int, bytes], wrong: set[bytes]) -> DataFrame:
         shared = docs.sparkSession.sparkContext.broadcast((shards, wrong))
         n_shards, names = self.n_shards, docs.columns
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            import xxhash
-
             filters, wrong = {s: Cuckoo.load(f) for s, f in shared.value[0].items()}, shared.value[1]
             for batch in batches:
                 lines = [(data or b"").split(b"\n") for data in utf8(batch.column(names.index(text)))]
                 keys = [digest(line) for doc in lines for line in doc]
                 real = [i for i, k in enumerate(keys) if k]
                 drop = np.zeros(len(keys), bool)
-                if real and filters:
-                    shard = np.array([xxhash.xxh64_intdigest(keys[i], 42) for i in real], np.uint64).view(np.int64) % n_shards
-                    low, at = low64([keys[i] for i in real]), np.array(real)
-                    for s, f in filters.items():
-                        mine = np.flatnonzero(shard == s)
-                        drop[at[mine]] = f.has(low[mine])
+                if real:
+                    drop[real] = held_by(filters, [keys[i] for i in real], n_shards)
                     if wrong:
                         for i in np.flatnonzero(drop).tolist():
                             drop[i] = keys[i] not in wrong

@@ -7,7 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyframe.llm.linededup import Cuckoo, LineIndex
+from tallyframe.llm.linededup import Cuckoo, LineIndex, built, digest, shard_of
+from tallyframe.llm.store import stored
 
 ROWS = [(i, f"Shared line \nown {i}\n\n{'twice' if i < 4 else 'rare'} {i // 2}") for i in range(12)]
 ROWS += [(50, None), (51, ""), (52, "  SHARED LINE\t"), (53, "\n\n"), (None, "shared line\nélan"), (54, "own 54"), (54, "own 54"), (55, "x" * 50_000 + "\nshared line")]
@@ -52,6 +53,17 @@ def test_insert_and_delete_are_reversible(docs):
         back.delete(second)
 
 
+@pytest.mark.parametrize("max_bytes", [0, 64 << 20])
+def test_lines_that_a_filter_holds_by_chance_stay(spark, docs, max_bytes):
+    """Keys that were never counted, or too seldom, but meet a fingerprint: here they are put into the filters."""
+    index = LineIndex.of(docs(ROWS), least=2, n_shards=3)
+    chance = spark.createDataFrame([(digest(b"never counted"),), (digest(b"own 3"),)], "key binary")
+    chance = chance.select(shard_of(F.col("key"), 3).alias("shard"), "key")
+    filters = stored(built(index.counts.where("n >= 2").select("shard", "key").unionByName(chance)))
+    out = LineIndex(index.counts, filters, 2, 3).drop_lines(docs([(900, "Never counted\nshared line\nnew\nown 3")]), max_bytes=max_bytes)
+    assert got(out) == [(900, 4, 1, "Never counted\nnew\nown 3")]
+
+
 def test_empty_table_and_clashing_names(spark, docs):
     empty = docs(ROWS).where("false")
     assert LineIndex.of(empty).drop_lines(empty).count() == 0

@@ -477,7 +477,9 @@ class ForestModel(Model, _Forest):
                 yield sums((r["tree"], read_tree(r, k)) for r in batch.to_dict("records"))
 
         schema = "tree int, gain array<double>"
-        tops = self.nodes.sparkSession.createDataFrame(sums((t, tree.arrays()) for t, tree in self.tops.items()), schema)
+        held = sums((t, tree.arrays()) for t, tree in self.tops.items())
+        plain = [(int(t), gain.tolist()) for t, gain in zip(held["tree"], held["gain"])]  # numpy numbers only pass through Arrow
+        tops = self.nodes.sparkSession.createDataFrame(plain, schema)
         gains = self.nodes.mapInPandas(run, schema).unionByName(tops).select("tree", array_to_vector("gain").alias("gain"))
         whole = gains.groupBy("tree").agg(Summarizer.sum(F.col("gain")).alias("gain")).select(vector_to_array("gain").alias("gain"))
         total = F.aggregate("gain", F.lit(0.0), lambda a, b: a + b)

@@ -93,6 +93,20 @@ def test_naive_bayes_with_any_labels(blobs):
     assert values["importance"].sum() == pytest.approx(1) and values.set_index("feature")["importance"].idxmin() == "d"
 
 
+def test_importances_without_arrow(blobs):
+    df = blobs[0]
+    name = "spark.sql.execution.arrow.pyspark.enabled"
+    before = df.sparkSession.conf.get(name)
+    model = trees.random_forest(trees=3).fit(df)
+    with_arrow = dict(map(tuple, importances(df.sparkSession, model, list("abcd")).collect()))
+    try:
+        df.sparkSession.conf.set(name, "false")
+        without = dict(map(tuple, importances(df.sparkSession, model, list("abcd")).collect()))
+    finally:
+        df.sparkSession.conf.set(name, before)
+    assert without == pytest.approx(with_arrow) and sum(without.values()) == pytest.approx(1)
+
+
 def node_table(model):
     """(tree, node id, feature, cut) of every split, from both phases."""
     k, found = len(model.labels), set()

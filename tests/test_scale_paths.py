@@ -1,11 +1,14 @@
 """The ways taken beyond a size limit give the same results as the ways below it."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from support import rows_of
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tallyframe.ml import neighbors
 from tallyframe.ml.neighbors import Cells, knn_regress, nearest
 from tallyframe.ml.prep import hash_split, stratified_folds
 from tallyframe.operators import bounded, clean, distribution, joins, order, profile
@@ -137,6 +140,36 @@ def test_neighbors_of_a_tiny_table(spark):
     assert [list(r) for _, r, _ in nearest(np.zeros((1, 2)), np.ones((3, 2)), 2)] == [[0, 1]]
 
 
+def test_nearest_of_many_features_by_products():
+    """Products only choose candidates: order, ties and distances are those of sums of squares, also far from the origin."""
+    rng = np.random.default_rng(4)
+    b = rng.integers(0, 3, (400, 20)) + np.where(np.arange(400) % 2, 1e6, 0.0)[:, None]
+    a = np.vstack([b[:30], rng.normal(size=(30, 20))])
+    i, j, d = neighbors.nearest_pairs(a, b, 9)
+    exact = neighbors.squared_distances(a, b)
+    for row in range(len(a)):
+        want = np.lexsort((np.arange(len(b)), exact[row]))[:9]
+        assert j[i == row].tolist() == want.tolist() and d[i == row].tolist() == exact[row][want].tolist()
+
+
+def test_query_comes_to_a_block_once(spark):
+    """Features without clusters: every query needs every cell, yet sends k rows on from each block, not from each cell."""
+    rng = np.random.default_rng(5)
+    known = spark.createDataFrame([(i, v.tolist(), float(i)) for i, v in enumerate(rng.normal(size=(900, 12)))], "t_key long, t_x array<double>, t_y double")
+    asked = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(40, 12)))], "q_key long, q_x array<double>")
+    assert neighbors._pivot_join(known, asked, 7, None, None).count() == 40 * 7
+    assert neighbors._pivot_join(known, asked, 7, None, 100).count() <= 40 * 7 * 20
+
+
+def test_bound_takes_memory_for_pivots_only():
+    cells = Cells(np.arange(1000.0)[:, None], np.ones(1000), np.zeros(1000), [np.linspace(0, 1, 7)] * 1000)
+    tracemalloc.start()
+    got = cells.bound(np.arange(2000.0)[:, None] / 2, 7)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6 and (got >= 0).all() and got.max() <= 501
+
+
 def test_folds_are_even_and_stable(spark):
     df = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 4 > 0, F.concat(F.lit("c"), F.col("id") % 4)).alias("label"))
     folds = stratified_folds(df, "label", "id", 15)

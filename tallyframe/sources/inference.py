@@ -20,6 +20,7 @@ POINT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)$"
 FLOAT = r"^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)$"
 DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 MOMENT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?)?$"
+ENDS = "\r\n\u0085\u2028\u2029"  # that may follow the last digit, as patterns read them
 SAFE_DIGITS = 15  # that a double holds of any decimal number
 
 
@@ -30,9 +31,26 @@ def present(name: str) -> Column:
 
 
 def _digits(value: Column) -> tuple[Column, Column]:
-    """Digits before the point, without leading zeros, and after it."""
-    whole = F.regexp_replace(F.regexp_extract(value, r"^[+-]?([0-9]*)", 1), "^0+", "")
-    return F.length(whole), F.length(F.regexp_extract(value, r"\.([0-9]*)$", 1))
+    """Digits of a number before the point, without leading zeros, and after it."""
+    value = F.rtrim(value, F.lit(ENDS))
+    point = F.instr(value, ".")
+    whole = F.length(F.ltrim(F.substring_index(value, ".", 1), F.lit("+-0")))
+    return whole, F.when(point > 0, F.length(value) - point).otherwise(0)
+
+
+def _tests(value: Column) -> dict[str, Column]:
+    """What one value can be; a number is no word or date, so each pattern is tried once, and only where it may match."""
+    number = F.col("number")
+    whole = number & ~F.contains(value, F.lit(".")) & (F.length(F.trim(value, F.lit("+-" + ENDS))) <= 38)
+    before, after = _digits(value)
+    return {
+        "boolean": ~number & F.lower(value).isin("true", "false"),
+        "whole": whole, "long": whole & value.try_cast("bigint").isNotNull(),
+        "point": number, "float": number | value.rlike(FLOAT),
+        "date": ~number & value.rlike(DATE) & value.try_cast("date").isNotNull(),
+        "moment": ~number & value.rlike(MOMENT) & value.try_cast("timestamp_ntz").isNotNull(),
+        "before": F.when(number, before), "after": F.when(number, after), "digits": F.when(number, before + after),
+    }
 
 
 def find_types(text: DataFrame, names: Sequence[str]) -> T.StructType:
@@ -41,31 +59,15 @@ def find_types(text: DataFrame, names: Sequence[str]) -> T.StructType:
     Whole numbers are long, or decimal beyond 64 bits, so ids keep every digit.  Numbers with a point are double, or decimal
     if some have more digits than a double holds and all fit into 38.
     """
-    def all_of(test: Column) -> Column:
-        return F.min(F.when(test, 1).otherwise(0))
-
-    aggs = []
-    for i, name in enumerate(names):
-        v = F.col(f"v{i}")
-        before, after = _digits(v)
-        known = v.isNotNull()
-        tests = {
-            "n": F.count(v),
-            "boolean": all_of(F.when(known, F.lower(v).isin("true", "false")).otherwise(True)),
-            "whole": all_of(F.when(known, v.rlike(WHOLE)).otherwise(True)),
-            "long": all_of(F.when(known, F.expr(f"try_cast(v{i} AS BIGINT)").isNotNull() & v.rlike(WHOLE)).otherwise(True)),
-            "point": all_of(F.when(known, v.rlike(POINT)).otherwise(True)),
-            "float": all_of(F.when(known, v.rlike(FLOAT)).otherwise(True)),
-            "date": all_of(F.when(known, v.rlike(DATE) & F.expr(f"try_cast(v{i} AS DATE)").isNotNull()).otherwise(True)),
-            "moment": all_of(F.when(known, v.rlike(MOMENT) & F.expr(f"try_cast(v{i} AS TIMESTAMP_NTZ)").isNotNull()).otherwise(True)),
-            "before": F.max(F.when(v.rlike(POINT), before)), "after": F.max(F.when(v.rlike(POINT), after)),
-            "digits": F.max(F.when(v.rlike(POINT), before + after)),
-        }
-        aggs.append(F.struct(*[c.alias(k) for k, c in tests.items()]).alias(f"c{i}"))
-    row = text.select(*[present(n).alias(f"v{i}") for i, n in enumerate(names)]).agg(*aggs).first()
+    # One row per value, so that the code Spark generates stays small enough to be compiled, whatever the number of columns.
+    values = text.select(F.posexplode(F.array(*[present(n) for n in names])).alias("at", "v")).where("v is not null")
+    tested = values.withColumn("number", F.col("v").rlike(POINT)).select("at", *[c.alias(t) for t, c in _tests(F.col("v")).items()])
+    counts = ("before", "after", "digits")
+    aggs = [F.max(c).alias(c) if c in counts else F.bool_and(c).alias(c) for c in tested.columns[1:]]
+    found = {r["at"]: r for r in tested.groupBy("at").agg(*aggs).collect()}  # one row per column
 
     def kind(r) -> T.DataType:
-        if not r["n"]:
+        if r is None:
             return T.StringType()
         if r["boolean"]:
             return T.BooleanType()
@@ -81,7 +83,7 @@ def find_types(text: DataFrame, names: Sequence[str]) -> T.StructType:
             return T.DateType()
         return T.TimestampNTZType() if r["moment"] else T.StringType()
 
-    return T.StructType([T.StructField(n, kind(row[f"c{i}"])) for i, n in enumerate(names)])
+    return T.StructType([T.StructField(n, kind(found.get(i))) for i, n in enumerate(names)])
 
 
 def typed(text: DataFrame, schema: T.StructType) -> DataFrame:

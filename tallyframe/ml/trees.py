@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -26,14 +27,17 @@ from pyspark.sql import functions as F
 
 from ..operators.bounded import join_lookup
 from ..session import durable
-from .moments import class_labels, feature_array, matrix, width
+from .moments import class_labels, feature_array, width
 
 SMALL = 50_000  # rows of a node that one task finishes, and of a block that one task scores
 MOST_OPEN = 20_000  # nodes of the first phase at a time; more trees wait
 MOST_NODES = 2_000_000  # nodes of the first phase in all, which the driver holds
 STEPS = 64  # cuts tried per feature in the first phase: equal steps of the node's range
 BUNDLES = 32
+BLOCK_ROWS, BLOCK_BYTES = 1 << 16, 1 << 25  # rows, and bytes of their features, that a task looks at together
+FEW_PARTS, MOST_PARTS, PART_ROWS = 64, 4096, 25_000  # partitions that units of work are dealt to, and rows of one
 LEAF, DEALT = -1, -2  # in place of a feature
+ARROW = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "binary": pa.binary(), "array<double>": pa.list_(pa.float64())}
 
 # The Poisson distribution of mean 1, how often a row is drawn into a tree.
 POISSON = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(20)])
@@ -116,107 +120,231 @@ class Tree:
         }
 
 
-def leaves(tree: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
-    """The place of the node where each row ends."""
-    at, moving = np.zeros(len(x), np.int64), np.arange(len(x))
+def leaves(tree: dict[str, np.ndarray], x: np.ndarray, rows: np.ndarray | None = None) -> np.ndarray:
+    """The place of the node where each row ends, or each of some rows."""
+    rows = np.arange(len(x)) if rows is None else rows
+    at, moving = np.zeros(len(rows), np.int64), np.arange(len(rows))
     while len(moving):
         f = tree["feature"][at[moving]]
         moving, f = moving[f >= 0], f[f >= 0]
         here = at[moving]
-        at[moving] = tree["left"][here] + (x[moving, f] > tree["cut"][here])
+        at[moving] = tree["left"][here] + (x[rows[moving], f] > tree["cut"][here])
     return at
 
 
-def grow(root: np.uint64, x: np.ndarray, y: np.ndarray, w: np.ndarray, spec: dict) -> dict[str, np.ndarray]:
-    """The whole subtree under a node from all its rows, level by level over all open nodes at once."""
-    tree, k, m = Tree(root, spec["classes"]), spec["classes"], spec["m"]
-    rows, open_nodes = np.flatnonzero(w > 0), np.array([0])
-    seg = np.zeros(len(rows), np.int64)  # of each row its place in open_nodes
-    while len(open_nodes) and len(rows):
-        n = len(open_nodes)
-        order = np.argsort(seg, kind="stable")
-        rows, seg = rows[order], seg[order]
-        starts = np.searchsorted(seg, np.arange(n))
+class Columns:
+    """The features of some rows one after the other, and of every value its rank in its feature (equal values share one)."""
+
+    def __init__(self, x: np.ndarray, ranks: bool):
+        self.n, self.x, self.ranks = len(x), np.ascontiguousarray(x.T).ravel(), None
+        self.gaps = bool(np.isnan(self.x).any())
+        if ranks:
+            self.ranks = np.empty(x.shape[::-1], np.int32)
+            for rank, column in zip(self.ranks, self.x.reshape(x.shape[::-1])):
+                order = np.argsort(column)
+                inside = column[order]
+                rank[order] = np.cumsum(np.append(False, inside[1:] > inside[:-1])[: len(inside)])
+            self.ranks = self.ranks.ravel()
+
+
+def grow(root: np.uint64, x: np.ndarray | Columns, y: np.ndarray, w: np.ndarray, spec: dict) -> dict[str, np.ndarray]:
+    """The whole subtree under a node from all its rows, level by level over all open nodes at once.
+
+    A node looks at its features in the order of their draws until it has tried as many as it should that are not constant.
+    """
+    x = x if isinstance(x, Columns) else Columns(x, not spec["extra"])
+    k, m, d = spec["classes"], spec["m"], spec["d"]
+    rows, ids, made = np.flatnonzero(w > 0), np.array([root], np.uint64), 1
+    seg = np.zeros(len(rows), np.int64)  # of each row the place of its node in ids
+    levels = []
+    while len(ids):
+        n = len(ids)
+        if n > 1:
+            order = np.argsort(seg.astype(np.uint16) if n <= 1 << 16 else seg, kind="stable")
+            rows, seg = rows[order], seg[order]
         totals = np.bincount(seg * k + y[rows], weights=w[rows], minlength=n * k).reshape(n, k)
-        for at, value in zip(open_nodes, totals):
-            tree.value[at] = value
-        low, high = np.minimum.reduceat(x[rows], starts), np.maximum.reduceat(x[rows], starts)
-        ids = np.array([tree.ids[i] for i in open_nodes], np.uint64)
-        tried, draws = candidates(ids, low, high, m)
-        tried[(totals > 0).sum(axis=1) < 2] = -1
         best, feature, cut = np.full(n, -np.inf), np.full(n, -1), np.zeros(n)
-        for j in range(tried.shape[1]):
-            f = tried[:, j]
-            on = f[seg] >= 0
-            r, s = rows[on], seg[on]
-            if not len(r):
-                continue
-            v = x[r, f[s]]
-            if spec["extra"]:
-                cuts = random_cuts(draws[:, j], low[np.arange(n), f], high[np.arange(n), f])
-                below = np.bincount((s * k + y[r])[v <= cuts[s]], weights=w[r][v <= cuts[s]], minlength=n * k).reshape(n, k)
-                score = np.where(f >= 0, purity(below) + purity(totals - below), -np.inf)
-            else:
-                score, cuts = _best_cuts(v, s, y[r], w[r], totals, n, k)
-            better = score > best
-            best, feature, cut = np.where(better, score, best), np.where(better, f, feature), np.where(better, cuts, cut)
-        made, where = [], np.full(n, -1)
-        for i in np.flatnonzero(feature >= 0):
-            where[i] = len(made)
-            at = tree.split(int(open_nodes[i]), int(feature[i]), float(cut[i]), float(best[i] - purity(totals[i])))
-            made += [at, at + 1]
+        looking = np.flatnonzero((totals > 0).sum(axis=1) > 1)  # nodes that still look for features
+        draws = feature_draws(ids[looking], d)
+        wanted = np.argsort(draws, axis=1)
+        left_to_try, r, s = np.full(len(looking), m), rows, np.full(n, -1)
+        s[looking] = np.arange(len(looking))
+        s = s[seg]
+        if len(looking) < n:
+            r, s = r[s >= 0], s[s >= 0]
+        for place in range(d):
+            if not len(looking):
+                break
+            f = wanted[:, place]
+            at = f[s] * x.n + r
+            v = x.x[at] if spec["extra"] else x.ranks[at]
+            starts = np.searchsorted(s, np.arange(len(looking)))
+            low, high = np.minimum.reduceat(v, starts), np.maximum.reduceat(v, starts)
+            use = taken = low < high
+            if x.gaps:  # a feature with a missing number counts as tried, but its ranks say nothing
+                missing = np.isnan(np.maximum.reduceat(x.x[at], starts))
+                use, taken = use & ~missing, taken | missing
+            if use.any():
+                nodes = looking[use]
+                if use.all():
+                    ru, su, vu, low_u, high_u, d_u = r, s, v, low, high, draws[np.arange(len(f)), f]
+                else:
+                    on = use[s]
+                    ru, su, vu, low_u, high_u, d_u = r[on], (np.cumsum(use) - 1)[s[on]], v[on], low[use], high[use], draws[use, f[use]]
+                if spec["extra"]:
+                    cuts = random_cuts(d_u, low_u, high_u)
+                    side = vu <= cuts[su]
+                    below = np.bincount((su * k + y[ru])[side], weights=w[ru[side]], minlength=len(nodes) * k).reshape(-1, k)
+                    score = purity(below) + purity(totals[nodes] - below)
+                else:
+                    score, lower, upper = _best_cuts(vu, su, y[ru], w[ru], totals[nodes])
+                    v0, v1 = x.x[f[use] * x.n + ru[lower]], x.x[f[use] * x.n + ru[upper]]
+                    cuts = (v0 + v1) / 2
+                    cuts = np.where(cuts < v1, cuts, v0)
+                better = score > best[nodes]
+                best[nodes[better]], feature[nodes[better]], cut[nodes[better]] = score[better], f[use][better], cuts[better]
+            left_to_try -= taken
+            if not left_to_try.all():
+                go = left_to_try > 0
+                on = go[s]
+                r, s = r[on], (np.cumsum(go) - 1)[s[on]]
+                looking, draws, wanted, left_to_try = looking[go], draws[go], wanted[go], left_to_try[go]
+        split = np.flatnonzero(feature >= 0)
+        left, gain = np.zeros(n, np.int32), np.zeros(n)
+        left[split] = made + 2 * np.arange(len(split))
+        gain[split] = best[split] - purity(totals[split])
+        levels.append((feature.astype(np.int32), cut, left, totals, gain))
+        made += 2 * len(split)
         stay = feature[seg] >= 0
         rows, seg = rows[stay], seg[stay]
-        seg = where[seg] + (x[rows, feature[seg]] > cut[seg])
-        open_nodes = np.array(made, np.int64)
-    return tree.arrays()
+        where = np.zeros(n, np.int64)
+        where[split] = 2 * np.arange(len(split))
+        seg = where[seg] + (x.x[feature[seg] * x.n + rows] > cut[seg])
+        ids = np.stack(children_of(ids[split]), axis=1).ravel() if len(split) else ids[:0]
+    return dict(zip(("feature", "cut", "left", "value", "gain"), (np.concatenate(a) for a in zip(*levels))))
+
+
+def _in_order(*keys: np.ndarray) -> np.ndarray:
+    """The places of rows sorted by whole numbers from 0, the first one first; ties keep their order."""
+    held, bits = np.zeros(len(keys[0]), np.int64), 0
+    last = np.arange(len(held))
+    for key in (*keys, last):
+        width = int(key.max()).bit_length()
+        bits += width
+        if bits > 63:
+            return np.lexsort(keys[::-1])
+        held = (held << width) | key
+    held.sort()
+    return held & ((1 << int(last[-1]).bit_length()) - 1)
+
+
+def _best_cuts(v: np.ndarray, s: np.ndarray, y: np.ndarray, w: np.ndarray, totals: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every node the score of the best cut between two neighbouring ranks of its feature (the first of equals), and the
+    places of a row on either side of it.  Every node has two ranks at least.
+
+    With l of a class before a row and t of it in the node, the squares before the cut grow by w (2 l + w), those after it
+    shrink by w (2 (t - l) - w).  Weights are whole, so all sums are exact.
+    """
+    n, k = totals.shape
+    order = _in_order(s, v)
+    v, s, y, w = v[order], s[order], y[order], w[order]
+    group = s * k + y
+    by_class = _in_order(group)
+    own = w[by_class]
+    upto = np.cumsum(own)
+    first = np.flatnonzero(np.append(True, np.diff(group[by_class]) > 0))
+    before = np.empty(len(v))
+    before[by_class] = upto - own - np.repeat((upto - own)[first], np.diff(np.append(first, len(v))))
+    starts = np.searchsorted(s, np.arange(n))
+    border = np.flatnonzero((s[1:] == s[:-1]) & (v[1:] > v[:-1]))
+    node = s[border]
 
+    def inside(each: np.ndarray) -> np.ndarray:
+        sums = np.cumsum(each)
+        return sums[border] - np.append(0.0, sums)[starts][node]
 
-def _best_cuts(v: np.ndarray, s: np.ndarray, y: np.ndarray, w: np.ndarray, totals: np.ndarray, n: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """For every node the best cut between two neighbouring values of its feature (the first of equals), and its score."""
-    order = np.lexsort((v, s))
-    v, s = v[order], s[order]
-    each = np.zeros((len(v), k))
-    each[np.arange(len(v)), y[order]] = w[order]
-    starts = np.searchsorted(s, np.arange(n))
-    sums = np.cumsum(each, axis=0)
-    before = np.vstack([np.zeros(k), sums])[starts]
-    below = sums - before[s]
-    border = np.append((s[1:] == s[:-1]) & (v[1:] > v[:-1]), False)
-    at = np.flatnonzero(border)
-    score, cut = np.full(n, -np.inf), np.zeros(n)
-    if len(at):
-        here = np.round(purity(below[at]) + purity(totals[s[at]] - below[at]), 9)
-        pick = np.lexsort((np.arange(len(at)), -here, s[at]))
-        first = pick[np.flatnonzero(np.append(True, s[at][pick][1:] != s[at][pick][:-1]))]
-        middle = (v[at[first]] + v[at[first] + 1]) / 2
-        node = s[at[first]]
-        score[node], cut[node] = here[first], np.where(middle < v[at[first] + 1], middle, v[at[first]])
-    return score, cut
+    weight, squares, crossed = inside(w), inside(w * (2 * before + w)), inside(w * totals.ravel()[group])
+    whole, whole_squares = totals.sum(axis=1)[node], (totals**2).sum(axis=1)[node]
+    score = np.round(squares / weight + (whole_squares - 2 * crossed + squares) / (whole - weight), 9)
+    starts = np.searchsorted(node, np.arange(n))
+    top = np.maximum.reduceat(score, starts)
+    hits = np.flatnonzero(score == top[node])
+    at = border[hits[np.searchsorted(node[hits], np.arange(n))]]
+    return top, order[at], order[at + 1]
 
 
 # ---------------------------------------------------------------- first phase: sums over the table
 
 
+def _numbers(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    return column.to_numpy() if isinstance(column, pa.ChunkedArray) else column.to_numpy(zero_copy_only=False)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], d: int) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows with features ``x`` in tables of bounded size, each with its feature matrix."""
+    most, held, n = max(1, min(BLOCK_ROWS, BLOCK_BYTES // (8 * max(d, 1)))), [], 0
+
+    def block() -> tuple[pa.Table, np.ndarray]:
+        table = pa.Table.from_batches(held)
+        values = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in table["x"].chunks])
+        return table, values.reshape(n, d).astype(np.float64, copy=False)
+
+    for batch in batches:
+        for start in range(0, batch.num_rows, most):
+            held.append(batch.slice(start, most))
+            n += held[-1].num_rows
+            if n >= most:
+                yield block()
+                held, n = [], 0
+    if n:
+        yield block()
+
+
+def _packed(x: np.ndarray) -> pa.Array:
+    """Feature rows as bytes; in half of them where single precision loses nothing."""
+    half = x.astype(np.float32)
+    x = half if np.array_equal(half, x, equal_nan=True) else x
+    ends = np.arange(len(x) + 1, dtype=np.int32) * (x.shape[1] * x.itemsize)
+    return pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(x))])
+
+
+def _unpacked(column: pa.ChunkedArray, d: int) -> np.ndarray:
+    out, at = np.empty((len(column), d)), 0
+    for chunk in column.chunks:
+        rows = chunk.to_pylist()
+        half = np.fromiter(map(len, rows), np.int64, len(rows)) == 4 * d
+        mine = out[at : at + len(rows)]
+        mine[half] = np.frombuffer(b"".join(r for r, h in zip(rows, half) if h), np.float32).reshape(-1, d)
+        mine[~half] = np.frombuffer(b"".join(r for r, h in zip(rows, half) if not h), np.float64).reshape(-1, d)
+        at += len(rows)
+    return out
+
+
 def _per_node(rows: DataFrame, tops: dict[int, dict[str, np.ndarray]], spec: dict, add, finish, schema: str) -> DataFrame:
     """Fold the rows of every open node (feature DEALT, gain 1) of every tree in each task: rows of ``schema``."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[int, int], object] = {}
-        for batch in batches:
-            x, y, h, fold = matrix(batch["x"]), batch["y"].to_numpy(), batch["h"].to_numpy().view(np.uint64), batch["fold"].to_numpy()
+        for block, x in _blocks(batches, spec["d"]):
+            y, h, fold = _numbers(block["y"]), _numbers(block["h"]).view(np.uint64), _numbers(block["fold"])
             for tree, top in tops.items():
                 w = row_weights(h, fold, tree, spec)
-                at = leaves(top, x)
-                use = np.flatnonzero((w > 0) & (top["gain"][at] > 0))
-                use = use[np.argsort(at[use], kind="stable")]
-                for part in np.split(use, np.flatnonzero(np.diff(at[use])) + 1) if len(use) else []:
-                    key = (tree, int(at[part[0]]))
+                use = np.flatnonzero(w > 0)
+                at = leaves(top, x, use)
+                on = top["gain"][at] > 0
+                use, at = use[on], at[on]
+                order = np.argsort(at.astype(np.uint16) if len(top["gain"]) <= 1 << 16 else at, kind="stable")
+                use, at = use[order], at[order]
+                ends = np.append(np.flatnonzero(np.diff(at)) + 1, len(at))
+                for start, end in zip(np.append(0, ends), ends) if len(use) else ():
+                    key, part = (tree, int(at[start])), use[start:end]
                     held[key] = add(held.get(key), key, x[part], y[part], w[part])
         if held:
-            yield pd.DataFrame([(*key, *finish(value)) for key, value in held.items()], columns=[c.split()[0] for c in schema.split(", ")])
+            columns = zip(*[(*key, *finish(value)) for key, value in held.items()])
+            fields = [c.split() for c in schema.split(", ")]
+            yield pa.RecordBatch.from_arrays([pa.array(c, ARROW[kind]) for c, (_, kind) in zip(columns, fields)], [name for name, _ in fields])
 
-    return rows.mapInPandas(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def _open_view(trees: dict[int, Tree], open_nodes: dict[int, list[int]]) -> dict[int, dict[str, np.ndarray]]:
@@ -298,41 +426,54 @@ def read_tree(record, n_classes: int) -> dict[str, np.ndarray]:
     return out | {"value": out["value"].reshape(-1, n_classes)}
 
 
-def _subtrees(rows: DataFrame, tops: dict[int, Tree], n_trees: int, spec: dict) -> DataFrame:
+def _in_parts(rows: DataFrame, units: int, copies: int, *by: str) -> DataFrame:
+    """Units of work on so many rows, dealt to partitions that adaptive execution leaves apart however few bytes they have."""
+    return rows.repartition(max(1, min(2 * units, max(FEW_PARTS, min(copies // PART_ROWS, MOST_PARTS)))), *by)
+
+
+def _subtrees(rows: DataFrame, tops: dict[int, Tree], n: int, spec: dict) -> DataFrame:
     """One row per finished subtree.  Trees whose root is dealt come in bundles of one copy of the rows."""
     whole = [t for t, tree in tops.items() if tree.feature[0] == DEALT]
     deep = {t: tree.arrays() for t, tree in tops.items() if tree.feature[0] >= 0}
-    fields = "unit string, tree int, start int, h long, x array<double>, y int, fold int"
+    fields = [c.split() for c in "unit string, tree int, start int, h long, x binary, y int, fold int".split(", ")]
     bundles = min(BUNDLES, len(whole))
 
-    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if not len(batch):
-                continue
+    def sent(block: pa.Table, x: pa.Array, unit: pa.Array, tree: int, start: np.ndarray) -> Iterator[pa.RecordBatch]:
+        tree = pa.array(np.full(len(start), tree, np.int32))
+        columns = [unit, tree, pa.array(start.astype(np.int32)), block["h"], x, block["y"], block["fold"]]
+        yield from pa.table([pa.chunked_array([c]) if isinstance(c, pa.Array) else c for c in columns], [name for name, _ in fields]).combine_chunks().to_batches()
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, x in _blocks(batches, spec["d"]):
+            h, fold = _numbers(block["h"]).view(np.uint64), _numbers(block["fold"])
+            packed = _packed(x)
             for b in range(bundles):
-                yield batch.assign(unit=f"b{b}", tree=-1, start=0)[["unit", "tree", "start", "h", "x", "y", "fold"]]
-            x, h, fold = matrix(batch["x"]), batch["h"].to_numpy().view(np.uint64), batch["fold"].to_numpy()
+                yield from sent(block, packed, pa.array([f"b{b}"] * len(x)), -1, np.zeros(len(x)))
             for t, top in deep.items():
-                at = leaves(top, x)
-                use = (row_weights(h, fold, t, spec) > 0) & (top["feature"][at] == DEALT)
-                if use.any():
-                    out = batch[use].assign(tree=t, start=at[use], unit=[f"{t}/{a}" for a in at[use]])
-                    yield out[["unit", "tree", "start", "h", "x", "y", "fold"]]
+                use = np.flatnonzero(row_weights(h, fold, t, spec) > 0)
+                at = leaves(top, x, use)
+                on = top["feature"][at] == DEALT
+                use, at = use[on], at[on]
+                if len(use):
+                    places = pa.array(use)
+                    yield from sent(block.select(["h", "y", "fold"]).take(places), packed.take(places), pa.array([f"{t}/{a}" for a in at.tolist()]), t, at)
 
     ids = {t: np.array(tree.ids, np.uint64) for t, tree in tops.items()}
 
-    def finish(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("h", kind="stable")  # sums in one order whatever the shuffle did
-        x, y, h, fold = matrix(group["x"]), group["y"].to_numpy(), group["h"].to_numpy().view(np.uint64), group["fold"].to_numpy()
-        unit, tree, start = group["unit"].iloc[0], int(group["tree"].iloc[0]), int(group["start"].iloc[0])
+    def finish(group: pa.Table) -> pa.Table:
+        y, h, fold = _numbers(group["y"]), _numbers(group["h"]).view(np.uint64), _numbers(group["fold"])
+        unit, tree, start = group["unit"][0].as_py(), group["tree"][0].as_py(), group["start"][0].as_py()
+        x = Columns(_unpacked(group["x"], spec["d"]), not spec["extra"])
         jobs = [(t, 0) for i, t in enumerate(whole) if i % bundles == int(unit[1:])] if tree < 0 else [(tree, start)]
         out = []
         for t, at in jobs:
             made = grow(ids[t][at], x, y, row_weights(h, fold, t, spec), spec)
             out.append((unit, t, at, *[made[name].astype(kind).tobytes() for name, kind in TYPES.items()]))
-        return pd.DataFrame(out, columns=[c.split()[0] for c in SUBTREES.split(", ")])
+        kinds = [c.split() for c in SUBTREES.split(", ")]
+        return pa.table([pa.array(c, ARROW[kind]) for c, (_, kind) in zip(zip(*out), kinds)], [name for name, _ in kinds])
 
-    return rows.mapInPandas(deal, fields).groupBy("unit").applyInPandas(finish, SUBTREES)
+    units = bundles + sum(int((top["feature"] == DEALT).sum()) for top in deep.values())
+    return _in_parts(rows.mapInArrow(deal, ", ".join(" ".join(f) for f in fields)), units, n * (bundles + len(deep)), "unit").groupBy("unit").applyInArrow(finish, SUBTREES)
 
 
 class _Forest(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasSeed):
@@ -372,12 +513,12 @@ class Forest(Estimator, _Forest):
             tops = {t: Tree(root_of(spec["seed"], t), len(labels)) for t in range(total)}
             for tree in tops.values():
                 tree.feature[0] = DEALT
-            parts.append(durable(_subtrees(rows, tops, total, spec)))
+            parts.append(durable(_subtrees(rows, tops, n, spec)))
         else:
             for start in range(0, total, at_once):
                 made = _grow_tops(rows, list(range(start, min(total, start + at_once))), spec, small)
                 tops |= made
-                parts.append(durable(_subtrees(rows, made, total, spec).withColumn("unit", F.concat(F.lit(f"{start}:"), "unit"))))
+                parts.append(durable(_subtrees(rows, made, n, spec).withColumn("unit", F.concat(F.lit(f"{start}:"), "unit"))))
         nodes = parts[0]
         for part in parts[1:]:
             nodes = nodes.unionByName(part)
@@ -400,51 +541,65 @@ class ForestModel(Model, _Forest):
         spec, k, block = self.spec, len(self.labels), self.getOrDefault("small")
         units, small_roots = self.units, sorted({u for (t, _), u in self.units.items() if self.tops[t].feature[0] == DEALT})
         deep = {t: tree.arrays() for t, tree in self.tops.items() if tree.feature[0] != DEALT}
-        fields = "unit string, tree int, start int, id long, x array<double>, fold int, vote array<double>"
-        names = [c.split()[0] for c in fields.split(", ")]
+        fields = [c.split() for c in "unit string, tree int, start int, id long, x binary, fold int, vote array<double>".split(", ")]
+        own = spec["trees"]
 
         def share(value: np.ndarray) -> np.ndarray:
             return value / np.maximum(value.sum(axis=-1, keepdims=True), 1e-300)
 
-        def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                if not len(batch):
-                    continue
+        def lists(value: np.ndarray) -> pa.Array:
+            return pa.ListArray.from_arrays(pa.array(np.arange(len(value) + 1, dtype=np.int32) * k), pa.array(value.ravel()))
+
+        def sent(n: int, unit, tree: int, start, ids: pa.Array, x: pa.Array | None, fold: pa.Array, vote: pa.Array | None) -> pa.RecordBatch:
+            columns = [pa.array(unit, pa.string()), pa.array(np.full(n, tree, np.int32)), pa.array(start, pa.int32()), ids, x, fold, vote]
+            return pa.RecordBatch.from_arrays([pa.nulls(n, ARROW[kind]) if c is None else c for c, (_, kind) in zip(columns, fields)], [name for name, _ in fields])
+
+        def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for block, x in _blocks(batches, spec["d"]):
+                n, fold, packed = len(x), _numbers(block["fold"]), _packed(x)
+                ids, folds = (block[name].combine_chunks() for name in ("id", "fold"))
                 for unit in small_roots:
-                    yield batch.assign(unit=unit, tree=-1, start=0, vote=None)[names]
-                x, fold = matrix(batch["x"]), batch["fold"].to_numpy()
+                    yield sent(n, [unit] * n, -1, np.zeros(n, np.int32), ids, packed, folds, None)
+                mine_of = {f: np.flatnonzero(fold == f) for f in range(spec["folds"])}
+                ended = np.zeros((n, k))  # of all trees whose first phase ends a row
                 for t, top in deep.items():
-                    mine = np.flatnonzero(fold == t // spec["trees"]) if spec["folds"] else np.arange(len(batch))
-                    at = leaves(top, x[mine])
+                    mine = mine_of[t // own] if spec["folds"] else np.arange(n)
+                    at = leaves(top, x, mine)
                     done = top["feature"][at] == LEAF
-                    if done.any():
-                        ended = batch.iloc[mine[done]]
-                        yield ended.assign(unit=None, tree=t, start=0, x=None, vote=list(share(top["value"][at[done]])))[names]
+                    ended[mine[done]] += share(top["value"][at[done]])
                     if not done.all():
-                        moving = batch.iloc[mine[~done]]
-                        yield moving.assign(unit=[units[t, a] for a in at[~done]], tree=t, start=at[~done], vote=None)[names]
+                        moving, at = pa.array(mine[~done]), at[~done]
+                        yield sent(len(at), [units[t, a] for a in at.tolist()], t, at.astype(np.int32), ids.take(moving), packed.take(moving), folds.take(moving), None)
+                some = np.flatnonzero(ended.sum(axis=1) > 0)
+                if len(some):
+                    yield sent(len(some), [None] * len(some), -1, np.zeros(len(some), np.int32), ids.take(pa.array(some)), None, folds.take(pa.array(some)), lists(ended[some]))
 
-        went = rows.mapInPandas(visit, fields)
+        went = rows.mapInArrow(visit, ", ".join(" ".join(f) for f in fields))
         went = durable(went) if deep else went
         cuts = went.where("unit is not null").groupBy("unit").agg((F.floor((F.count("*") - 1) / block) + 1).cast("int").alias("blocks"))
+        copies = went.count() if deep else rows.count() * len(small_roots)
         if not deep:  # all rows visit every unit
-            blocks = max(1, -(-rows.count() // block))
+            blocks = max(1, -(-copies // max(1, len(small_roots)) // block))
             cuts = self.nodes.select("unit").distinct().withColumn("blocks", F.lit(blocks))
         left = join_lookup(went.where("unit is not null").drop("vote"), cuts, ["unit"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("blocks")))
         right = join_lookup(self.nodes, cuts, ["unit"]).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)))
 
-        def finish(came: pd.DataFrame, trees: pd.DataFrame) -> pd.DataFrame:
+        def finish(came: pa.Table, trees: pa.Table) -> pa.Table:
             if not len(came) or not len(trees):
-                return pd.DataFrame({"id": np.empty(0, np.int64), "vote": np.empty(0, object)})
-            x, fold, total = matrix(came["x"]), came["fold"].to_numpy(), np.zeros((len(came), k))
-            for record in trees.sort_values(["tree", "start"]).to_dict("records"):
+                return pa.table({"id": pa.array([], pa.int64()), "vote": pa.array([], ARROW["array<double>"])})
+            x, fold, total = _unpacked(came["x"], spec["d"]), _numbers(came["fold"]), np.zeros((len(came), k))
+            tree_of, start_of = _numbers(came["tree"]), _numbers(came["start"])
+            for record in trees.sort_by([("tree", "ascending"), ("start", "ascending")]).to_pylist():
                 tree = read_tree(record, k)
-                mine = np.ones(len(came), bool) if not spec["folds"] else fold == record["tree"] // spec["trees"]
-                mine &= (came["tree"].to_numpy() < 0) | ((came["tree"].to_numpy() == record["tree"]) & (came["start"].to_numpy() == record["start"]))
-                total[mine] += share(tree["value"][leaves(tree, x[mine])])
-            return pd.DataFrame({"id": came["id"], "vote": list(total)})
-
-        both = left.groupBy("unit", "part").cogroup(right.groupBy("unit", "part")).applyInPandas(finish, "id long, vote array<double>")
+                mine = np.ones(len(came), bool) if not spec["folds"] else fold == record["tree"] // own
+                mine &= (tree_of < 0) | ((tree_of == record["tree"]) & (start_of == record["start"]))
+                mine = np.flatnonzero(mine)
+                total[mine] += share(tree["value"][leaves(tree, x, mine)])
+            return pa.table({"id": came["id"].combine_chunks(), "vote": lists(total)})
+
+        parts = len(set(self.units.values())) + copies // block
+        left, right = (_in_parts(side, parts, copies, "unit", "part") for side in (left, right))
+        both = left.groupBy("unit", "part").cogroup(right.groupBy("unit", "part")).applyInArrow(finish, "id long, vote array<double>")
         if deep:
             both = both.unionByName(went.where("unit is null").select("id", "vote"))
         summed = both.select("id", array_to_vector("vote").alias("vote")).groupBy("id").agg(Summarizer.sum(F.col("vote")).alias("vote"))

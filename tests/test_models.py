@@ -1,6 +1,7 @@
 """Models against closed forms, plain numpy, or sanity bounds."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector
@@ -163,6 +164,44 @@ def test_trees_match_trees_by_hand(blobs, extra):
     assert node_table(model) == wanted and len(wanted) > 40
 
 
+def test_rows_sent_to_subtrees_take_few_bytes_and_lose_nothing():
+    rng = np.random.default_rng(4)
+    single = rng.normal(size=(50, 8)).astype(np.float32).astype(float)
+    single[3, 2] = np.nan
+    double = rng.normal(size=(30, 8))
+    sent = [trees._packed(x) for x in (single, double, single[:0])]
+    assert sent[0].nbytes <= 50 * (8 * 4 + 4) + 4 and sent[1].nbytes <= 30 * (8 * 8 + 4) + 4
+    found = trees._unpacked(pa.chunked_array(sent + [pa.concat_arrays(sent)]), 8)
+    assert np.array_equal(found, np.vstack([single, double] * 2), equal_nan=True)
+
+
+def test_rows_are_ordered_within_and_beyond_one_word():
+    rng = np.random.default_rng(5)
+    a, b = rng.integers(0, 6, 300), rng.integers(0, 9, 300)
+    for scale in (1, 1 << 50):
+        assert trees._in_order(a, b * scale + 1).tolist() == np.lexsort((b, a)).tolist()
+
+
+@pytest.mark.parametrize("extra", [False, True])
+def test_a_node_reads_only_features_it_tries(extra):
+    rng = np.random.default_rng(6)
+    x, y = rng.normal(size=(4000, 50)), rng.integers(0, 4, 4000)
+    spec = {"seed": 1, "trees": 1, "folds": 0, "extra": extra, "d": 50, "m": 7, "classes": 4}
+    read, columns = [], trees.Columns(x, not extra)
+
+    class Counted(np.ndarray):
+        def __getitem__(self, at):
+            read.append(np.size(at))
+            return np.asarray(self)[at]
+
+    columns.x = columns.x.view(Counted)
+    columns.ranks = None if extra else columns.ranks.view(Counted)
+    grown, plain = (trees.grow(trees.root_of(1, 0), c, y, np.ones(4000), spec) for c in (columns, x))
+    assert all(np.array_equal(grown[name], plain[name]) for name in plain)
+    inner = grown["value"].sum(axis=1)[grown["feature"] >= 0].sum()  # rows of split nodes, level by level
+    assert sum(read) <= inner * (spec["m"] + 3)
+
+
 def test_first_phase_grows_the_same_random_trees(blobs):
     df, x, labels = blobs
     whole, parts = (trees.Forest(trees=3, extra=True, seed=3, key=["id"], small=small).fit(df) for small in (1000, 20))

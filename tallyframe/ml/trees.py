@@ -602,8 +602,7 @@ class ForestModel(Model, _Forest):
         both = left.groupBy("unit", "part").cogroup(right.groupBy("unit", "part")).applyInArrow(finish, "id long, vote array<double>")
         if deep:
             both = both.unionByName(went.where("unit is null").select("id", "vote"))
-        summed = both.select("id", array_to_vector("vote").alias("vote")).groupBy("id").agg(Summarizer.sum(F.col("vote")).alias("vote"))
-        return summed.select("id", vector_to_array("vote").alias("votes"))
+        return both.groupBy("id").agg(F.array(*[F.sum(F.get("vote", F.lit(i))) for i in range(k)]).alias("votes"))
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         """Add the class with the largest share of votes, the lowest of equals; rows keep their other columns."""

@@ -201,10 +201,9 @@ def score(docs: DataFrame, model: GatedAttention, text: str = "text", name: str
         encode, net = Encoder(), GatedAttention()
         net.p, net.constant = shared.value
         for batch in batches:
-            texts, scores = utf8(batch.column(names.index(text))), []
-            for at in range(0, len(texts), 256):
-                scores.append(net.score([encode(data or b"") for data in texts[at : at + 256]]))
-            made = np.round(np.concatenate(scores), 6) if scores else np.empty(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.float64())], names=[*names, name])
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                made = np.round(net.score([encode(data or b"") for data in utf8(part.column(names.index(text)))]), 6)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(made, pa.float64())], names=[*names, name])
 
     return own.mapInArrow(run, schema_with(own, f"{name} double"))

@@ -10,6 +10,7 @@ import pyarrow as pa
 SPACES = b" \t\n\x0b\x0c\r"
 BASE = 0x9E3779B97F4A7C55  # odd, so that its powers can be inverted modulo 2**64
 BLOCK = 1 << 18
+SLICE = 1 << 21  # bytes of a batch that a task works on at a time
 
 
 def utf8(column: pa.Array) -> list[bytes | None]:
@@ -19,6 +20,14 @@ def utf8(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def slices(batches: Iterator[pa.RecordBatch], most: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """Batches cut into parts of about ``most`` bytes, of one row at least: what is made of a part is gone before the next."""
+    for batch in batches:
+        step = max(1, batch.num_rows * most // max(1, batch.nbytes))
+        for at in range(0, batch.num_rows, step):
+            yield batch.slice(at, step)
+
+
 def by_spaces() -> np.ndarray:
     """Which bytes are in a word: all but space and \\t to \\r."""
     table = np.ones(256, bool)

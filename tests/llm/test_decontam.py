@@ -3,10 +3,12 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tallyframe.llm.decontam import decontaminate
+from tallyframe.llm.text import slices
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
@@ -60,3 +62,24 @@ def test_spans_and_documents(spark, docs):
     assert sorted(r.doc_id for r in kept.collect()) == [2, 3]
     assert decontaminate(df, bench.where("false"), n=4, remove="documents").count() == 5
     assert decontaminate(df.where("false"), bench, n=4).count() == 0
+
+
+@pytest.mark.parametrize("remove", ["spans", "documents", None])
+def test_one_pass_over_the_texts(spark, docs, data, remove):
+    """A task has one Python worker for texts, not one that finds hits and one that cuts them out."""
+    rows, items = data
+    out = decontaminate(docs(rows), spark.createDataFrame(items, "item_id long, text string"), n=4, remove=remove)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(line.lstrip("+- :").startswith("MapInArrow") for line in plan.splitlines()) == 1
+    several = decontaminate(docs(rows), spark.createDataFrame(items, "item_id long, text string"), n=4, remove=remove, max_windows=7)
+    assert sorted(map(repr, out.collect())) == sorted(map(repr, several.collect()))
+
+
+def test_parts_of_batches():
+    """What is made of a batch is bounded by bytes, not by the rows of a batch; a long row is a part of its own."""
+    texts = ["a" * 100] * 50 + ["b" * 5000] + ["c"] * 10
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    parts = list(slices([batch, batch.slice(0, 0)], 1000))
+    assert [t for p in parts for t in p.column(0).to_pylist()] == texts
+    assert len(parts) >= 7 and max(p.num_rows for p in parts) <= 9
+    assert [p.num_rows for p in slices([batch.slice(50, 1)], 10)] == [1]

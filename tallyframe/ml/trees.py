@@ -3,7 +3,8 @@
 Trees grow in two phases.  While a node has many rows, its split comes from sums over the whole table, level by level:
 one pass gives the classes and the range of every feature per node, one the classes on both sides of the candidate cuts.
 The rows of a smaller node then go to one task, which finishes the subtree.  Trees whose root is small share their rows
-in bundles.  Finished subtrees are rows of a table; the driver holds only nodes of the first phase, whose number is bounded.
+in bundles; so do all trees of a table that one task holds whole (``WHOLE`` bytes), where the task itself takes the large
+nodes' splits from sums, by the same cuts.  Finished subtrees are rows of a table; the driver holds only nodes of the first phase, whose number is bounded.
 
 Every draw is a hash of the seed, the tree and the node or row, so trees depend on neither partitioning nor retries.  With
 ``folds``, one forest per fold grows in the same passes, on the rows of the other folds.
@@ -34,6 +35,7 @@ MOST_OPEN = 20_000  # nodes of the first phase at a time; more trees wait
 MOST_NODES = 2_000_000  # nodes of the first phase in all, which the driver holds
 STEPS = 64  # cuts tried per feature in the first phase: equal steps of the node's range
 BUNDLES = 32
+WHOLE = 3 << 26  # bytes of the features of a table whose trees grow from their roots in tasks; a copy goes to each bundle
 BLOCK_ROWS, BLOCK_BYTES = 1 << 16, 1 << 25  # rows, and bytes of their features, that a task looks at together
 FEW_PARTS, MOST_PARTS, PART_ROWS = 64, 4096, 25_000  # partitions that units of work are dealt to, and rows of one
 LEAF, DEALT = -1, -2  # in place of a feature
@@ -151,6 +153,7 @@ def grow(root: np.uint64, x: np.ndarray | Columns, y: np.ndarray, w: np.ndarray,
     """The whole subtree under a node from all its rows, level by level over all open nodes at once.
 
     A node looks at its features in the order of their draws until it has tried as many as it should that are not constant.
+    Of more than ``small`` rows it tries equal steps of each feature's range, as in the first phase.
     """
     x = x if isinstance(x, Columns) else Columns(x, not spec["extra"])
     k, m, d = spec["classes"], spec["m"], spec["d"]
@@ -163,6 +166,7 @@ def grow(root: np.uint64, x: np.ndarray | Columns, y: np.ndarray, w: np.ndarray,
             order = np.argsort(seg.astype(np.uint16) if n <= 1 << 16 else seg, kind="stable")
             rows, seg = rows[order], seg[order]
         totals = np.bincount(seg * k + y[rows], weights=w[rows], minlength=n * k).reshape(n, k)
+        sizes = np.bincount(seg, minlength=n)
         best, feature, cut = np.full(n, -np.inf), np.full(n, -1), np.zeros(n)
         looking = np.flatnonzero((totals > 0).sum(axis=1) > 1)  # nodes that still look for features
         draws = feature_draws(ids[looking], d)
@@ -197,10 +201,19 @@ def grow(root: np.uint64, x: np.ndarray | Columns, y: np.ndarray, w: np.ndarray,
                     below = np.bincount((su * k + y[ru])[side], weights=w[ru[side]], minlength=len(nodes) * k).reshape(-1, k)
                     score = purity(below) + purity(totals[nodes] - below)
                 else:
-                    score, lower, upper = _best_cuts(vu, su, y[ru], w[ru], totals[nodes])
-                    v0, v1 = x.x[f[use] * x.n + ru[lower]], x.x[f[use] * x.n + ru[upper]]
-                    cuts = (v0 + v1) / 2
-                    cuts = np.where(cuts < v1, cuts, v0)
+                    score, cuts, few = np.empty(len(nodes)), np.empty(len(nodes)), np.ones(len(nodes), bool)
+                    for i in np.flatnonzero(sizes[nodes] > spec.get("small", SMALL)):
+                        few[i], on = False, ru[slice(*np.searchsorted(su, [i, i + 1]))]
+                        score[i], cuts[i] = _best_step(x.x[f[use][i] * x.n + on], y[on], w[on], totals[nodes[i]])
+                    if few.any():
+                        if not few.all():
+                            on = few[su]
+                            ru, su, vu = ru[on], (np.cumsum(few) - 1)[su[on]], vu[on]
+                        own = f[use][few] * x.n
+                        score[few], lower, upper = _best_cuts(vu, su, y[ru], w[ru], totals[nodes[few]])
+                        v0, v1 = x.x[own + ru[lower]], x.x[own + ru[upper]]
+                        middle = (v0 + v1) / 2
+                        cuts[few] = np.where(middle < v1, middle, v0)
                 better = score > best[nodes]
                 best[nodes[better]], feature[nodes[better]], cut[nodes[better]] = score[better], f[use][better], cuts[better]
             left_to_try -= taken
@@ -273,6 +286,23 @@ def _best_cuts(v: np.ndarray, s: np.ndarray, y: np.ndarray, w: np.ndarray, total
     return top, order[at], order[at + 1]
 
 
+def _steps(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The cuts that a large node tries: equal steps of the range, below its end."""
+    cuts = low[:, None] + (high - low)[:, None] * np.arange(1, STEPS) / STEPS
+    return np.minimum(cuts, np.nextafter(high, low)[:, None])
+
+
+def _best_step(v: np.ndarray, y: np.ndarray, w: np.ndarray, totals: np.ndarray) -> tuple[float, float]:
+    """The score and the place of the best cut of a large node (the first of equals)."""
+    cuts, k = _steps(v.min(keepdims=True), v.max(keepdims=True))[0], len(totals)
+    side = np.searchsorted(cuts, v)  # cuts below the value: 0 is the far left
+    below = np.cumsum(np.bincount(side * k + y, weights=w, minlength=STEPS * k).reshape(STEPS, k), axis=0)[:-1]
+    score = np.round(purity(below) + purity(totals - below), 9)
+    score[(below.sum(axis=1) <= 0) | ((totals - below).sum(axis=1) <= 0)] = -np.inf
+    at = int(score.argmax())
+    return float(score[at]), float(cuts[at])
+
+
 # ---------------------------------------------------------------- first phase: sums over the table
 
 
@@ -387,8 +417,8 @@ def _grow_tops(rows: DataFrame, numbers: list[int], spec: dict, small: int) -> d
                 continue
             f = features[0][features[0] >= 0]
             lo, hi = low[0, f], high[0, f]
-            cuts = random_cuts(draws[0][features[0] >= 0], lo, hi)[:, None] if spec["extra"] else lo[:, None] + (hi - lo)[:, None] * np.arange(1, steps) / steps
-            tried[r["tree"], r["node"]] = (f, np.minimum(cuts, np.nextafter(hi, lo)[:, None]), counts)
+            cuts = random_cuts(draws[0][features[0] >= 0], lo, hi)[:, None] if spec["extra"] else _steps(lo, hi)
+            tried[r["tree"], r["node"]] = (f, cuts, counts)
         if not tried:
             break
         shared = {key: (f, cuts) for key, (f, cuts, _) in tried.items()}
@@ -464,7 +494,7 @@ def _subtrees(rows: DataFrame, tops: dict[int, Tree], n: int, spec: dict) -> Dat
         y, h, fold = _numbers(group["y"]), _numbers(group["h"]).view(np.uint64), _numbers(group["fold"])
         unit, tree, start = group["unit"][0].as_py(), group["tree"][0].as_py(), group["start"][0].as_py()
         x = Columns(_unpacked(group["x"], spec["d"]), not spec["extra"])
-        jobs = [(t, 0) for i, t in enumerate(whole) if i % bundles == int(unit[1:])] if tree < 0 else [(tree, start)]
+        jobs = [(t, 0) for i, t in enumerate(whole) if i * bundles // len(whole) == int(unit[1:])] if tree < 0 else [(tree, start)]
         out = []
         for t, at in jobs:
             made = grow(ids[t][at], x, y, row_weights(h, fold, t, spec), spec)
@@ -505,11 +535,11 @@ class Forest(Estimator, _Forest):
         d = width(rows, "x")
         spec = {"seed": get("seed"), "trees": get("trees"), "folds": folds if fold else 0, "extra": get("extra"), "d": d, "m": max(1, math.isqrt(d)), "classes": len(labels)}
         total = get("trees") * (folds if fold else 1)
-        small = max(get("small"), 4 * n * total // MOST_NODES)
+        small = spec["small"] = max(get("small"), 4 * n * total // MOST_NODES)
         at_once = max(1, min(total, MOST_OPEN * small // max(1, 2 * n)))
         tops: dict[int, Tree] = {}
         parts = []
-        if n <= small:  # no node is large: nothing to sum
+        if n <= small or (get("small") >= SMALL and 8 * n * d <= WHOLE):  # no node is large, or a task can take the sums itself
             tops = {t: Tree(root_of(spec["seed"], t), len(labels)) for t in range(total)}
             for tree in tops.values():
                 tree.feature[0] = DEALT
@@ -543,6 +573,7 @@ class ForestModel(Model, _Forest):
         deep = {t: tree.arrays() for t, tree in self.tops.items() if tree.feature[0] != DEALT}
         fields = [c.split() for c in "unit string, tree int, start int, id long, x binary, fold int, vote array<double>".split(", ")]
         own = spec["trees"]
+        folds_of = {unit: {t // own for (t, _), u in units.items() if u == unit} for unit in small_roots} if spec["folds"] else {}
 
         def share(value: np.ndarray) -> np.ndarray:
             return value / np.maximum(value.sum(axis=-1, keepdims=True), 1e-300)
@@ -558,9 +589,15 @@ class ForestModel(Model, _Forest):
             for block, x in _blocks(batches, spec["d"]):
                 n, fold, packed = len(x), _numbers(block["fold"]), _packed(x)
                 ids, folds = (block[name].combine_chunks() for name in ("id", "fold"))
-                for unit in small_roots:
-                    yield sent(n, [unit] * n, -1, np.zeros(n, np.int32), ids, packed, folds, None)
                 mine_of = {f: np.flatnonzero(fold == f) for f in range(spec["folds"])}
+                for unit in small_roots:
+                    if not spec["folds"]:
+                        yield sent(n, [unit] * n, -1, np.zeros(n, np.int32), ids, packed, folds, None)
+                        continue
+                    mine = np.concatenate([mine_of[f] for f in sorted(folds_of[unit])])  # rows of other folds get no votes here
+                    if len(mine):
+                        there = pa.array(mine)
+                        yield sent(len(mine), [unit] * len(mine), -1, np.zeros(len(mine), np.int32), ids.take(there), packed.take(there), folds.take(there), None)
                 ended = np.zeros((n, k))  # of all trees whose first phase ends a row
                 for t, top in deep.items():
                     mine = mine_of[t // own] if spec["folds"] else np.arange(n)
@@ -577,8 +614,9 @@ class ForestModel(Model, _Forest):
         went = rows.mapInArrow(visit, ", ".join(" ".join(f) for f in fields))
         went = durable(went) if deep else went
         cuts = went.where("unit is not null").groupBy("unit").agg((F.floor((F.count("*") - 1) / block) + 1).cast("int").alias("blocks"))
-        copies = went.count() if deep else rows.count() * len(small_roots)
-        if not deep:  # all rows visit every unit
+        share_of = sum(map(len, folds_of.values())) / spec["folds"] if spec["folds"] else len(small_roots)
+        copies = went.count() if deep else int(rows.count() * share_of)
+        if not deep:  # all rows visit every unit, or every unit of their fold
             blocks = max(1, -(-copies // max(1, len(small_roots)) // block))
             cuts = self.nodes.select("unit").distinct().withColumn("blocks", F.lit(blocks))
         left = join_lookup(went.where("unit is not null").drop("vote"), cuts, ["unit"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("blocks")))

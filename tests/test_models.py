@@ -202,6 +202,33 @@ def test_a_node_reads_only_features_it_tries(extra):
     assert sum(read) <= inner * (spec["m"] + 3)
 
 
+@pytest.mark.parametrize("extra", [False, True])
+def test_tasks_grow_whole_trees_as_the_first_phase_does(blobs, extra, monkeypatch):
+    """A table that a task can hold goes to bundles of trees, not once to every tree; trees and votes are those of both phases."""
+    df, x, labels = blobs
+    folded = df.withColumn("fold", F.col("id") % 3)
+    forest = trees.Forest(trees=4, extra=extra, seed=3, key=["id"], foldCol="fold", small=60)
+    parts = forest.fit(folded)
+    monkeypatch.setattr(trees, "SMALL", 60)
+    whole = forest.fit(folded)
+    assert any(tree.feature[0] >= 0 for tree in parts.tops.values())
+    assert all(tree.feature[0] == trees.DEALT for tree in whole.tops.values()) and len(whole.units) == 12
+    assert node_table(whole) == node_table(parts) and len(node_table(whole)) > 12
+    assert predicted(whole, folded).tolist() == predicted(parts, folded).tolist()
+
+
+def test_rows_visit_only_units_of_their_fold(blobs, monkeypatch):
+    """A forest of its own for every fold: a row has votes of those trees alone and is not sent to the others."""
+    df, x, labels = blobs
+    folded = df.withColumn("fold", (F.col("id") % 3).cast("int"))
+    monkeypatch.setattr(trees, "BUNDLES", 6)
+    model = trees.Forest(trees=4, seed=3, key=["id"], foldCol="fold").fit(folded)
+    sent = []
+    monkeypatch.setattr(trees, "_in_parts", lambda rows, *a: sent.append(rows) or rows.repartition(4, *a[2:]))
+    model.votes(folded.select(F.col("id").cast("long").alias("id"), trees.feature_array(df, "features").alias("x"), "fold"))
+    assert sent[0].count() == 2 * len(x)  # two of the six bundles hold the trees of a fold
+
+
 def test_first_phase_grows_the_same_random_trees(blobs):
     df, x, labels = blobs
     whole, parts = (trees.Forest(trees=3, extra=True, seed=3, key=["id"], small=small).fit(df) for small in (1000, 20))

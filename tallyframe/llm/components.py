@@ -24,9 +24,8 @@ def joined_up(edges: DataFrame) -> DataFrame:
     smaller ones do.  Components stay; stars joined to stars become one.  A hub is summed before the shuffle, and its
     edges are split by the join."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    large = _to_smallest(both).where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    small = _to_smallest(large)
-    moved = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
+    large = stored(_to_smallest(both).where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))  # used twice
+    moved = _to_smallest(large).select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
     return downward(moved, "u", "v").distinct()
 
 

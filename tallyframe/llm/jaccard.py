@@ -174,11 +174,23 @@ def _by_rarest(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _once(rows: DataFrame) -> DataFrame:
     """One of all groups (key, id, place) of two or more members that have the same members, with their least places."""
     kinds = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("id")).alias("x"), F.min("id").alias("lo"), F.max("id").alias("hi")).where("m > 1")
-    one = kinds.groupBy("m", "x", "lo", "hi").agg(F.min("key").alias("one"))
-    named = kinds.join(one, ["m", "x", "lo", "hi"]).select("key", "one")
+    named = kinds.select("key", F.xxhash64("m", "x", "lo", "hi").alias("one"))  # should unlike groups get one name, their members meet in one group
     return rows.join(named, "key").groupBy(F.col("one").alias("key"), "id").agg(F.min("place").alias("place"))
 
 
+def _classed(groups: DataFrame, forest: DataFrame) -> DataFrame:
+    """Members of the groups that are not of one class yet, with their class c, its ``members`` and the group's size m.
+
+    What is used twice is stored, so that Spark doesn't make it twice.
+    """
+    known = stored(labels(forest))
+    sizes = known.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
+    known = known.join(sizes, "component").select("id", F.col("component").alias("c"), "members")
+    now = stored(groups.join(known, "id", "left").withColumns({"c": F.coalesce("c", "id"), "members": F.coalesce("members", F.lit(0))}))
+    mixed_groups = now.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo < hi").select("key", "m")
+    return stored(now.join(mixed_groups, "key"))
+
+
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
     """Classes of documents whose sets of ``n``-word shingles reach a Jaccard similarity of ``percent`` / 100.
 
@@ -198,19 +210,14 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", n: i
     with batches_of(df.sparkSession, PAIR_BYTES):
         rows = stored(_shared(_signatures(docs, n, percent)))
     copies = rows.where("n = -1").select(F.col("key").alias("a"), F.col("id").alias("b"))
-    groups = stored(_once(rows.where("n is null").select("key", "id").distinct().withColumn("place", F.lit(1))))
     counts = rows.where("n >= 0").groupBy("id").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    groups = stored(_once(rows.where("n is null").select("key", "id").distinct().withColumn("place", F.lit(1))).join(counts, "id"))
     forest = stored(downward(copies, "a", "b"))
     with batches_of(df.sparkSession, PAIR_BYTES):
         sets = None if groups.isEmpty() else stored(_sets(docs, groups.select("id").distinct(), n))
     tested, turn = None, 0
     while sets is not None:
-        known = labels(forest)
-        sizes = known.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
-        known = known.join(sizes, "component").select("id", "component", "members")
-        now = groups.join(known, "id", "left").join(counts, "id").select("key", "id", "place", "least", "most", F.coalesce("component", "id").alias("c"), F.coalesce("members", F.lit(0)).alias("members"))
-        mixed_groups = now.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo < hi").select("key", "m")
-        held = stored(now.join(mixed_groups, "key"))
+        held = _classed(groups, forest)
         if held.isEmpty():
             break
         first = Window.partitionBy("key").orderBy(F.log2(F.col("members") + 1).cast("int"), F.xxhash64("id", F.lit(turn)), "id")  # small classes first
@@ -231,8 +238,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", n: i
             large = held.where(F.col("m") > LARGE)
             rest = rest.where(F.col("m") <= LARGE)
             if not large.isEmpty():
-                rest = rest.select("key", "id", "place").unionByName(_by_rarest(large, sets, percent))
-        groups = stored(_once(rest.select("key", "id", "place")))
+                rest = rest.select(*groups.columns).unionByName(_once(_by_rarest(large, sets, percent)).join(counts, "id"))
+        groups = stored(rest.select(*groups.columns))
         turn += 1
     classes = components(forest)
     named = rows.where("n >= 0").select("id", "n").join(classes, "id", "left")

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -164,6 +165,18 @@ def held_out(key: str) -> Column:
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def bags_of(got: pa.Table) -> tuple[list[np.ndarray], np.ndarray]:
+    """Feature rows and labels of documents (key, bag, label) in the order of key and features.  The features are parts of
+    one array, whose memory goes back at once when they go."""
+    order = pc.sort_indices(got, sort_keys=[("key", "ascending"), ("bag", "ascending")]).to_pylist()
+    column = got.column("bag")
+    ends = np.cumsum([0, *(column[i].as_buffer().size // (2 * WIDTH) for i in order)])
+    rows = np.empty((ends[-1], WIDTH), np.float32)
+    for i, a, b in zip(order, ends, ends[1:]):
+        rows[a:b] = np.frombuffer(column[i].as_buffer(), np.float16).reshape(-1, WIDTH)
+    return [rows[a:b] for a, b in zip(ends, ends[1:])], got.column("label").to_numpy().astype(np.float64)[order]
+
+
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", max_docs: int = 4000, max_passages: int = 64, seed: int = 7) -> GatedAttention:
     """Fit on a bounded sample: the ``max_docs`` labelled documents outside ``held_out`` that come first by a hash of
     their key, and of a longer one ``max_passages`` passages evenly over the whole text.
@@ -186,9 +199,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
                 out.append(bag.astype(np.float16).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary()), batch.column(2)], names=["key", "bag", "label"])
 
-    got = sorted(rows.mapInArrow(run, "key string, bag binary, label int").collect(), key=lambda r: (r["key"], bytes(r["bag"])))
-    bags = [np.frombuffer(r["bag"], np.float16).reshape(-1, WIDTH).astype(np.float32) for r in got]
-    return GatedAttention(seed=seed).fit(bags, np.array([r["label"] for r in got], np.float64), seed=seed)
+    bags, wanted = bags_of(rows.mapInArrow(run, "key string, bag binary, label int").toArrow())
+    return GatedAttention(seed=seed).fit(bags, wanted, seed=seed)
 
 
 def score(docs: DataFrame, model: GatedAttention, text: str = "text", name: str = "score") -> DataFrame:

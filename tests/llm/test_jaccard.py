@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from tallyframe.llm import jaccard
+from tallyframe.llm import components, jaccard
 
 
 def shingles(text, n=5):
@@ -76,3 +76,19 @@ def test_similar_sets_share_a_signature(percent):
         both = len(np.intersect1d(x, y))
         if 100 * both >= percent * (len(x) + len(y) - both):
             assert len(np.intersect1d(signer(x), signer(y)))
+
+
+def test_work_for_the_driver(docs, monkeypatch):
+    """What the driver keeps of shuffles and tasks grows with the exchanges of all the plans of a join."""
+    planned = []
+
+    def counting(df, store=components.stored):
+        planned.append(df._jdf.queryExecution().executedPlan().toString().count("Exchange "))
+        return store(df)
+
+    monkeypatch.setattr(jaccard, "stored", counting)
+    monkeypatch.setattr(components, "stored", counting)
+    rows = corpus(random.Random(3))
+    out = jaccard.near_duplicates(docs(rows).repartition(4))
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in out.collect()), key=repr) == brute(rows)
+    assert max(planned) <= 20 and sum(planned) <= 150, planned

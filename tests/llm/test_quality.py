@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyframe.llm import quality
@@ -53,3 +54,15 @@ def test_edge_cases(spark, docs, nasty):
     assert quality.score(df.where("false"), model).count() == 0
     bag = quality.Encoder()(("word " * 1000).encode())
     assert len(bag) == 6 and bag.shape[1] == quality.WIDTH
+
+
+def test_features_of_the_sample_are_one_array():
+    rng = np.random.default_rng(5)
+    made = [rng.random((n, quality.WIDTH)).astype(np.float16) for n in (2, 1, 3, 1)]
+    got = pa.table({"key": ["b", "a", "10", "b"], "bag": pa.array([x.tobytes() for x in made], pa.binary()), "label": pa.array([1, 0, 1, 0], pa.int32())})
+    bags, labels = quality.bags_of(pa.concat_tables([got.slice(0, 3), got.slice(3)]))
+    rows = sorted(zip(got["key"].to_pylist(), (x.tobytes() for x in made), made, [1.0, 0.0, 1.0, 0.0]), key=lambda r: r[:2])
+    assert labels.tolist() == [r[3] for r in rows] and all(np.array_equal(a, r[2].astype(np.float32)) for a, r in zip(bags, rows))
+    assert len({id(bag.base) for bag in bags}) == 1
+    none, labels = quality.bags_of(got.slice(0, 0))
+    assert none == [] and labels.dtype == np.float64 and len(labels) == 0

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from .moments import class_means, feature_array, matrix, one_hot, summed_matrices
 
+PAIRS, PAIRS_BYTES = 1 << 13, 1 << 22  # products of two features that are made once for all folds, and bytes of them at a time
+
 Predictor = Callable[[np.ndarray], np.ndarray]  # features of some rows -> their labels
 
 
@@ -168,6 +170,8 @@ def support_vectors(rows: DataFrame, labels: np.ndarray, d: int, n: float, c: fl
         def partial(batch: pd.DataFrame) -> dict[str, np.ndarray]:
             every, sign = matrix(batch["x"]), 2 * one_hot(batch["y"], index) - 1
             every = np.hstack([every, np.ones((len(every), 1))])
+            if k is not None and len(first) <= PAIRS:
+                return joint(every, sign, batch["fold"].to_numpy())
             f, g, h = np.zeros((m, q)), np.zeros((m * q, d)), np.zeros((m * q * d, d))
             for i in range(m):
                 use = np.ones(len(every), bool) if k is None else batch["fold"].to_numpy() != i
@@ -177,11 +181,28 @@ def support_vectors(rows: DataFrame, labels: np.ndarray, d: int, n: float, c: fl
                 h[i * q * d : (i + 1) * q * d] = np.vstack([(x * (slack[:, [j]] > 0)).T @ x for j in range(q)])
             return {"f": f, "g": g, "h": h}
 
+        def joint(every: np.ndarray, sign: np.ndarray, fold: np.ndarray) -> dict[str, np.ndarray]:
+            """The same for all folds at once: a row has no slack in its own, and its products serve every model."""
+            f, g, h = np.zeros(m * q), np.zeros((m * q, d)), np.zeros((m * q, len(first)))
+            flat, step = w.reshape(m * q, d), max(1, PAIRS_BYTES // (8 * len(first)))
+            for at in range(0, len(every), step):
+                x, y = every[at : at + step], np.tile(sign[at : at + step], m)
+                slack = np.maximum(0.0, 1 - y * (x @ flat.T))
+                slack *= np.repeat(fold[at : at + step, None] != np.arange(m), q, axis=1)
+                f += (slack**2).sum(axis=0)
+                g += (slack * y).T @ x
+                columns = np.ascontiguousarray(x.T)
+                h += (slack > 0).T.astype(float) @ (columns[first] * columns[second]).T
+            whole = np.zeros((m * q, d, d))
+            whole[:, first, second] = whole[:, second, first] = h
+            return {"f": f.reshape(m, q), "g": g, "h": whole.reshape(m * q * d, d)}
+
         sums = summed_matrices(rows, partial, {"f": (m, q), "g": (m * q, d), "h": (m * q * d, d)})
         value = 0.5 * (w**2).sum(axis=2) + c * sums["f"]
         return value, w - 2 * c * sums["g"].reshape(m, q, d), np.eye(d) + 2 * c * sums["h"].reshape(m, q, d, d)
 
     d = d + 1
+    first, second = np.triu_indices(d)
     w, best, best_value, steep = np.zeros((m, q, d)), np.zeros((m, q, d)), np.full((m, q), np.inf), np.full((m, q), np.inf)
     for _ in range(iterations):
         value, gradient, hessian = at(w)

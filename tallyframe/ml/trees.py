@@ -3,8 +3,8 @@
 Trees grow in two phases.  While a node has many rows, its split comes from sums over the whole table, level by level:
 one pass gives the classes and the range of every feature per node, one the classes on both sides of the candidate cuts.
 The rows of a smaller node then go to one task, which finishes the subtree.  Trees whose root is small share their rows
-in bundles; so do all trees of a table that one task holds whole (``WHOLE`` bytes), where the task itself takes the large
-nodes' splits from sums, by the same cuts.  Finished subtrees are rows of a table; the driver holds only nodes of the first phase, whose number is bounded.
+in bundles; so do all trees of a table that one task holds whole in codes (``WHOLE`` bytes, see ``coded``), where the task
+itself takes the large nodes' splits from sums, by the same cuts.  Finished subtrees are rows of a table; the driver holds only nodes of the first phase, whose number is bounded.
 
 Every draw is a hash of the seed, the tree and the node or row, so trees depend on neither partitioning nor retries.  With
 ``folds``, one forest per fold grows in the same passes, on the rows of the other folds.
@@ -12,6 +12,7 @@ Every draw is a hash of the seed, the tree and the node or row, so trees depend
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 
 from ..operators.bounded import join_lookup
 from ..session import durable
+from .coded import Coded, Coding, coding
 from .moments import class_labels, feature_array, width
 
 SMALL = 50_000  # rows of a node that one task finishes, and of a block that one task scores
@@ -35,7 +37,8 @@ MOST_OPEN = 20_000  # nodes of the first phase at a time; more trees wait
 MOST_NODES = 2_000_000  # nodes of the first phase in all, which the driver holds
 STEPS = 64  # cuts tried per feature in the first phase: equal steps of the node's range
 BUNDLES = 32
-WHOLE = 3 << 26  # bytes of the features of a table whose trees grow from their roots in tasks; a copy goes to each bundle
+WHOLE = 1 << 28  # bytes that a task holds of a table whose trees grow from their roots in tasks; a copy goes to each bundle
+ALONE = 1 << 12  # rows of a node whose sums are taken for itself; nodes of fewer rows share arrays
 BLOCK_ROWS, BLOCK_BYTES = 1 << 16, 1 << 25  # rows, and bytes of their features, that a task looks at together
 FEW_PARTS, MOST_PARTS, PART_ROWS = 64, 4096, 25_000  # partitions that units of work are dealt to, and rows of one
 LEAF, DEALT = -1, -2  # in place of a feature
@@ -137,10 +140,12 @@ def leaves(tree: dict[str, np.ndarray], x: np.ndarray, rows: np.ndarray | None =
 class Columns:
     """The features of some rows one after the other, and of every value its rank in its feature (equal values share one)."""
 
-    def __init__(self, x: np.ndarray, ranks: bool):
+    def __init__(self, x: np.ndarray, ranks: bool | np.ndarray):
         self.n, self.x, self.ranks = len(x), np.ascontiguousarray(x.T).ravel(), None
         self.gaps = bool(np.isnan(self.x).any())
-        if ranks:
+        if isinstance(ranks, np.ndarray):  # known, by feature
+            self.ranks = ranks.ravel()
+        elif ranks:
             self.ranks = np.empty(x.shape[::-1], np.int32)
             for rank, column in zip(self.ranks, self.x.reshape(x.shape[::-1])):
                 order = np.argsort(column)
@@ -149,16 +154,20 @@ class Columns:
             self.ranks = self.ranks.ravel()
 
 
-def grow(root: np.uint64, x: np.ndarray | Columns, y: np.ndarray, w: np.ndarray, spec: dict) -> dict[str, np.ndarray]:
+def grow(
+    root: np.uint64 | np.ndarray, x: np.ndarray | Columns, y: np.ndarray, w: np.ndarray, spec: dict, seg: np.ndarray | None = None
+) -> dict[str, np.ndarray]:
     """The whole subtree under a node from all its rows, level by level over all open nodes at once.
 
     A node looks at its features in the order of their draws until it has tried as many as it should that are not constant.
-    Of more than ``small`` rows it tries equal steps of each feature's range, as in the first phase.
+    Of more than ``small`` rows it tries equal steps of each feature's range, as in the first phase.  With ``seg``, the place of
+    each row's node in ``root``, the subtrees of several nodes grow side by side; their roots come first.
     """
     x = x if isinstance(x, Columns) else Columns(x, not spec["extra"])
     k, m, d = spec["classes"], spec["m"], spec["d"]
-    rows, ids, made = np.flatnonzero(w > 0), np.array([root], np.uint64), 1
-    seg = np.zeros(len(rows), np.int64)  # of each row the place of its node in ids
+    rows, ids = np.flatnonzero(w > 0), np.atleast_1d(np.asarray(root, np.uint64))
+    made = len(ids)
+    seg = np.zeros(len(rows), np.int64) if seg is None else seg[rows]  # of each row the place of its node in ids
     levels = []
     while len(ids):
         n = len(ids)
@@ -296,13 +305,147 @@ def _best_step(v: np.ndarray, y: np.ndarray, w: np.ndarray, totals: np.ndarray)
     """The score and the place of the best cut of a large node (the first of equals)."""
     cuts, k = _steps(v.min(keepdims=True), v.max(keepdims=True))[0], len(totals)
     side = np.searchsorted(cuts, v)  # cuts below the value: 0 is the far left
-    below = np.cumsum(np.bincount(side * k + y, weights=w, minlength=STEPS * k).reshape(STEPS, k), axis=0)[:-1]
+    return _first_step(cuts, np.bincount(side * k + y, weights=w, minlength=STEPS * k).reshape(STEPS, k), totals)
+
+
+def _first_step(cuts: np.ndarray, sides: np.ndarray, totals: np.ndarray) -> tuple[float, float]:
+    """The score and the place of the best of some cuts (the first of equals), from the class weights between them."""
+    below = np.cumsum(sides, axis=0)[:-1]
     score = np.round(purity(below) + purity(totals - below), 9)
     score[(below.sum(axis=1) <= 0) | ((totals - below).sum(axis=1) <= 0)] = -np.inf
     at = int(score.argmax())
     return float(score[at]), float(cuts[at])
 
 
+# ---------------------------------------------------------------- whole trees of a table in codes
+
+
+def _cut_of_sums(f: int, sums: np.ndarray, values: np.ndarray, draw: np.ndarray, totals: np.ndarray, large: bool, spec: dict) -> tuple[float, float]:
+    """The score and the place of the cut of a node at a feature, from the class weights of the values that it has."""
+    low, high = values[:1], values[-1:]
+    if spec["extra"]:
+        cut = random_cuts(draw, low, high)
+        below = sums[values <= cut].sum(axis=0)
+        return float(purity(below) + purity(totals - below)), float(cut[0])
+    if large:
+        cuts, sides = _steps(low, high)[0], np.zeros((STEPS, len(totals)))
+        np.add.at(sides, np.searchsorted(cuts, values), sums)
+        return _first_step(cuts, sides, totals)
+    below = np.cumsum(sums, axis=0)[:-1]  # the sums of squares as in _best_cuts, so that rounding is the same
+    weight, squares, crossed = below.sum(axis=1), (below**2).sum(axis=1), (below * totals).sum(axis=1)
+    score = np.round(squares / weight + ((totals**2).sum() - 2 * crossed + squares) / (totals.sum() - weight), 9)
+    at = int(score.argmax())
+    middle = (values[at] + values[at + 1]) / 2
+    return float(score[at]), float(middle if middle < values[at + 1] else values[at])
+
+
+def _split_alone(x: Coded, rows: np.ndarray, w: np.ndarray | None, totals: np.ndarray, node: np.uint64, live: np.ndarray, spec: dict) -> tuple[int, float, float]:
+    """Feature (-1 for none), cut and score of one node; features that are constant in it are no longer ``live``."""
+    draws = feature_draws(np.array([node], np.uint64), spec["d"])[0]
+    best, left_to_try, large, k = (-1, 0.0, -np.inf), spec["m"], len(rows) > spec["small"], spec["classes"]
+    for f in np.argsort(draws):
+        if not live[f]:
+            continue
+        values, draw = x.values[f], draws[f : f + 1]
+        if len(values) * k <= 4 * len(rows):
+            sums = x.sums(f, rows, w)
+            here = np.flatnonzero(sums.any(axis=1))
+            if len(here) < 2:
+                live[f] = False
+                continue
+            score, cut = _cut_of_sums(f, sums[here], values[here], draw, totals, large, spec)
+        else:  # more values than rows: the rows themselves, in order of their values where all of these are tried
+            v, y, own = x.ranks(f, rows), x.y.take(rows).astype(np.int64), np.ones(len(rows)) if w is None else w
+            low, high = values[v.min(keepdims=True)], values[v.max(keepdims=True)]
+            if low >= high:
+                live[f] = False
+                continue
+            if spec["extra"]:
+                cut = float(random_cuts(draw, low, high)[0])
+                side = values[v] <= cut
+                below = np.bincount(y[side], weights=own[side], minlength=k)
+                score = float(purity(below) + purity(totals - below))
+            elif large:
+                score, cut = _best_step(values[v], y, own, totals)
+            else:
+                top, lower, upper = _best_cuts(v, np.zeros(len(v), np.int64), y, own, totals[None])
+                v0, v1 = values[v[lower[0]]], values[v[upper[0]]]
+                score, cut = float(top[0]), float((v0 + v1) / 2 if (v0 + v1) / 2 < v1 else v0)
+        if score > best[2]:
+            best = (int(f), cut, score)
+        left_to_try -= 1
+        if not left_to_try:
+            break
+    return best
+
+
+def grow_coded(root: np.uint64, x: Coded, w: np.ndarray, spec: dict) -> dict[str, np.ndarray]:
+    """The tree that ``grow`` gives, of a table too large for arrays of all its rows and features at every level.
+
+    Nodes of more than ``ALONE`` rows are split one after the other by sums per value; the others are decoded, about
+    ``BLOCK_ROWS`` rows at a time, and grow side by side.
+    """
+    k, d = spec["classes"], spec["d"]
+    rows = np.flatnonzero(w > 0)
+    w = None if spec["extra"] else w[rows]
+    top, few = Tree(root, k), []
+    totals = np.bincount(x.y.take(rows), weights=w, minlength=k).astype(float)
+    jobs = [(0, rows, w, totals, np.ones(d, bool))]
+    del rows, w
+    while jobs:
+        at, rows, w, totals, live = jobs.pop()
+        top.value[at] = totals
+        if (totals > 0).sum() < 2:
+            continue
+        if len(rows) <= ALONE:
+            few.append((at, rows, w))
+            continue
+        live = live.copy()
+        f, cut, score = _split_alone(x, rows, w, totals, top.ids[at], live, spec)
+        if f < 0:
+            continue
+        left = top.split(at, f, cut, score - purity(totals))
+        above = x.above(f, cut, rows)
+        for place, side in ((left, ~above), (left + 1, above)):
+            mine, own = rows[side], None if w is None else w[side]
+            jobs.append((place, mine, own, np.bincount(x.y.take(mine), weights=own, minlength=k).astype(float), live))
+        del rows, w, above, side, mine, own
+    parts, made = [top.arrays()], len(top.ids)
+    while few:
+        group, size = [], 0
+        while few and (not group or size + len(few[-1][1]) <= BLOCK_ROWS):
+            group.append(few.pop())
+            size += len(group[-1][1])
+        at, rows = np.array([g[0] for g in group]), np.concatenate([g[1] for g in group])
+        own = np.ones(size) if spec["extra"] else np.concatenate([g[2] for g in group])
+        ranks, values = np.empty((d, size), np.int32), np.empty((d, size))
+        for f in range(d):
+            ranks[f] = x.ranks(f, rows)
+            values[f] = x.values[f].take(ranks[f])
+        columns = Columns(values.T, False if spec["extra"] else ranks)
+        below = grow(np.array(top.ids, np.uint64)[at], columns, x.y.take(rows).astype(np.int64), own, spec, np.repeat(np.arange(len(group)), [len(g[1]) for g in group]))
+        below["left"] = np.where(below["feature"] >= 0, below["left"] + np.int32(made - len(group)), 0).astype(np.int32)
+        for name, column in below.items():
+            parts[0][name][at] = column[: len(group)]
+        parts.append({name: column[len(group) :] for name, column in below.items()})
+        made += len(parts[-1]["cut"])
+    return _by_level({name: np.concatenate([p[name] for p in parts]) for name in parts[0]})
+
+
+def _by_level(tree: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """The same tree with its nodes in the order in which ``grow`` makes them."""
+    order, level = [], np.zeros(1, np.int64)
+    while len(level):
+        order.append(level)
+        left = tree["left"][level[tree["feature"][level] >= 0]].astype(np.int64)
+        level = np.stack([left, left + 1], axis=1).ravel()
+    order = np.concatenate(order)
+    place = np.empty(len(order), np.int32)
+    place[order] = np.arange(len(order), dtype=np.int32)
+    tree = {name: column[order] for name, column in tree.items()}
+    return tree | {"left": np.where(tree["feature"] >= 0, place[tree["left"]], 0).astype(np.int32)}
+
+
 # ---------------------------------------------------------------- first phase: sums over the table
 
 
@@ -506,6 +649,45 @@ def _subtrees(rows: DataFrame, tops: dict[int, Tree], n: int, spec: dict) -> Dat
     return _in_parts(rows.mapInArrow(deal, ", ".join(" ".join(f) for f in fields)), units, n * (bundles + len(deep)), "unit").groupBy("unit").applyInArrow(finish, SUBTREES)
 
 
+def _whole_trees(rows: DataFrame, tops: dict[int, Tree], n: int, code: Coding, spec: dict) -> DataFrame:
+    """One row per tree of a table that goes in codes, block by block, to every bundle of trees; a bundle is a partition."""
+    kinds = [c.split() for c in SUBTREES.split(", ")]
+    numbers = sorted(tops)
+    bundles = min(BUNDLES, len(numbers))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, x in _blocks(batches, spec["d"]):
+            data = code.pack(_numbers(block["h"]).view(np.uint64), _numbers(block["fold"]), _numbers(block["y"]), x)
+            yield pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], ["data"])
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bundle = []
+
+        def records() -> Iterator[bytes]:
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    bundle[:] = [batch["bundle"][i].as_py()]
+                    yield batch["data"][i].as_buffer()
+
+        first = next(came := records(), None)
+        if first is None:
+            return
+        h, fold, x = code.unpack(itertools.chain([first], came), n)
+        del first
+        for i, t in enumerate(numbers):
+            if i * bundles // len(numbers) == bundle[0]:
+                w = np.empty(n)
+                for at in range(0, n, BLOCK_ROWS):
+                    part = slice(at, at + BLOCK_ROWS)
+                    w[part] = row_weights(h[part], fold[part], t, spec)
+                made = grow_coded(root_of(spec["seed"], t), x, w, spec)
+                out = (f"b{bundle[0]}", t, 0, *[made[name].astype(kind).tobytes() for name, kind in TYPES.items()])
+                yield pa.RecordBatch.from_arrays([pa.array([c], ARROW[kind]) for c, (_, kind) in zip(out, kinds)], [name for name, _ in kinds])
+
+    copies = F.explode(F.sequence(F.lit(0), F.lit(bundles - 1))).alias("bundle")
+    return rows.mapInArrow(pack, "data binary").select(copies, "data").repartitionById(bundles, "bundle").mapInArrow(finish, SUBTREES)
+
+
 class _Forest(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasSeed):
     trees = Param(Params._dummy(), "trees", "number of trees", TypeConverters.toInt)
     extra = Param(Params._dummy(), "extra", "all rows and one random cut per feature", TypeConverters.toBoolean)
@@ -539,11 +721,14 @@ class Forest(Estimator, _Forest):
         at_once = max(1, min(total, MOST_OPEN * small // max(1, 2 * n)))
         tops: dict[int, Tree] = {}
         parts = []
-        if n <= small or (get("small") >= SMALL and 8 * n * d <= WHOLE):  # no node is large, or a task can take the sums itself
+        alone = n > small and get("small") >= SMALL  # a task may take the sums of large nodes itself, where it can hold the table
+        code = coding(rows, d, len(labels), lambda batches: _blocks(batches, d)) if alone else None
+        coded = code is not None and n * code.held_bytes <= WHOLE
+        if n <= small or coded or (alone and 8 * n * d <= WHOLE // 4 * 3):
             tops = {t: Tree(root_of(spec["seed"], t), len(labels)) for t in range(total)}
             for tree in tops.values():
                 tree.feature[0] = DEALT
-            parts.append(durable(_subtrees(rows, tops, n, spec)))
+            parts.append(durable(_whole_trees(rows, tops, n, code, spec) if coded else _subtrees(rows, tops, n, spec)))
         else:
             for start in range(0, total, at_once):
                 made = _grow_tops(rows, list(range(start, min(total, start + at_once))), spec, small)

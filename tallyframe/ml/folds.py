@@ -131,7 +131,7 @@ def ridge(sums: FoldSums, rows: DataFrame, alphas: Sequence[float]) -> list[tupl
             off = x[fold != f] - mean
             y = 2 * (batch["y"].to_numpy()[fold != f][:, None] == one.labels) - 1 - target
             for a, (inv, w) in enumerate(zip(inverses, solutions)):
-                leverage = 1 / n + np.einsum("ij,jk,ik->i", off, inv, off)
+                leverage = 1 / n + np.einsum("ij,ij->i", off @ inv, off)
                 out[f, a] = (((y - off @ w) / (1 - leverage)[:, None]) ** 2).sum()
         return {"e": out}
 

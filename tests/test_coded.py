@@ -1,6 +1,7 @@
 """Trees of a table in codes are those of the table itself."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,3 +101,37 @@ def test_support_vectors_of_all_folds_at_once_are_those_of_each(spark, monkeypat
     joint = folds.support_vectors(rows, sums.labels, 5, 300, 1.0, 30, 4)
     monkeypatch.setattr(folds, "PAIRS", 0)
     assert np.allclose(joint, folds.support_vectors(rows, sums.labels, 5, 300, 1.0, 30, 4), rtol=1e-9, atol=1e-12)
+
+
+def test_ridge_leverage_comes_from_matrix_products(monkeypatch):
+    """Leave-one-out errors of all folds and penalties, without a loop over pairs of features for every row."""
+    rng = np.random.default_rng(9)
+    x, y, fold = rng.normal(size=(90, 3)), rng.integers(0, 2, 90).astype(float), np.arange(90) % 3
+    batch = pd.DataFrame({"x": list(x), "y": y, "fold": fold})
+    called, einsum = [], np.einsum
+
+    def summed(rows, partial, shapes):
+        return partial(batch)
+
+    own = fold[:, None] == np.arange(3)
+    counts = np.array([[(own[:, f] & (y == c)).sum() for c in (0, 1)] for f in range(3)])
+    sums = np.array([[x[own[:, f] & (y == c)].sum(axis=0) for c in (0, 1)] for f in range(3)])
+    squares = np.array([[(x[own[:, f] & (y == c)] ** 2).sum(axis=0) for c in (0, 1)] for f in range(3)])
+    products = np.array([x[own[:, f]].T @ x[own[:, f]] for f in range(3)])
+    one = folds.FoldSums(np.array([0.0, 1.0]), np.zeros(3), counts, sums, squares, products)
+    monkeypatch.setattr(folds, "summed_matrices", summed)
+    monkeypatch.setattr(np, "einsum", lambda how, *a, **b: called.append(len(a)) or einsum(how, *a, **b))
+    found = folds.ridge(one, None, [0.1, 50.0])
+    assert called and max(called) == 2
+    for f, (_, w, offset) in enumerate(found):
+        use = fold != f
+        errors, lines = [], []
+        for a in (0.1, 50.0):
+            t = np.where(y[use, None] == [0.0, 1.0], 1.0, -1.0)
+            centred = x[use] - x[use].mean(axis=0)
+            inverse = np.linalg.inv(centred.T @ centred + a * np.eye(3))
+            weights = inverse @ centred.T @ (t - t.mean(axis=0))
+            leverage = 1 / use.sum() + np.diag(centred @ inverse @ centred.T)
+            errors.append((((t - t.mean(axis=0) - centred @ weights) / (1 - leverage)[:, None]) ** 2).sum())
+            lines.append(weights)
+        assert np.allclose(w.T, lines[int(np.argmin(errors))]) and offset.shape == (2,)
